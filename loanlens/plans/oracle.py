@@ -7,8 +7,9 @@ expressions and computes the query's table, independently of the Spark code.
 
 from __future__ import annotations
 
-from loanlens.config import (DEFAULT_DAYS_THRESHOLD, FALLBACK_TOP, IDR_PATTERN,
-                             MIN_N_DEFAULT, MIN_N_PROGRAM, MIN_N_STATE, NEAR_BAND)
+from loanlens.config import (CV_FOLDS, DEFAULT_DAYS_THRESHOLD, FALLBACK_TOP, IDR_PATTERN,
+                             MIN_N_DEFAULT, MIN_N_PROGRAM, MIN_N_STATE, NEAR_BAND,
+                             RANDOM_STATE, SUBGROUP_MIN_N)
 from loanlens.functions import (AGE_EDGES, AGE_LABELS, GPA_EDGES, GPA_LABELS,
                                 LEVEL_LABELS, LOAN_EDGES, LOAN_LABELS, NA_TOKENS)
 from loanlens.operators.clean import FEATURES, FINAL_COLUMNS
@@ -340,6 +341,36 @@ SELECT * FROM (
     out["overall_rate"] = _with() + f"""
 SELECT count(*) AS n, CAST(sum(default_flag) AS BIGINT) AS defaults,
        {rate('sum(default_flag)', 'count(*)')} AS default_rate FROM clean"""
+    folds = f"""folds AS (
+  SELECT student_id, default_flag,
+         CAST((row_number() OVER (PARTITION BY default_flag
+               ORDER BY md5(coalesce(student_id, '') || ':{RANDOM_STATE}'), student_id) - 1)
+              % {CV_FOLDS} AS INTEGER) AS fold
+  FROM clean
+)"""
+    out["stratified_folds"] = _with(folds) + "SELECT * FROM folds"
+    out["class_weights"] = _with(folds, """per AS (
+  SELECT fold, count(*) AS n, count_if(default_flag = 1) AS pos FROM folds GROUP BY fold
+)""") + """
+SELECT fold, n_train, n_train_pos, n_train - n_train_pos AS n_train_neg,
+       CAST(n_train AS DOUBLE) / ((n_train - n_train_pos) * 2.0) AS w_neg,
+       CAST(n_train AS DOUBLE) / (n_train_pos * 2.0) AS w_pos
+FROM (SELECT fold, (SELECT sum(n) FROM per) - n AS n_train,
+             (SELECT sum(pos) FROM per) - pos AS n_train_pos FROM per)"""
+    out["rank_auc_by_level"] = _with("""scored AS (
+  SELECT level, default_flag AS y, -coalesce(gpa, 0.0) AS score FROM clean
+)""", """ranked AS (
+  SELECT level, y, rank() OVER (PARTITION BY level ORDER BY score)
+              + (count(*) OVER (PARTITION BY level, score) - 1) / 2.0 AS mrank
+  FROM scored
+)""", """agg AS (
+  SELECT level, count(*) AS n, count_if(y = 1) AS n1, count_if(y = 0) AS n0,
+         sum(CASE WHEN y = 1 THEN mrank END) AS rsum
+  FROM ranked GROUP BY level
+)""") + f"""
+SELECT level, n, n1 AS defaults, CAST(n1 AS DOUBLE) / n AS default_rate,
+       CAST((rsum - n1 * (n1 + 1) / 2.0) AS DOUBLE) / (CAST(n1 AS DOUBLE) * n0) AS auc
+FROM agg WHERE n >= {SUBGROUP_MIN_N} AND n1 > 0 AND n0 > 0"""
     return out
 
 

@@ -17,6 +17,8 @@ from loanlens.operators import clean as C
 from loanlens.operators import eda as E
 from loanlens.operators import segments as S
 from loanlens.operators.conform import conform, reject_report
+from loanlens.operators.folds import fold_class_weights, stratified_folds
+from loanlens.operators.ranking import subgroup_auc
 from loanlens.sources.fixture import raw_borrowers
 from loanlens.sources.profiles import get_profile
 
@@ -117,6 +119,26 @@ def q_overall_rate(spark, sf_dir):
     return S.overall(_clean(spark, sf_dir))
 
 
+def _folded(spark, sf_dir):
+    return stratified_folds(_clean(spark, sf_dir), "student_id", "default_flag",
+                            MODEL_CFG.folds, MODEL_CFG.seed, MODEL_CFG.fold_hex_digits)
+
+
+def q_stratified_folds(spark, sf_dir):
+    return _folded(spark, sf_dir).select("student_id", "default_flag", "fold")
+
+
+def q_class_weights(spark, sf_dir):
+    return fold_class_weights(_folded(spark, sf_dir))
+
+
+def q_rank_auc_by_level(spark, sf_dir):
+    """M12 on a deterministic score (lower GPA = higher risk)."""
+    scored = _clean(spark, sf_dir).withColumn(
+        "score", -F.coalesce(F.col("gpa"), F.lit(0.0)))
+    return subgroup_auc(scored, "level", "score", "default_flag", MODEL_CFG.subgroup_min_n)
+
+
 SQL_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "conform_headers": q_conform_headers,
     "reject_report": q_reject_report,
@@ -138,6 +160,9 @@ SQL_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "segment_report": q_segment_report,
     "top_segments": q_top_segments,
     "overall_rate": q_overall_rate,
+    "stratified_folds": q_stratified_folds,
+    "class_weights": q_class_weights,
+    "rank_auc_by_level": q_rank_auc_by_level,
 }
 
 
