@@ -40,16 +40,20 @@ def rank_auc(df: DataFrame, group_cols: Sequence[str], score_col: str, label_col
     Broadcast sides hold ``buckets`` values per group; callers group by a
     handful of keys (levels, model x fold).
     """
+    if not group_cols:
+        out = rank_auc(df.withColumn("_all", F.lit(1)), ["_all"], score_col, label_col,
+                       buckets, accuracy)
+        return out.drop("_all")
     g = list(group_cols)
     pts = score_counts(df, g, score_col, label_col)
     probs = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
     bounds = pts.groupBy(*g).agg(
         F.percentile_approx(score_col, probs, accuracy).alias("_bounds"))
     s = F.col(score_col)
-    pb = pts.join(F.broadcast(bounds), g) if g else pts.crossJoin(F.broadcast(bounds))
+    pb = pts.join(F.broadcast(bounds), g)
     pb = pb.withColumn("_bk", F.size(F.filter("_bounds", lambda b: b < s))).drop("_bounds")
     per_bucket = pb.groupBy(*g, "_bk").agg(F.sum("_neg").alias("_bneg"))
-    wb = (Window.partitionBy(*g) if g else Window.partitionBy()).orderBy("_bk").rowsBetween(
+    wb = Window.partitionBy(*g).orderBy("_bk").rowsBetween(
         Window.unboundedPreceding, -1)
     per_bucket = per_bucket.select(*g, "_bk",
                                    F.coalesce(F.sum("_bneg").over(wb), F.lit(0)).alias("_before"))
