@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanlens import functions as LF
-from loanlens.config import RiskConfig
+from loanlens.config import FALLBACK_TOP, RiskConfig
 
 # ---------------------------------------------------------------------------
 # Segment keys and report titles, in report order
@@ -111,26 +111,41 @@ def overall_rate(clean: DataFrame) -> Column:
         LF.safe_rate(F.sum("default_flag"), F.count(F.lit(1))).alias("r")).scalar()
 
 
-def segment_rates(clean: DataFrame, cfg: RiskConfig) -> DataFrame:
-    """A11/A12 + D17: default rate per segment value.
+def apply_min_n(g: DataFrame, top: int) -> DataFrame:
+    """A11 core on (segment, value, n, defaults, min_n, ...) rows.
 
     Groups below the segment's min_n are dropped; when no group of a segment
-    reaches it, that segment shows its ``fallback_top`` largest groups
-    instead. The per-segment maximum is a <= 9-row table (one row per segment
-    dimension), so broadcasting it is safe at any data size. The fallback
-    top-k is a ``row_number <= k`` filter, which Spark turns into a partial
-    per-task limit before the shuffle.
+    reaches it, that segment shows its ``top`` largest groups instead. The
+    per-segment maximum is a tiny table (one row per segment dimension), so
+    broadcasting it is safe at any data size. The fallback is a
+    ``row_number <= k`` filter, which Spark turns into a partial per-task
+    limit before the shuffle.
     """
-    g = segment_counts(clean, cfg).withColumn("min_n", _min_n(cfg))
     seg_max = g.groupBy("segment").agg(F.max("n").alias("seg_max"))
     gj = g.join(F.broadcast(seg_max), "segment")
     keep = gj.where(F.col("n") >= F.col("min_n"))
     w = Window.partitionBy("segment").orderBy(F.desc("n"), F.asc("value"))
     fallback = (gj.where(F.col("seg_max") < F.col("min_n"))
                 .withColumn("_rn", F.row_number().over(w))
-                .where(F.col("_rn") <= cfg.fallback_top).drop("_rn"))
-    rates = keep.unionByName(fallback).withColumn(
+                .where(F.col("_rn") <= top).drop("_rn"))
+    return keep.unionByName(fallback).drop("seg_max", "min_n").withColumn(
         "default_rate", LF.safe_rate("defaults", "n"))
+
+
+def segment(df: DataFrame, group_col: str, min_n: int = 5, top: int = FALLBACK_TOP,
+            label: str = "default_flag") -> DataFrame:
+    """Default rate per value of one column (null values are not a group)."""
+    g = (df.where(F.col(group_col).isNotNull())
+         .groupBy(F.col(group_col).cast("string").alias("value"))
+         .agg(F.count(F.lit(1)).alias("n"), F.sum(label).cast("bigint").alias("defaults"))
+         .withColumn("segment", F.lit(group_col)).withColumn("min_n", F.lit(min_n)))
+    return apply_min_n(g, top).select("value", "n", "defaults", "default_rate")
+
+
+def segment_rates(clean: DataFrame, cfg: RiskConfig) -> DataFrame:
+    """A11/A12 + D17: default rate per value of the nine segment dimensions."""
+    g = segment_counts(clean, cfg).withColumn("min_n", _min_n(cfg))
+    rates = apply_min_n(g, cfg.fallback_top)
     return rates.select(
         "segment", _title(F.col("segment")).alias("title"), "value", "band_ord", "n",
         "defaults", "default_rate",
