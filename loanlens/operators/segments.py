@@ -159,17 +159,23 @@ def ordered(rates: DataFrame) -> DataFrame:
 
 def top_segments(rates: DataFrame, cuts=(("state", TOP_STATES), ("program", TOP_PROGRAMS))
                  ) -> DataFrame:
-    """The first k values of a segment in rate order."""
+    """The first k values of a segment in rate order (one window pass).
+
+    The literal ``rn <= max(k)`` filter lets Spark keep only the top rows
+    per task before the shuffle; the per-segment cut follows.
+    """
+    keys = [key for key, _ in cuts]
+    k_max = max(k for _, k in cuts)
+    cut = F.lit(None).cast("int")
+    for key, k in cuts:
+        cut = F.when(F.col("segment") == key, F.lit(k)).otherwise(cut)
     w = Window.partitionBy("segment").orderBy(
         F.desc("default_rate"), F.desc("n"), F.asc("value"))
-    parts = [rates.where(F.col("segment") == key).withColumn("_rn", F.row_number().over(w))
-             .where(F.col("_rn") <= k)
-             .withColumn("seg_rank", F.col("_rn").cast("bigint")).drop("_rn")
-             for key, k in cuts]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    ranked = (rates.where(F.col("segment").isin(*keys))
+              .withColumn("_rn", F.row_number().over(w))
+              .where(F.col("_rn") <= k_max))
+    return ranked.where(F.col("_rn") <= cut).withColumn(
+        "seg_rank", F.col("_rn").cast("bigint")).drop("_rn")
 
 
 def status_rates(clean: DataFrame) -> DataFrame:

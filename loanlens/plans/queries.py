@@ -7,6 +7,7 @@ work grows with the tables.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,12 +32,29 @@ MODEL_CFG = ModelConfig.quick()
 FALLBACK_MIN_N = 1_000_000_000
 
 
+# Logical plans of the raw export and the clean table, built once per
+# (application, sf_dir): DataFrames are immutable lazy plans, so queries can
+# share them; building the long column expressions costs ~2 s of py4j calls
+# per query otherwise. No data is cached.
+_PLANS: dict[tuple, DataFrame] = {}
+_PLANS_LOCK = threading.RLock()
+
+
+def _memo(kind: str, spark: SparkSession, sf_dir: str, build) -> DataFrame:
+    key = (kind, spark.sparkContext.applicationId, id(spark), sf_dir)
+    with _PLANS_LOCK:
+        if key not in _PLANS:
+            _PLANS[key] = build()
+        return _PLANS[key]
+
+
 def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_borrowers(spark, sf_dir)
+    return _memo("raw", spark, sf_dir, lambda: raw_borrowers(spark, sf_dir))
 
 
 def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return C.clean_dataset(_raw(spark, sf_dir), PROFILE, CFG)
+    return _memo("clean", spark, sf_dir,
+                 lambda: C.clean_dataset(_raw(spark, sf_dir), PROFILE, CFG))
 
 
 def q_conform_headers(spark, sf_dir):

@@ -25,6 +25,10 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # the clean-table stage fuses ~17 long column expressions; a generated
+        # method above the JVM's 8000-byte JIT limit would run interpreted, so
+        # let Spark fall back to per-operator code for such stages instead
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.driver.memory", "16g")
     )
     for k, v in (extra or {}).items():
