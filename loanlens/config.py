@@ -81,6 +81,7 @@ class ModelConfig:
     gbt_depth: int = GBT_DEPTH
     gbt_learning_rate: float = GBT_LEARNING_RATE
     lr_max_iter: int = LR_MAX_ITER
+    lr_tol: float = 1e-4        # stopping tolerance of the L-BFGS fit
     max_bins: int = 32
     models: tuple[str, ...] = (
         "Logistic Regression", "Random Forest", "Gradient Boosting")
@@ -88,7 +89,7 @@ class ModelConfig:
     # fold assignment: 16**hex_digits hash-range buckets per class
     fold_hex_digits: int = 3
     # concurrent fits submitted from the driver (like CrossValidator)
-    parallelism: int = 4
+    parallelism: int = 8
     checkpoint_interval: int = 10
     subgroup_min_n: int = SUBGROUP_MIN_N
     level_codes: tuple[str, ...] = LEVEL_CODES

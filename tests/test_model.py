@@ -108,3 +108,17 @@ def test_unseen_category_scores(spark, report):
 
     row = _clean(spark, SMALL).limit(1).withColumn("program", F.lit("never seen before"))
     assert score(report.fitted, row).select("score").first().score is not None
+
+
+def test_fold_statistics_match_direct(spark):
+    from loanlens.operators.model import ALL_ROWS, exact_medians, fold_statistics
+
+    folded = stratified_folds(_clean(spark, SMALL).select("student_id", "default_flag", "gpa",
+                                                          "num_loans"),
+                              "student_id", "default_flag", 5, 42)
+    medians, counts = fold_statistics(folded, ["gpa", "num_loans"], 5)
+    for k in (0, 3):
+        train = folded.where(F.col("fold") != k)
+        assert medians[k] == pytest.approx(exact_medians(train, ["gpa", "num_loans"]))
+        assert counts[k] == (train.count(), train.where(F.col("default_flag") == 1).count())
+    assert medians[ALL_ROWS] == pytest.approx(exact_medians(folded, ["gpa", "num_loans"]))
