@@ -10,6 +10,7 @@ from __future__ import annotations
 import threading
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,7 +36,9 @@ FALLBACK_MIN_N = 1_000_000_000
 # Logical plans of the raw export and the clean table, built once per
 # (application, sf_dir): DataFrames are immutable lazy plans, so queries can
 # share them; building the long column expressions costs ~2 s of py4j calls
-# per query otherwise. No data is cached.
+# per query otherwise. The clean table is also persisted (memory, spilling to
+# disk): every analysis reads it, as the pipeline reads its written dataset;
+# a lost executor's blocks are recomputed from lineage.
 _PLANS: dict[tuple, DataFrame] = {}
 _PLANS_LOCK = threading.RLock()
 
@@ -54,7 +57,8 @@ def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _memo("clean", spark, sf_dir,
-                 lambda: C.clean_dataset(_raw(spark, sf_dir), PROFILE, CFG))
+                 lambda: C.clean_dataset(_raw(spark, sf_dir), PROFILE, CFG)
+                 .persist(StorageLevel.MEMORY_AND_DISK))
 
 
 def q_conform_headers(spark, sf_dir):
