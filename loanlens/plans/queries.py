@@ -151,7 +151,7 @@ def q_stratified_folds(spark, sf_dir):
 
 
 def q_class_weights(spark, sf_dir):
-    return fold_class_weights(_folded(spark, sf_dir))
+    return fold_class_weights(_folded(spark, sf_dir), k=MODEL_CFG.folds)
 
 
 def q_rank_auc_by_level(spark, sf_dir):
