@@ -187,6 +187,11 @@ def percent_text(rate: ColumnOrName) -> Column:
     return F.concat(F.format_number(_c(rate) * F.lit(100.0), 1), F.lit("%"))
 
 
+def display_round(c: ColumnOrName, digits: int = 4) -> Column:
+    """Half-to-even rounding for display views; tables keep full precision."""
+    return F.bround(_c(c), digits)
+
+
 def safe_rate(num: ColumnOrName, den: ColumnOrName) -> Column:
     """Num / den as double, null for an empty population."""
     return F.try_divide(_c(num).cast("double"), _c(den).cast("double"))

@@ -127,7 +127,8 @@ def enrollment_breakdown(raw: DataFrame, profile: Profile, cfg: RiskConfig) -> D
     """A5: valid rows per raw enrollment status (missing status not counted)."""
     conformed = filter_valid(conform(raw, profile), cfg.level_codes)
     return (conformed.where(F.col("enrollment_status").isNotNull())
-            .groupBy("enrollment_status").agg(F.count(F.lit(1)).alias("n")))
+            .groupBy("enrollment_status").agg(F.count(F.lit(1)).alias("n"))
+            .orderBy(F.desc("n"), "enrollment_status"))           # L8
 
 
 def _unpivot_counts(wide: DataFrame, names, value_fmt: str, total: str = "_total") -> DataFrame:

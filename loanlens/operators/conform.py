@@ -72,4 +72,5 @@ def filter_valid(df: DataFrame, level_codes) -> DataFrame:
 def reject_report(conformed: DataFrame, level_codes) -> DataFrame:
     """rejected rows counted per (mapped) level value, null included."""
     return (conformed.where(~valid_level(level_codes))
-            .groupBy("level").agg(F.count(F.lit(1)).alias("n")))
+            .groupBy("level").agg(F.count(F.lit(1)).alias("n"))
+            .orderBy(F.desc("n"), "level"))                      # L8

@@ -110,4 +110,4 @@ def correlation_with_default(clean: DataFrame, cols=CORRELATION_COLS,
     long = wide.select(stack.alias("s")).select("s.*").where(F.col("n_pairs") >= 2)
     r = F.round(F.col("r"), digits)
     return long.select("feature", r.alias("r"), LF.corr_direction(r).alias("direction"),
-                       F.abs(r).alias("abs_r"))
+                       F.abs(r).alias("abs_r")).orderBy(F.desc("abs_r"), "feature")   # L6

@@ -157,6 +157,11 @@ def ordered(rates: DataFrame) -> DataFrame:
     return rates.orderBy("segment", F.desc("default_rate"), F.desc("n"), F.asc("value"))
 
 
+def band_ordered(rates: DataFrame) -> DataFrame:
+    """L3: band segments in band order (rows without a band order last)."""
+    return rates.orderBy("segment", F.asc_nulls_last("band_ord"), "value")
+
+
 def top_segments(rates: DataFrame, cuts=(("state", TOP_STATES), ("program", TOP_PROGRAMS))
                  ) -> DataFrame:
     """The first k values of a segment in rate order (one window pass).

@@ -73,3 +73,12 @@ def test_segment_report_text(spark):
     rep = S.segment_report(_clean_like(spark), RiskConfig()).collect()
     assert all(r.default_rate_text == f"{r.default_rate:.1%}" for r in rep)
     assert {r.segment for r in rep} >= {S.STATUS_TITLE, S.IDR_TITLE, "GPA band"}
+
+
+def test_band_order_and_top_k(spark):
+    rates = S.segment_rates(_clean_like(spark), RiskConfig())
+    bands = [r.band_ord for r in S.band_ordered(rates.where(F.col("segment") == "gpa_band")).collect()]
+    assert bands == sorted(bands)
+    top = S.top_segments(rates, cuts=(("level", 1),)).collect()
+    best = max(rates.where(F.col("segment") == "level").collect(), key=lambda r: (r.default_rate, r.n))
+    assert len(top) == 1 and top[0].value == best.value and top[0].seg_rank == 1
