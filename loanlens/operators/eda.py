@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from loanlens import functions as LF
 from loanlens.config import RiskConfig
+from loanlens.operators.ranking import exact_quantiles
 
 NUMERIC_COLS = ("gpa", "original_loan_amount", "current_balance", "credits_earned", "num_loans")
 CORRELATION_COLS = ("gpa", "credits_earned", "original_loan_amount", "current_balance",
@@ -57,20 +58,22 @@ def _long_values(df: DataFrame, cols) -> DataFrame:
 
 def quantiles(df: DataFrame, cols, probs, approx: bool = False,
               accuracy: int = 100_000) -> DataFrame:
-    """Per-column quantiles, linear interpolation like pandas / numpy.
+    """(feature, p, q): per-column quantiles, linear interpolation like pandas.
 
-    Exact mode first reduces the rows to (column, value, count) with a map-side
-    combined aggregate, then merges one value->count map per column: memory
-    follows the number of distinct values, not rows. ``approx`` switches to
-    the fixed-size ``percentile_approx`` sketch for unbounded domains.
+    Exact mode reduces rows to (feature, value, count) with a map-side
+    combined aggregate and then finds the values at the two ranks around
+    (n - 1) p with a distributed running count (``ranking.exact_quantiles``):
+    no task ever holds a whole column. ``approx`` uses the fixed-size
+    ``percentile_approx`` sketch instead (no interpolation).
     """
     long = _long_values(df, cols)
-    ps = F.array(*[F.lit(float(p)) for p in probs])
     if approx:
-        return long.groupBy("feature").agg(
-            F.percentile_approx("value", ps, accuracy).alias("q"))
+        ps = F.array(*[F.lit(float(p)) for p in probs])
+        arr = long.groupBy("feature").agg(F.percentile_approx("value", ps, accuracy).alias("_q"))
+        return arr.select("feature", F.posexplode("_q").alias("_i", "q")).select(
+            "feature", F.element_at(ps, F.col("_i") + 1).alias("p"), "q")
     counts = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("cnt"))
-    return counts.groupBy("feature").agg(F.percentile("value", ps, F.col("cnt")).alias("q"))
+    return exact_quantiles(counts, ["feature"], "value", "cnt", probs)
 
 
 def numeric_distribution(clean: DataFrame, cfg: RiskConfig,
@@ -81,13 +84,15 @@ def numeric_distribution(clean: DataFrame, cfg: RiskConfig,
         F.min("value").alias("min"), F.max("value").alias("max"),
         F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"))
     q = quantiles(clean, present, QUANTILES, cfg.approx_quantiles, cfg.approx_accuracy)
-    out = moments.join(q, "feature")
-    r = lambda c: F.round(c, digits)
+    qw = q.groupBy("feature").agg(*[
+        F.max(F.when(F.col("p") == p, F.col("q"))).alias(name)
+        for p, name in zip(QUANTILES, ("p25", "median", "p75"))])
+    out = moments.join(qw, "feature")
+    r = lambda c: F.round(F.col(c), digits)
     return out.select(
-        "feature", r(F.col("min")).alias("min"), r(F.col("max")).alias("max"),
-        r(F.col("mean")).alias("mean"), r(F.col("q")[1]).alias("median"),
-        r(F.col("std")).alias("std"), r(F.col("q")[0]).alias("p25"),
-        r(F.col("q")[2]).alias("p75"))
+        "feature", r("min").alias("min"), r("max").alias("max"), r("mean").alias("mean"),
+        r("median").alias("median"), r("std").alias("std"), r("p25").alias("p25"),
+        r("p75").alias("p75"))
 
 
 def correlation_with_default(clean: DataFrame, cols=CORRELATION_COLS,

@@ -25,6 +25,61 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def running_count(counts: DataFrame, group_cols: Sequence[str], order_col: str,
+                  weight_col: str, buckets: int = 256, accuracy: int = 10_000) -> DataFrame:
+    """``counts`` plus ``_before`` = total weight of rows of the same group with a
+    strictly smaller ``order_col`` (rows must be distinct per group and value).
+
+    Two-level prefix sum: approximate quantiles (a fixed-size sketch per
+    group) cut the values into ``buckets`` ranges; bucket totals get a running
+    sum over at most ``buckets`` rows per group, and rows are summed only
+    inside their (group, bucket). The broadcast tables hold ``buckets`` values
+    per group.
+    """
+    g = list(group_cols)
+    probs = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
+    bounds = counts.groupBy(*g).agg(
+        F.percentile_approx(order_col, probs, accuracy).alias("_bounds"))
+    v = F.col(order_col)
+    pb = counts.join(F.broadcast(bounds), g)
+    pb = pb.withColumn("_bk", F.size(F.filter("_bounds", lambda b: b < v))).drop("_bounds")
+    per_bucket = pb.groupBy(*g, "_bk").agg(F.sum(weight_col).alias("_bw"))
+    wb = Window.partitionBy(*g).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    per_bucket = per_bucket.select(*g, "_bk",
+                                   F.coalesce(F.sum("_bw").over(wb), F.lit(0)).alias("_off"))
+    pb = pb.join(F.broadcast(per_bucket), g + ["_bk"])
+    wi = Window.partitionBy(*g, "_bk").orderBy(order_col).rowsBetween(
+        Window.unboundedPreceding, -1)
+    return pb.withColumn("_before", F.col("_off") + F.coalesce(F.sum(weight_col).over(wi), F.lit(0))
+                         ).drop("_off", "_bk")
+
+
+def exact_quantiles(counts: DataFrame, group_cols: Sequence[str], value_col: str,
+                    count_col: str, probs: Sequence[float]) -> DataFrame:
+    """Exact quantiles with linear interpolation (numpy / pandas default).
+
+    ``counts`` holds one row per (group, value) with its multiplicity. The
+    value at 0-based rank r is the one whose [before, before + count) range
+    holds r; for p the ranks floor(h) and ceil(h), h = (n - 1) p, are found
+    with a range filter, so no task ever holds a whole group.
+    Result: (group..., p, q).
+    """
+    g = list(group_cols)
+    ranked = running_count(counts, g, value_col, count_col)
+    totals = counts.groupBy(*g).agg(F.sum(count_col).alias("_n"))
+    targets = totals.select(*g, F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"),
+                            "_n").withColumn("_h", (F.col("_n") - 1) * F.col("p"))
+    targets = targets.withColumn("_lo", F.floor("_h")).withColumn("_hi", F.ceil("_h"))
+    # small: groups x len(probs) rows
+    hit = ranked.join(F.broadcast(targets), g)
+    inside = lambda r: (F.col("_before") <= F.col(r)) & (F.col(r) < F.col("_before") + F.col(count_col))
+    picked = hit.where(inside("_lo") | inside("_hi")).groupBy(*g, "p", "_h", "_lo").agg(
+        F.max(F.when(inside("_lo"), F.col(value_col))).alias("_vlo"),
+        F.max(F.when(inside("_hi"), F.col(value_col))).alias("_vhi"))
+    frac = F.col("_h") - F.col("_lo")
+    return picked.select(*g, "p", (F.col("_vlo") + frac * (F.col("_vhi") - F.col("_vlo"))).alias("q"))
+
+
 def score_counts(df: DataFrame, group_cols: Sequence[str], score_col: str,
                  label_col: str) -> DataFrame:
     g = list(group_cols)
@@ -46,21 +101,8 @@ def rank_auc(df: DataFrame, group_cols: Sequence[str], score_col: str, label_col
         return out.drop("_all")
     g = list(group_cols)
     pts = score_counts(df, g, score_col, label_col)
-    probs = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    bounds = pts.groupBy(*g).agg(
-        F.percentile_approx(score_col, probs, accuracy).alias("_bounds"))
-    s = F.col(score_col)
-    pb = pts.join(F.broadcast(bounds), g)
-    pb = pb.withColumn("_bk", F.size(F.filter("_bounds", lambda b: b < s))).drop("_bounds")
-    per_bucket = pb.groupBy(*g, "_bk").agg(F.sum("_neg").alias("_bneg"))
-    wb = Window.partitionBy(*g).orderBy("_bk").rowsBetween(
-        Window.unboundedPreceding, -1)
-    per_bucket = per_bucket.select(*g, "_bk",
-                                   F.coalesce(F.sum("_bneg").over(wb), F.lit(0)).alias("_before"))
-    pb = pb.join(F.broadcast(per_bucket), g + ["_bk"])
-    wi = Window.partitionBy(*g, "_bk").orderBy(score_col).rowsBetween(
-        Window.unboundedPreceding, -1)
-    below = F.col("_before") + F.coalesce(F.sum("_neg").over(wi), F.lit(0))
+    pb = running_count(pts, g, score_col, "_neg", buckets, accuracy)
+    below = F.col("_before")
     pb = pb.withColumn("_u", F.col("_pos").cast("double") * (below + F.col("_neg") * 0.5))
     out = pb.groupBy(*g).agg(
         F.sum("_pos").cast("bigint").alias("n_pos"), F.sum("_neg").cast("bigint").alias("n_neg"),

@@ -122,3 +122,19 @@ def test_fold_statistics_match_direct(spark):
         assert medians[k] == pytest.approx(exact_medians(train, ["gpa", "num_loans"]))
         assert counts[k] == (train.count(), train.where(F.col("default_flag") == 1).count())
     assert medians[ALL_ROWS] == pytest.approx(exact_medians(folded, ["gpa", "num_loans"]))
+
+
+def test_exact_quantiles_match_numpy(spark):
+    import numpy as np
+
+    from loanlens.operators.eda import quantiles
+
+    rng = random.Random(3)
+    vals = {"a": [float(rng.randint(0, 50)) for _ in range(997)],
+            "b": [rng.random() for _ in range(10)] + [5.0] * 400}
+    rows = [(v_a, v_b) for v_a, v_b in itertools.zip_longest(vals["a"], vals["b"])]
+    df = spark.createDataFrame(rows, "a double, b double")
+    got = {(r.feature, r.p): r.q for r in quantiles(df, ["a", "b"], (0.1, 0.25, 0.5, 0.75, 0.99)).collect()}
+    for f, xs in vals.items():
+        for p in (0.1, 0.25, 0.5, 0.75, 0.99):
+            assert got[(f, p)] == pytest.approx(float(np.quantile(xs, p)), abs=1e-12), (f, p)
