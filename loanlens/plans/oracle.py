@@ -250,6 +250,11 @@ IDR_CTE = f"""idr AS (
 )"""
 
 
+_tie_text = " || '|' || ".join(f"coalesce({c}, '')" for c in
+                                ("student_id", "level", "program", "student_type",
+                                 "campus_code", "payment_plan"))
+
+
 def _sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out["conform_headers"] = _with() + "SELECT * FROM conformed"
@@ -344,9 +349,10 @@ SELECT count(*) AS n, CAST(sum(default_flag) AS BIGINT) AS defaults,
     folds = f"""folds AS (
   SELECT student_id, default_flag,
          CAST((row_number() OVER (PARTITION BY default_flag
-               ORDER BY md5(coalesce(student_id, '') || ':{RANDOM_STATE}'), student_id) - 1)
+               ORDER BY substr(h1, 1, 3), substr(h2, 1, 1), h1, h2) - 1)
               % {CV_FOLDS} AS INTEGER) AS fold
-  FROM clean
+  FROM (SELECT *, md5(coalesce(student_id, '') || ':{RANDOM_STATE}') AS h1,
+               md5({_tie_text}) AS h2 FROM clean)
 )"""
     out["stratified_folds"] = _with(folds) + "SELECT * FROM folds"
     out["class_weights"] = _with(folds, """per AS (

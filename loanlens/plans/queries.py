@@ -142,8 +142,11 @@ def q_overall_rate(spark, sf_dir):
 
 
 def _folded(spark, sf_dir):
+    from loanlens.operators.model import FOLD_TIE_COLS
+
     return stratified_folds(_clean(spark, sf_dir), "student_id", "default_flag",
-                            MODEL_CFG.folds, MODEL_CFG.seed, MODEL_CFG.fold_hex_digits)
+                            MODEL_CFG.folds, MODEL_CFG.seed, MODEL_CFG.fold_hex_digits,
+                            tie_cols=FOLD_TIE_COLS)
 
 
 def q_stratified_folds(spark, sf_dir):
