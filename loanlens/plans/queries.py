@@ -26,7 +26,7 @@ from loanlens.sources.profiles import get_profile
 
 PROFILE = get_profile("banner")
 CFG = RiskConfig()
-# Driver checks use the reference's models and 5 folds with smaller
+# Driver checks use the analysed pipeline's models and 5 folds with smaller
 # ensembles so the check finishes in minutes (full settings: ModelConfig()).
 MODEL_CFG = ModelConfig.quick()
 # A min_n above every group: each segment falls back to its top groups.
