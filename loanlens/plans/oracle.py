@@ -135,9 +135,12 @@ conformed AS (
 
 _birth = "coalesce(" + ", ".join(
     f"try_strptime({strip('birth_date')}, {q(f)})" for f in DATE_FORMATS) + ")"
-_withdrawn = ", ".join(q(c) for c in BANNER_WITHDRAWN)
 
-CLEANALL_CTE = f"""
+
+def cleanall_cte(withdrawn_codes=BANNER_WITHDRAWN, graduated_value: str = "Y") -> str:
+    """Typed rows of a profile: only the withdrawn codes and graduated value differ."""
+    _withdrawn = ", ".join(q(c) for c in withdrawn_codes)
+    return f"""
 cleanall AS (
   SELECT coalesce(level IN ('UG', 'GR'), false) AS valid,
          enrollment_status AS raw_enrollment_status,
@@ -151,7 +154,7 @@ cleanall AS (
          upper({nn('state')}) AS state,
          {num('gpa')} AS gpa,
          {num('credits_earned')} AS credits_earned,
-         CAST(coalesce(upper({strip('graduated_ind')}) = 'Y', false) AS INTEGER) AS graduated,
+         CAST(coalesce(upper({strip('graduated_ind')}) = {q(graduated_value)}, false) AS INTEGER) AS graduated,
          CAST(coalesce(upper({strip('enrollment_status')}) IN ({_withdrawn}), false) AS INTEGER) AS withdrawn,
          {num('num_loans')} AS num_loans,
          {money('original_loan_amount')} AS original_loan_amount,
@@ -162,6 +165,9 @@ cleanall AS (
 ),
 clean AS (SELECT {", ".join(FINAL_COLUMNS)} FROM cleanall WHERE valid)"""
 
+
+CLEANALL_CTE = cleanall_cte()
+
 BASE = "WITH " + RAW_CTE.strip() + "," + CONFORMED_CTE + "," + CLEANALL_CTE
 
 
@@ -343,6 +349,9 @@ SELECT * FROM (
   FROM segrates WHERE segment IN ('state', 'program')
 ) WHERE (segment = 'state' AND seg_rank <= {TOP_STATES})
      OR (segment = 'program' AND seg_rank <= {TOP_PROGRAMS})"""
+    colleague_base = ("WITH " + RAW_CTE.strip() + "," + CONFORMED_CTE + ","
+                      + cleanall_cte(("W", "WD", "WA", "WX"), "Y"))
+    out["clean_dataset_colleague"] = colleague_base + "\nSELECT * FROM clean"
     out["overall_rate"] = _with() + f"""
 SELECT count(*) AS n, CAST(sum(default_flag) AS BIGINT) AS defaults,
        {rate('sum(default_flag)', 'count(*)')} AS default_rate FROM clean"""

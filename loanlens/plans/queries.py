@@ -21,7 +21,7 @@ from loanlens.operators import segments as S
 from loanlens.operators.conform import conform, reject_report
 from loanlens.operators.folds import fold_class_weights, stratified_folds
 from loanlens.operators.ranking import subgroup_auc
-from loanlens.sources.fixture import raw_borrowers
+from loanlens.sources.fixture import as_profile, raw_borrowers
 from loanlens.sources.profiles import get_profile
 
 PROFILE = get_profile("banner")
@@ -137,6 +137,12 @@ def q_top_segments(spark, sf_dir):
     return S.top_segments(S.segment_rates(_clean(spark, sf_dir), CFG))
 
 
+def q_clean_dataset_colleague(spark, sf_dir):
+    """Q3 through another export profile (dotted headers, other codes)."""
+    prof = get_profile("colleague")
+    return C.clean_dataset(as_profile(_raw(spark, sf_dir), prof), prof, CFG)
+
+
 def q_overall_rate(spark, sf_dir):
     return S.overall(_clean(spark, sf_dir))
 
@@ -168,6 +174,7 @@ SQL_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "conform_headers": q_conform_headers,
     "reject_report": q_reject_report,
     "clean_dataset": q_clean_dataset,
+    "clean_dataset_colleague": q_clean_dataset_colleague,
     "population_counts": q_population_counts,
     "level_breakdown": q_level_breakdown,
     "default_rate_by_level": q_default_rate_by_level,

@@ -116,3 +116,17 @@ def raw_borrowers(spark: SparkSession, sf_dir: str) -> DataFrame:
         "Payment Plan": F.when(k % 97 == 0, F.lit("IBR")).otherwise(plan),
     }
     return src.select(*[cols[h].alias(h) for h in BANNER_HEADERS])
+
+
+def as_profile(raw_banner: DataFrame, profile) -> DataFrame:
+    """The same export with another system's headers (rename only).
+
+    Lets every profile's header map, level map and codes run on the fixture
+    data; headers with dots (one profile uses them) go through ``toDF``.
+    """
+    from loanlens.sources.profiles import get_profile
+
+    banner = dict((c, h) for h, c in get_profile("banner").column_map)
+    target = dict((c, h) for h, c in profile.column_map)
+    by_header = {banner[c]: target[c] for c in banner}
+    return raw_banner.toDF(*[by_header.get(h, h) for h in raw_banner.columns])
