@@ -115,9 +115,13 @@ def flag_in(c: ColumnOrName, codes: Iterable[str]) -> Column:
 
 def map_or_keep(c: ColumnOrName, mapping: dict[str, str]) -> Column:
     """Look ``c`` up in a literal map; keep the value when it is not a key."""
-    col = _c(c)
     if not mapping:
-        return col
+        return _c(c)
+    if isinstance(c, str):
+        x = _ident(c)
+        arms = " ".join(f"WHEN {_sql_str(k)} THEN {_sql_str(v)}" for k, v in mapping.items())
+        return F.expr(f"coalesce(CASE {x} {arms} END, {x})")
+    col = _c(c)
     m = F.create_map(*[F.lit(x) for kv in mapping.items() for x in kv])
     return F.coalesce(F.element_at(m, col), col)
 
@@ -132,11 +136,29 @@ def level_label(c: ColumnOrName) -> Column:
     return map_or_keep(c, LEVEL_LABELS)
 
 
+def _sql_str(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _ident(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def band(c: ColumnOrName, edges: Sequence[float], labels: Sequence[str]) -> Column:
-    """Right-closed bins (e0, e1], (e1, e2], ...; null outside."""
+    """Right-closed bins (e0, e1], (e1, e2], ...; null outside.
+
+    Given a column name, the CASE is built as one SQL expression (one JVM
+    call instead of dozens of Column calls; same plan).
+    """
+    pairs = list(zip(edges[:-1], edges[1:], labels))
+    if isinstance(c, str):
+        x = _ident(c)
+        arms = " ".join(f"WHEN {x} > {float(lo)!r}D AND {x} <= {float(hi)!r}D THEN {_sql_str(lab)}"
+                        for lo, hi, lab in pairs)
+        return F.expr(f"CASE {arms} END")
     col = _c(c)
     expr = None
-    for lo, hi, label in zip(edges[:-1], edges[1:], labels):
+    for lo, hi, label in pairs:
         cond = (col > F.lit(lo)) & (col <= F.lit(hi))
         expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
     return expr
@@ -144,9 +166,15 @@ def band(c: ColumnOrName, edges: Sequence[float], labels: Sequence[str]) -> Colu
 
 def band_ordinal(c: ColumnOrName, edges: Sequence[float]) -> Column:
     """Position (0-based) of the right-closed bin; null outside."""
+    pairs = list(zip(edges[:-1], edges[1:]))
+    if isinstance(c, str):
+        x = _ident(c)
+        arms = " ".join(f"WHEN {x} > {float(lo)!r}D AND {x} <= {float(hi)!r}D THEN {i}"
+                        for i, (lo, hi) in enumerate(pairs))
+        return F.expr(f"CASE {arms} END")
     col = _c(c)
     expr = None
-    for i, (lo, hi) in enumerate(zip(edges[:-1], edges[1:])):
+    for i, (lo, hi) in enumerate(pairs):
         cond = (col > F.lit(lo)) & (col <= F.lit(hi))
         expr = F.when(cond, F.lit(i)) if expr is None else expr.when(cond, F.lit(i))
     return expr

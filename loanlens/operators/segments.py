@@ -53,23 +53,28 @@ def with_segment_columns(clean: DataFrame, cfg: RiskConfig) -> DataFrame:
     )
 
 
+_DIMENSION_SOURCE = {   # segment key -> (value column, band-order column)
+    "level": ("level_label", None),
+    "student_type": ("student_type", None),
+    "campus": ("campus_code", None),
+    "gpa_band": ("gpa_band", "gpa_band_ord"),
+    "age_band": ("age_band", "age_band_ord"),
+    "state": ("state", None),
+    "loan_amount": ("loan_band", "loan_band_ord"),
+    "payment_plan": ("payment_plan", None),
+    "program": ("program", None),
+}
+
+
 def _dimension_values(d: DataFrame) -> Column:
-    none = F.lit(None).cast("int")
-    source = {
-        "level": (F.col("level_label"), none),
-        "student_type": (F.col("student_type"), none),
-        "campus": (F.col("campus_code"), none),
-        "gpa_band": (F.col("gpa_band"), F.col("gpa_band_ord")),
-        "age_band": (F.col("age_band"), F.col("age_band_ord")),
-        "state": (F.col("state"), none),
-        "loan_amount": (F.col("loan_band"), F.col("loan_band_ord")),
-        "payment_plan": (F.col("payment_plan"), none),
-        "program": (F.col("program"), none),
-    }
-    return F.explode(F.array(*[
-        F.struct(F.lit(key).alias("segment"), source[key][0].alias("value"),
-                 source[key][1].alias("band_ord"))
-        for key, _ in SEGMENTS]))
+    """explode(array(struct(segment, value, band_ord) x 9)) as one SQL expression."""
+    parts = []
+    for key, _ in SEGMENTS:
+        value, ord_col = _DIMENSION_SOURCE[key]
+        o = f"`{ord_col}`" if ord_col else "CAST(NULL AS INT)"
+        parts.append(f"named_struct('segment', '{key}', 'value', CAST(`{value}` AS STRING), "
+                     f"'band_ord', {o})")
+    return F.expr(f"explode(array({', '.join(parts)}))")
 
 
 def segment_counts(clean: DataFrame, cfg: RiskConfig) -> DataFrame:
@@ -84,17 +89,13 @@ def segment_counts(clean: DataFrame, cfg: RiskConfig) -> DataFrame:
 
 
 def _min_n(cfg: RiskConfig) -> Column:
-    expr = F.lit(cfg.min_n_default)
-    for key, n in cfg.min_n_overrides:
-        expr = F.when(F.col("segment") == key, F.lit(n)).otherwise(expr)
-    return expr
+    arms = " ".join(f"WHEN '{key}' THEN {int(n)}" for key, n in cfg.min_n_overrides)
+    return F.expr(f"CASE segment {arms} ELSE {int(cfg.min_n_default)} END") if arms \
+        else F.lit(cfg.min_n_default)
 
 
-def _title(segment: Column) -> Column:
-    expr = F.lit(None).cast("string")
-    for key, title in reversed(SEGMENTS):
-        expr = F.when(segment == key, F.lit(title)).otherwise(expr)
-    return expr
+def _title(segment: str = "segment") -> Column:
+    return LF.map_or_keep(segment, dict(SEGMENTS))
 
 
 def overall(clean: DataFrame) -> DataFrame:
@@ -147,7 +148,7 @@ def segment_rates(clean: DataFrame, cfg: RiskConfig) -> DataFrame:
     g = segment_counts(clean, cfg).withColumn("min_n", _min_n(cfg))
     rates = apply_min_n(g, cfg.fallback_top)
     return rates.select(
-        "segment", _title(F.col("segment")).alias("title"), "value", "band_ord", "n",
+        "segment", _title("segment").alias("title"), "value", "band_ord", "n",
         "defaults", "default_rate",
         LF.rate_flag("default_rate", overall_rate(clean), cfg.near_band).alias("flag"))
 
