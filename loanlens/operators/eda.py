@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from loanlens import functions as LF
 from loanlens.config import RiskConfig
-from loanlens.operators.ranking import exact_quantiles
+from loanlens.operators.ranking import quantiles_from_counts
 
 NUMERIC_COLS = ("gpa", "original_loan_amount", "current_balance", "credits_earned", "num_loans")
 CORRELATION_COLS = ("gpa", "credits_earned", "original_loan_amount", "current_balance",
@@ -61,9 +61,10 @@ def quantiles(df: DataFrame, cols, probs, approx: bool = False,
     """(feature, p, q): per-column quantiles, linear interpolation like pandas.
 
     Exact mode reduces rows to (feature, value, count) with a map-side
-    combined aggregate and then finds the values at the two ranks around
-    (n - 1) p with a distributed running count (``ranking.exact_quantiles``):
-    no task ever holds a whole column. ``approx`` uses the fixed-size
+    combined aggregate; then either a size-checked map merge or, for columns
+    with more distinct values than the check allows, a distributed running
+    count (``ranking.quantiles_from_counts``): no task ever holds a whole
+    column of rows. ``approx`` uses the fixed-size
     ``percentile_approx`` sketch instead (no interpolation).
     """
     long = _long_values(df, cols)
@@ -73,7 +74,7 @@ def quantiles(df: DataFrame, cols, probs, approx: bool = False,
         return arr.select("feature", F.posexplode("_q").alias("_i", "q")).select(
             "feature", F.element_at(ps, F.col("_i") + 1).alias("p"), "q")
     counts = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("cnt"))
-    return exact_quantiles(counts, ["feature"], "value", "cnt", probs)
+    return quantiles_from_counts(counts, ["feature"], "value", "cnt", probs)
 
 
 def numeric_distribution(clean: DataFrame, cfg: RiskConfig,

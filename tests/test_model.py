@@ -143,9 +143,17 @@ def test_exact_quantiles_match_numpy(spark):
     rows = [(v_a, v_b) for v_a, v_b in itertools.zip_longest(vals["a"], vals["b"])]
     df = spark.createDataFrame(rows, "a double, b double")
     got = {(r.feature, r.p): r.q for r in quantiles(df, ["a", "b"], (0.1, 0.25, 0.5, 0.75, 0.99)).collect()}
+    # the distributed path (what columns beyond the map-merge bound use)
+    from loanlens.operators.ranking import quantiles_from_counts
+
+    long = df.selectExpr("stack(2, 'a', a, 'b', b) as (feature, value)").where("value is not null")
+    counts = long.groupBy("feature", "value").count()
+    dist = {(r.feature, r.p): r.q for r in quantiles_from_counts(
+        counts, ["feature"], "value", "count", (0.1, 0.25, 0.5, 0.75, 0.99), map_limit=1).collect()}
     for f, xs in vals.items():
         for p in (0.1, 0.25, 0.5, 0.75, 0.99):
             assert got[(f, p)] == pytest.approx(float(np.quantile(xs, p)), abs=1e-12), (f, p)
+            assert dist[(f, p)] == pytest.approx(float(np.quantile(xs, p)), abs=1e-12), (f, p)
 
 
 def test_folds_split_a_hot_id(spark):
