@@ -114,6 +114,6 @@ def correlation_with_default(clean: DataFrame, cols=CORRELATION_COLS,
         F.struct(F.lit(c).alias("feature"), F.col(f"n_{i}").alias("n_pairs"),
                  F.col(f"r_{i}").alias("r")) for i, c in enumerate(present)]))
     long = wide.select(stack.alias("s")).select("s.*").where(F.col("n_pairs") >= 2)
-    r = F.round(F.col("r"), digits)
+    r = F.round(F.col("r"), digits) + F.lit(0.0)   # + 0.0 turns a rounded -0.0 into 0.0
     return long.select("feature", r.alias("r"), LF.corr_direction(r).alias("direction"),
                        F.abs(r).alias("abs_r")).orderBy(F.desc("abs_r"), "feature")   # L6

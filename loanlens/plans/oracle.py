@@ -310,7 +310,7 @@ FROM clean WHERE {c} IS NOT NULL""" for c in NUMERIC_COLS)
         WHERE {c} IS NOT NULL AND default_flag IS NOT NULL)"""
         for c in CORRELATION_COLS)
     out["correlation_with_default"] = _with(f"corr AS (\n  {corr_rows}\n)") + """
-SELECT feature, round(r, 4) AS r,
+SELECT feature, round(r, 4) + 0.0 AS r,
        CASE WHEN round(r, 4) >= 0 THEN '+' WHEN round(r, 4) < 0 THEN '-' END AS direction,
        abs(round(r, 4)) AS abs_r
 FROM corr WHERE n_pairs >= 2"""
