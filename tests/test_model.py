@@ -165,3 +165,21 @@ def test_folds_split_a_hot_id(spark):
     for r in folded.groupBy("y").agg(F.collect_list("fold").alias("f")).collect():
         sizes = [r.f.count(i) for i in range(5)]
         assert max(sizes) - min(sizes) <= 1
+
+
+def test_folds_split_exact_copies(spark):
+    from loanlens.session import checkpoint_dir
+
+    checkpoint_dir(spark)
+    rows = [("HOT", "same", 1 if i % 4 == 0 else 0) for i in range(2000)] + \
+           [(f"S{i}", "x", i % 2) for i in range(100)]
+    df = spark.createDataFrame(rows, "sid string, prog string, y int").checkpoint(eager=True)
+    folded = stratified_folds(df, "sid", "y", 5, 42, hex_digits=1, tie_cols=["sid", "prog"],
+                              split_copies=True)
+    per = folded.groupBy("y", "fold").count().collect()
+    for y in (0, 1):
+        sizes = [r["count"] for r in per if r.y == y]
+        assert len(sizes) == 5 and max(sizes) - min(sizes) <= 1
+    # the copies land in 16 different window partitions
+    d = df.withColumn("_m", F.substring(F.md5(F.monotonically_increasing_id().cast("string")), 1, 1))
+    assert d.where("sid = 'HOT'").select("_m").distinct().count() == 16
