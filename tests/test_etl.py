@@ -126,3 +126,28 @@ def test_end_to_end_from_csv(spark, tmp_path):
     p.write_text("\n".join(lines) + "\n")
     clean = C.clean_dataset(read_raw(spark, str(p)), BANNER, CFG)
     assert clean.where(F.col("default_flag") == 1).count() == 1
+
+
+def test_read_raw_json_and_parquet(spark, tmp_path):
+    names, rows = banner_rows()
+    src = text_df(spark, names, rows)
+    src.write.json(str(tmp_path / "in.json"))
+    src.write.parquet(str(tmp_path / "in.parquet"))
+    for path, fmt in ((tmp_path / "in.json", "json"), (tmp_path / "in.parquet", "parquet")):
+        df = read_raw(spark, str(path), fmt)
+        assert all(t == "string" for _, t in df.dtypes)
+        assert C.clean_dataset(df, BANNER, CFG).count() == 2
+
+
+def test_workday_profile_on_fixture(spark):
+    from loanlens.sources.fixture import as_profile, raw_borrowers
+
+    raw = raw_borrowers(spark, "/root/testdata/sf0.001")
+    wd = get_profile("workday")
+    a = C.clean_dataset(raw, BANNER, CFG)
+    b = C.clean_dataset(as_profile(raw, wd), wd, CFG)
+    assert a.count() == b.count()
+    # same data, other withdrawn codes: only 'WD' is shared with Banner's set
+    wd_withdrawn = b.agg(F.sum("withdrawn")).first()[0]
+    assert wd_withdrawn == raw.where(F.upper(F.trim("SFBETRM_ESTS_CODE")) == "WD").join(
+        a.select(F.col("student_id").alias("ID_")), F.trim(F.col("ID")) == F.col("ID_")).count()

@@ -111,3 +111,14 @@ def test_feature_family_and_direction(spark):
     assert col_values(spark, ["gpa", "num_loans", "program"], LF.feature_family) == [
         LF.FAMILY_ACADEMIC, LF.FAMILY_LOAN, LF.FAMILY_OTHER]
     assert col_values(spark, [0.0, -0.1, 0.2], LF.corr_direction, T.DoubleType()) == ["+", "-", "+"]
+
+
+def test_approx_quantiles_option(spark):
+    from loanlens.config import RiskConfig
+    from loanlens.operators.eda import numeric_distribution
+
+    df = spark.createDataFrame([(float(i),) for i in range(1, 101)], "gpa double")
+    exact = numeric_distribution(df, RiskConfig(), cols=("gpa",)).first()
+    approx = numeric_distribution(df, RiskConfig(approx_quantiles=True), cols=("gpa",)).first()
+    assert exact.median == 50.5 and exact.p25 == 25.75
+    assert abs(approx.median - 50.5) <= 1 and abs(approx.p25 - 25.75) <= 1
