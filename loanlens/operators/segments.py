@@ -71,7 +71,8 @@ def _dimension_values(d: DataFrame) -> Column:
     parts = []
     for key, _ in SEGMENTS:
         value, ord_col = _DIMENSION_SOURCE[key]
-        o = f"`{ord_col}`" if ord_col else "CAST(NULL AS INT)"
+        # -1: not a band segment (a non-null int keeps the column's type simple)
+        o = f"coalesce(`{ord_col}`, -1)" if ord_col else "CAST(-1 AS INT)"
         parts.append(f"named_struct('segment', '{key}', 'value', CAST(`{value}` AS STRING), "
                      f"'band_ord', {o})")
     return F.expr(f"explode(array({', '.join(parts)}))")
@@ -159,8 +160,8 @@ def ordered(rates: DataFrame) -> DataFrame:
 
 
 def band_ordered(rates: DataFrame) -> DataFrame:
-    """L3: band segments in band order (rows without a band order last)."""
-    return rates.orderBy("segment", F.asc_nulls_last("band_ord"), "value")
+    """L3: band segments in band order (band_ord is -1 outside band segments)."""
+    return rates.orderBy("segment", "band_ord", "value")
 
 
 def top_segments(rates: DataFrame, cuts=(("state", TOP_STATES), ("program", TOP_PROGRAMS))

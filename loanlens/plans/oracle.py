@@ -182,16 +182,16 @@ def _level_label(x: str) -> str:
 
 
 def _segment_long() -> str:
-    none = "CAST(NULL AS INTEGER)"
+    none = "CAST(-1 AS INTEGER)"
     src = {
         "level": (_level_label("level"), none),
         "student_type": ("student_type", none),
         "campus": ("campus_code", none),
-        "gpa_band": (band("gpa", GPA_EDGES, GPA_LABELS), band_ord("gpa", GPA_EDGES)),
-        "age_band": (band("age", AGE_EDGES, AGE_LABELS), band_ord("age", AGE_EDGES)),
+        "gpa_band": (band("gpa", GPA_EDGES, GPA_LABELS), f"coalesce({band_ord('gpa', GPA_EDGES)}, -1)"),
+        "age_band": (band("age", AGE_EDGES, AGE_LABELS), f"coalesce({band_ord('age', AGE_EDGES)}, -1)"),
         "state": ("state", none),
         "loan_amount": (band("original_loan_amount", LOAN_EDGES, LOAN_LABELS),
-                        band_ord("original_loan_amount", LOAN_EDGES)),
+                        f"coalesce({band_ord('original_loan_amount', LOAN_EDGES)}, -1)"),
         "payment_plan": ("payment_plan", none),
         "program": ("program", none),
     }
@@ -367,7 +367,8 @@ SELECT count(*) AS n, CAST(sum(default_flag) AS BIGINT) AS defaults,
     out["class_weights"] = _with(folds, """per AS (
   SELECT fold, count(*) AS n, count_if(default_flag = 1) AS pos FROM folds GROUP BY fold
 )""") + """
-SELECT fold, n_train, n_train_pos, n_train - n_train_pos AS n_train_neg,
+SELECT fold, CAST(n_train AS BIGINT) AS n_train, CAST(n_train_pos AS BIGINT) AS n_train_pos,
+       CAST(n_train - n_train_pos AS BIGINT) AS n_train_neg,
        CAST(n_train AS DOUBLE) / ((n_train - n_train_pos) * 2.0) AS w_neg,
        CAST(n_train AS DOUBLE) / (n_train_pos * 2.0) AS w_pos
 FROM (SELECT fold, (SELECT sum(n) FROM per) - n AS n_train,
@@ -389,4 +390,22 @@ FROM agg WHERE n >= {SUBGROUP_MIN_N} AND n1 > 0 AND n0 > 0"""
     return out
 
 
-ORACLE_SQL = _sql()
+def _bigint_count_if(sql: str) -> str:
+    """Wrap every count_if(...) in CAST(... AS BIGINT): DuckDB returns HUGEINT."""
+    out, i, key = [], 0, "count_if("
+    while True:
+        j = sql.find(key, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 0, j + len(key) - 1
+        while True:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            if depth == 0:
+                break
+            k += 1
+        out.append(sql[i:j] + "CAST(" + sql[j:k + 1] + " AS BIGINT)")
+        i = k + 1
+
+
+ORACLE_SQL = {name: _bigint_count_if(sql) for name, sql in _sql().items()}
