@@ -208,4 +208,4 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return out
 
 
-__all__ = ["all_queries", "SQL_QUERIES", "PROFILE", "CFG", "MODEL_CFG", "F"]
+__all__ = ["all_queries", "SQL_QUERIES", "PROFILE", "CFG", "MODEL_CFG"]
