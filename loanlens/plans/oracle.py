@@ -352,6 +352,22 @@ SELECT * FROM (
     colleague_base = ("WITH " + RAW_CTE.strip() + "," + CONFORMED_CTE + ","
                       + cleanall_cte(("W", "WD", "WA", "WX"), "Y"))
     out["clean_dataset_colleague"] = colleague_base + "\nSELECT * FROM clean"
+    kv = "valid"
+    idr_v = f"(valid AND {_IDR})"
+    nidr_v = f"(valid AND NOT {_IDR})"
+    out["kpi_counts"] = _with() + f"""
+SELECT count_if({kv}) AS valid_population,
+       CAST(coalesce(sum(CASE WHEN {kv} THEN default_flag END), 0) AS BIGINT) AS defaults,
+       {rate("sum(CASE WHEN valid AND level = 'UG' THEN default_flag END)", "count_if(valid AND level = 'UG')")} AS default_rate_ug,
+       {rate("sum(CASE WHEN valid AND level = 'GR' THEN default_flag END)", "count_if(valid AND level = 'GR')")} AS default_rate_gr,
+       {rate(f"sum(CASE WHEN {idr_v} THEN default_flag END)", f"count_if({idr_v})")} AS idr_rate,
+       {rate(f"sum(CASE WHEN {nidr_v} THEN default_flag END)", f"count_if({nidr_v})")} AS non_idr_rate,
+       {rate(f"coalesce(sum(CASE WHEN {kv} THEN default_flag END), 0)", f"count_if({kv})")} AS default_rate,
+       {rate(f"sum(CASE WHEN {nidr_v} THEN default_flag END)", f"count_if({nidr_v})")}
+         - {rate(f"sum(CASE WHEN {idr_v} THEN default_flag END)", f"count_if({idr_v})")} AS idr_differential,
+       ({rate(f"sum(CASE WHEN {nidr_v} THEN default_flag END)", f"count_if({nidr_v})")}
+         - {rate(f"sum(CASE WHEN {idr_v} THEN default_flag END)", f"count_if({idr_v})")}) >= 0.05 AS idr_alert
+FROM cleanall"""
     out["overall_rate"] = _with() + f"""
 SELECT count(*) AS n, CAST(sum(default_flag) AS BIGINT) AS defaults,
        {rate('sum(default_flag)', 'count(*)')} AS default_rate FROM clean"""

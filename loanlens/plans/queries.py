@@ -147,6 +147,35 @@ def q_overall_rate(spark, sf_dir):
     return S.overall(_clean(spark, sf_dir))
 
 
+IDR_ALERT = 0.05   # the page highlights an IDR differential of five points or more
+
+
+def kpi_counts(raw: DataFrame) -> DataFrame:
+    """A16 without the model: all counts in ONE aggregate over the conformed rows."""
+    from loanlens import functions as LF
+
+    wide = C.with_clean_columns(conform(raw, PROFILE), PROFILE, CFG)
+    valid, y = F.col("_valid"), F.col("_default_flag")
+    idr = LF.idr_flag("_payment_plan", CFG.idr_pattern)
+    aggs = [F.count_if(valid).alias("valid_population"),
+            F.coalesce(F.sum(F.when(valid, y)), F.lit(0)).cast("bigint").alias("defaults")]
+    for code in CFG.level_codes:
+        in_level = valid & (F.col("_level") == code)
+        aggs.append(LF.safe_rate(F.sum(F.when(in_level, y)), F.count_if(in_level))
+                    .alias(f"default_rate_{code.lower()}"))
+    aggs += [LF.safe_rate(F.sum(F.when(valid & idr, y)), F.count_if(valid & idr)).alias("idr_rate"),
+             LF.safe_rate(F.sum(F.when(valid & ~idr, y)), F.count_if(valid & ~idr))
+             .alias("non_idr_rate")]
+    return (wide.agg(*aggs)
+            .withColumn("default_rate", LF.safe_rate("defaults", "valid_population"))
+            .withColumn("idr_differential", F.col("non_idr_rate") - F.col("idr_rate"))
+            .withColumn("idr_alert", F.col("idr_differential") >= IDR_ALERT))
+
+
+def q_kpi_counts(spark, sf_dir):
+    return kpi_counts(_raw(spark, sf_dir))
+
+
 def _folded(spark, sf_dir):
     from loanlens.operators.model import FOLD_TIE_COLS
 
@@ -192,6 +221,7 @@ SQL_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "segment_report": q_segment_report,
     "top_segments": q_top_segments,
     "overall_rate": q_overall_rate,
+    "kpi_counts": q_kpi_counts,
     "stratified_folds": q_stratified_folds,
     "class_weights": q_class_weights,
     "rank_auc_by_level": q_rank_auc_by_level,
