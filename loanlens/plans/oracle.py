@@ -403,6 +403,35 @@ FROM (SELECT fold, (SELECT sum(n) FROM per) - n AS n_train,
 SELECT level, n, n1 AS defaults, CAST(n1 AS DOUBLE) / n AS default_rate,
        CAST((rsum - n1 * (n1 + 1) / 2.0) AS DOUBLE) / (CAST(n1 AS DOUBLE) * n0) AS auc
 FROM agg WHERE n >= {SUBGROUP_MIN_N} AND n1 > 0 AND n0 > 0"""
+    out["fold_metrics_fixed_score"] = _with(folds, """fs AS (
+  SELECT f.fold, f.default_flag AS y, -coalesce(c.gpa, 0.0) AS score,
+         CASE WHEN coalesce(c.gpa, 0.0) < 2.0 THEN 1 ELSE 0 END AS pred
+  FROM folds f JOIN clean c ON c.student_id = f.student_id
+)""", """conf AS (
+  SELECT fold, count_if(y = 1 AND pred = 1) AS tp, count_if(y = 0 AND pred = 1) AS fp,
+         count_if(y = 1 AND pred = 0) AS fn, count_if(y = 0 AND pred = 0) AS tn
+  FROM fs GROUP BY fold
+)""", """rk AS (
+  SELECT fold, y, rank() OVER (PARTITION BY fold ORDER BY score)
+              + (count(*) OVER (PARTITION BY fold, score) - 1) / 2.0 AS mrank
+  FROM fs
+)""", """auc AS (
+  SELECT fold, CAST((sum(CASE WHEN y = 1 THEN mrank END)
+                     - count_if(y = 1) * (count_if(y = 1) + 1) / 2.0) AS DOUBLE)
+               / (CAST(count_if(y = 1) AS DOUBLE) * count_if(y = 0)) AS roc_auc
+  FROM rk GROUP BY fold
+)""", """m AS (
+  SELECT conf.*, auc.roc_auc,
+         coalesce(CASE WHEN tp + fp > 0 THEN CAST(tp AS DOUBLE) / (tp + fp) END, 0.0) AS precision,
+         coalesce(CASE WHEN tp + fn > 0 THEN CAST(tp AS DOUBLE) / (tp + fn) END, 0.0) AS recall
+  FROM conf JOIN auc USING (fold)
+)""") + """
+SELECT fold, roc_auc,
+       coalesce(CASE WHEN precision + recall <> 0
+                     THEN 2.0 * precision * recall / (precision + recall) END, 0.0) AS f1,
+       precision, recall,
+       CAST(tp + tn AS DOUBLE) / (tp + tn + fp + fn) AS accuracy, tp, fp, fn, tn
+FROM m"""
     return out
 
 

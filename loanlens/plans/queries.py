@@ -199,6 +199,17 @@ def q_rank_auc_by_level(spark, sf_dir):
     return subgroup_auc(scored, "level", "score", "default_flag", MODEL_CFG.subgroup_min_n)
 
 
+def q_fold_metrics_fixed_score(spark, sf_dir):
+    """M7 metric arithmetic per fold on a fixed rule (score -gpa, flag gpa < 2)."""
+    from loanlens.operators.model import fold_metrics
+
+    gpa = F.coalesce(F.col("gpa"), F.lit(0.0))
+    scored = _folded(spark, sf_dir).select(
+        F.lit("fixed rule").alias("model"), F.lit(0).alias("position"), "fold",
+        "default_flag", (-gpa).alias("score"), (gpa < 2.0).cast("int").alias("pred"))
+    return fold_metrics(scored).drop("model", "position")
+
+
 SQL_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "conform_headers": q_conform_headers,
     "reject_report": q_reject_report,
@@ -225,6 +236,7 @@ SQL_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stratified_folds": q_stratified_folds,
     "class_weights": q_class_weights,
     "rank_auc_by_level": q_rank_auc_by_level,
+    "fold_metrics_fixed_score": q_fold_metrics_fixed_score,
 }
 
 
