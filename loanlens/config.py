@@ -91,6 +91,8 @@ class ModelConfig:
     # concurrent fits submitted from the driver (like CrossValidator)
     parallelism: int = 8
     checkpoint_interval: int = 10
+    # training-table partitions follow its size (fewer, larger tasks per fit)
+    rows_per_partition: int = 1_000_000
     subgroup_min_n: int = SUBGROUP_MIN_N
     level_codes: tuple[str, ...] = LEVEL_CODES
 
