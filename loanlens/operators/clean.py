@@ -83,7 +83,11 @@ def population_counts(raw: DataFrame, profile: Profile, cfg: RiskConfig) -> Data
     One aggregate over the conformed rows (before the filter) gives every
     count in a single pass.
     """
-    wide = with_clean_columns(conform(raw, profile), profile, cfg)
+    return population_counts_wide(with_clean_columns(conform(raw, profile), profile, cfg))
+
+
+def population_counts_wide(wide: DataFrame) -> DataFrame:
+    """A1 + A3 on the output of ``with_clean_columns`` (all rows)."""
     valid = F.col("_valid")
     agg = wide.agg(
         F.count(F.lit(1)).alias("total_raw"),

@@ -55,9 +55,15 @@ def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _memo("raw", spark, sf_dir, lambda: raw_borrowers(spark, sf_dir))
 
 
+def _wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conformed rows with every typed column and the validity flag (all rows)."""
+    return _memo("wide", spark, sf_dir, lambda: C.with_clean_columns(
+        conform(_raw(spark, sf_dir), PROFILE), PROFILE, CFG))
+
+
 def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _memo("clean", spark, sf_dir,
-                 lambda: C.clean_dataset(_raw(spark, sf_dir), PROFILE, CFG)
+                 lambda: C.project_final(_wide(spark, sf_dir).where(F.col("_valid")))
                  .persist(StorageLevel.MEMORY_AND_DISK))
 
 
@@ -74,7 +80,7 @@ def q_clean_dataset(spark, sf_dir):
 
 
 def q_population_counts(spark, sf_dir):
-    return C.population_counts(_raw(spark, sf_dir), PROFILE, CFG)
+    return C.population_counts_wide(_wide(spark, sf_dir))
 
 
 def q_level_breakdown(spark, sf_dir):
@@ -150,11 +156,12 @@ def q_overall_rate(spark, sf_dir):
 IDR_ALERT = 0.05   # the page highlights an IDR differential of five points or more
 
 
-def kpi_counts(raw: DataFrame) -> DataFrame:
+def kpi_counts(raw: DataFrame, wide: DataFrame | None = None) -> DataFrame:
     """A16 without the model: all counts in ONE aggregate over the conformed rows."""
     from loanlens import functions as LF
 
-    wide = C.with_clean_columns(conform(raw, PROFILE), PROFILE, CFG)
+    if wide is None:
+        wide = C.with_clean_columns(conform(raw, PROFILE), PROFILE, CFG)
     valid, y = F.col("_valid"), F.col("_default_flag")
     idr = LF.idr_flag("_payment_plan", CFG.idr_pattern)
     aggs = [F.count_if(valid).alias("valid_population"),
@@ -173,7 +180,7 @@ def kpi_counts(raw: DataFrame) -> DataFrame:
 
 
 def q_kpi_counts(spark, sf_dir):
-    return kpi_counts(_raw(spark, sf_dir))
+    return kpi_counts(_raw(spark, sf_dir), _wide(spark, sf_dir))
 
 
 def _folded(spark, sf_dir):
