@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import loanlens
 from loanlens.session import checkpoint_dir
 
 #: Bytes of text that one vectorised step of a task handles at a time (a longer
@@ -26,6 +30,29 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give this package's modules to the executors' Python workers, once per application.
+
+    They need not have the driver's working folder or path.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(loanlens.__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="loanlens-py-"), "loanlens.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
+
+
 def save_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once below the shared checkpoint folder and read it back.
 

@@ -411,8 +411,9 @@ def similarity_classes(docs: DataFrame, words: int = 5, threshold: int = 80) ->
         _key_pass(words, pa.int64()),
         "doc_id long, n_shingles long, k1 long, k2 long, is_token boolean"), "jaccard-keys")
     rows = keyed.where(~F.col("is_token")).select("doc_id", "n_shingles", "k1", "k2")
-    classes = (rows.where("n_shingles > 0 and doc_id is not null").groupBy("k1", "k2", "n_shingles")
-               .agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")))
+    # stored, so that the joins below read plain shuffles, which Spark can split at a hot class
+    classes = save_table(rows.where("n_shingles > 0 and doc_id is not null").groupBy("k1", "k2", "n_shingles")
+                         .agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")), "jaccard-classes")
     top = (keyed.where("is_token").groupBy("k1").agg(F.sum("n_shingles").alias("times"))
            .orderBy(F.desc("times"), "k1").limit(FREQUENT_LIMIT).select("k1").collect())
     frequent = np.sort(np.array([r[0] for r in top], np.int64).view(np.uint64))
@@ -435,7 +436,7 @@ def similarity_classes(docs: DataFrame, words: int = 5, threshold: int = 80) ->
     cells = save_table(_cells(groups, threshold), "jaccard-cells")
     with_text = table.join(
         cells.groupBy("doc_id", "k1", "k2", "copies").agg(
-            F.collect_list(F.struct("cell", "side")).alias("to")), "doc_id").select(
+            F.collect_list(F.struct("cell", "side")).alias("to")).hint("shuffle_hash"), "doc_id").select(
         "doc_id", "text", "k1", "k2", "copies", "to")
     sets = with_text.mapInArrow(
         _set_pass(words), "doc_id long, tokens binary, copies long, to array<struct<cell:string,side:long>>")

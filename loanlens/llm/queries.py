@@ -2,28 +2,77 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .chat_preference import neighbour_pairs, preference_report
+from .common import ship_package
+from .decontam import contamination
 from .exact_dedup import exact_duplicates
+from .html_tree import main_text
 from .jaccard_join import similarity_classes
+from .mixing import mix_sources
+from .repeats import cut_repeats
+from .secrets import secret_report
+from .toxicity import toxicity
+from .wordpiece import PieceAutomaton, read_vocabulary, token_counts
+
+#: Vocabulary file of the registered token count (a parameter of the operator).
+VOCABULARY = os.environ.get("LOANLENS_VOCABULARY", "/opt/tokenizers/byte_bpe_50k.tiktoken")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(_table(spark, sf_dir, "pages"))
+
+
+def op2_chat_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations")
+    return preference_report(neighbour_pairs(turns), turns)
+
+
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similarity_classes(_table(spark, sf_dir, "documents"), words=3, threshold=90)
 
 
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(_table(spark, sf_dir, "documents"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(_table(spark, sf_dir, "documents"), PieceAutomaton(read_vocabulary(VOCABULARY)))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {
-    "op3_jaccard_join": op3_jaccard_join,
-    "op7_exact_dedup": op7_exact_dedup,
-}
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = cut_repeats(_table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_report(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_html_extraction, op2_chat_preferences, op3_jaccard_join, op4_source_mixing, op5_toxicity,
+    op6_token_counts, op7_exact_dedup, op8_decontamination, op9_suffix_dedup, op10_secret_scan)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -51,7 +100,60 @@ classes AS (SELECT d.doc_id, coalesce(max(sz.n), 0)::BIGINT AS n_shingles,
 
 
 ORACLE_SQL = {
+    "op2_chat_preferences": """
+WITH t AS (SELECT conv_id // 2 AS pair_id, conv_id % 2 AS side, conv_id, role, text, row_number() OVER (
+             PARTITION BY conv_id ORDER BY turn NULLS LAST, role NULLS LAST, text NULLS LAST) - 1 AS idx
+           FROM conversations WHERE conv_id IS NOT NULL),
+d AS (SELECT coalesce(a.pair_id, b.pair_id) AS pair_id, coalesce(a.idx, b.idx) AS idx,
+        a.idx IS NULL OR b.idx IS NULL OR a.role IS DISTINCT FROM b.role OR a.text IS DISTINCT FROM b.text AS differs
+      FROM (SELECT * FROM t WHERE side = 0) a FULL JOIN (SELECT * FROM t WHERE side = 1) b
+        ON a.pair_id = b.pair_id AND a.idx = b.idx),
+c AS (SELECT pair_id, coalesce(min(CASE WHEN differs THEN idx END), max(idx) + 1) AS n_common FROM d GROUP BY 1),
+p AS (SELECT t.*, n_common, CASE WHEN idx < n_common THEN 'prompt' WHEN side = 0 THEN 'chosen' ELSE 'rejected' END AS part,
+        '<|start|>' || coalesce(role, 'unknown') || chr(10) AS head, coalesce(text, '') || '<|end|>' || chr(10) AS tail
+      FROM t JOIN c USING (pair_id) WHERE idx >= n_common OR side = 0),
+q AS (SELECT *, coalesce(sum(length(head || tail)) OVER (PARTITION BY pair_id, part ORDER BY idx
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS pos FROM p)
+SELECT pair_id, (SELECT max(conv_id) FROM t x WHERE x.pair_id = q.pair_id AND side = 0) AS chosen_id,
+  (SELECT max(conv_id) FROM t x WHERE x.pair_id = q.pair_id AND side = 1) AS rejected_id, max(n_common) AS n_common,
+  coalesce(string_agg(head || tail, '' ORDER BY idx) FILTER (part = 'prompt'), '') AS prompt,
+  coalesce(string_agg(head || tail, '' ORDER BY idx) FILTER (part = 'chosen'), '') AS chosen,
+  coalesce(string_agg(head || tail, '' ORDER BY idx) FILTER (part = 'rejected'), '') AS rejected,
+  coalesce(string_agg((pos + length(head)) || ':' || (pos + length(head || tail)), ',' ORDER BY idx)
+           FILTER (part = 'chosen' AND role = 'assistant'), '') AS chosen_loss,
+  coalesce(string_agg((pos + length(head)) || ':' || (pos + length(head || tail)), ',' ORDER BY idx)
+           FILTER (part = 'rejected' AND role = 'assistant'), '') AS rejected_loss
+FROM q GROUP BY pair_id""",
     "op3_jaccard_join": f"WITH RECURSIVE {classes_sql('documents', 3, 90)} SELECT * FROM classes",
+    "op4_source_mixing": """
+WITH z AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size
+           FROM documents),
+s0 AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS src
+       FROM z GROUP BY source),
+s1 AS (SELECT *, CASE src % 3 WHEN 0 THEN 5.0 WHEN 1 THEN 2.0 ELSE 1.0 END::DOUBLE AS w,
+         (2 * source_size)::DOUBLE AS lim, (SELECT sum(size) FROM z)::DOUBLE * 1.5 AS goal FROM s0),
+s2 AS (SELECT *, (goal - coalesce(sum(lim) OVER b, 0)) / (sum(w) OVER () - coalesce(sum(w) OVER b, 0)) AS level
+       FROM s1 WINDOW b AS (ORDER BY lim / w, src ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+lv AS (SELECT min_by(level, (lim / w, src)) AS level FROM s2 WHERE level * w <= lim),
+s3 AS (SELECT src, source, source_size, goal, least(lim, (SELECT level FROM lv) * w) AS target FROM s2),
+s4 AS (SELECT *, coalesce(sum(target) OVER (ORDER BY src ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / goal AS lo,
+         CASE WHEN src = max(src) FILTER (target > 0) OVER () THEN 1.0 ELSE
+         sum(target) OVER (ORDER BY src ROWS UNBOUNDED PRECEDING) / goal END AS hi FROM s3),
+sl AS (SELECT i, (i % 2147483648 * 1327217885 % 2147483648) / 2147483648.0::DOUBLE AS u
+       FROM range((SELECT round_even(max(goal) / 64, 0)::BIGINT FROM s3)) r(i)),
+pk AS (SELECT src, source_size, row_number() OVER (PARTITION BY src ORDER BY i) - 1 AS pick
+       FROM sl JOIN s4 ON u >= lo AND u < hi),
+rd AS (SELECT src, pick % ceil(source_size / 64.0)::BIGINT AS block, count(*) AS times FROM pk
+       WHERE pick < 2 * ceil(source_size / 64.0) GROUP BY 1, 2),
+st AS (SELECT z.doc_id, z.source, z.size, s3.src, source_size, target, coalesce(sum(size) OVER (PARTITION BY s3.src
+         ORDER BY md5(coalesce(doc_id::VARCHAR, '') || ':mix'), doc_id, size
+         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS off
+       FROM z JOIN s3 ON z.source IS NOT DISTINCT FROM s3.source),
+pc AS (SELECT *, unnest(CASE WHEN size > 0 THEN range(off // 64, (off + size - 1) // 64 + 1) ELSE [-1] END) AS block FROM st)
+SELECT doc_id, pc.source, size, source_size, target,
+  sum(CASE WHEN size > 0 THEN (least(off + size, (block + 1) * 64) - greatest(off, block * 64)) * coalesce(times, 0)
+      ELSE 0 END)::BIGINT AS taken
+FROM pc LEFT JOIN rd USING (src, block) GROUP BY doc_id, pc.source, size, source_size, target, off""",
     "op7_exact_dedup": """
 WITH t AS (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256 FROM documents)
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
