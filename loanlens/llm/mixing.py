@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .common import save_table
 
-WORD = r"[^\x20\x09-\x0D]+"
+WORD = r"[^\x20\x09\x0A\x0B\x0C\x0D]+"
 #: Odd integer next to 2**31 / golden ratio: the step of the slot points.
 STEP = 1_327_217_885
 POINTS = 1 << 31

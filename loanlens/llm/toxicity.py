@@ -256,5 +256,17 @@ def score(docs: DataFrame, chain: Chain, cfg: ChainSettings = ChainSettings()) -
         f"p_{x} double" for x in LINKS) + ", toxic boolean")
 
 
+def reject_toxic(docs: DataFrame, chain: Chain, cfg: ChainSettings = ChainSettings()) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that the chain does not call toxic."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            text = batch.column(batch.schema.get_field_index("text"))
+            for i, j, data, offs in text_chunks(text):
+                feature, doc = text_features(data, offs, cfg)
+                p = chain_probabilities(chain.links, doc, feature, j - i, cfg.bits)
+                yield batch.slice(i, j - i).filter(pa.array(p[:, -1] < chain.threshold))
+    return docs.mapInArrow(run, docs.schema)
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, cfg: ChainSettings = ChainSettings()) -> DataFrame:
     return score(docs, fit_chain(docs, labels, cfg), cfg)
