@@ -3,7 +3,7 @@
 Each SQL query is executed to completion with the ``noop`` sink (the whole
 plan runs, nothing is collected). The model block is one 5-fold
 cross-validation of the three classifiers plus the best-model refit
-(``ModelConfig.quick()`` ensembles), timed once and shared by the model
+(full settings), timed once and shared by the model
 queries, as in the driver's check. Prints ONE JSON line.
 """
 

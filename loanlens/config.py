@@ -54,19 +54,18 @@ class RiskConfig:
     fallback_top: int = FALLBACK_TOP
     near_band: float = NEAR_BAND
     idr_pattern: str = IDR_PATTERN
-    birth_date_formats: tuple[str, ...] = (
-        "yyyy-MM-dd", "MM/dd/yyyy", "yyyy/MM/dd", "yyyy-MM-dd HH:mm:ss")
-    # exact percentiles merge one (value -> count) map per column; switch to
-    # the fixed-memory sketch for columns with an unbounded number of values
+    # show every segment's largest groups, as if none reached its min_n
+    always_fallback: bool = False
+    # percentiles are exact; this asks for the fixed-memory sketch instead
     approx_quantiles: bool = False
     approx_accuracy: int = 100_000
 
     def min_n(self, segment_key: str) -> int:
         return dict(self.min_n_overrides).get(segment_key, self.min_n_default)
 
-    def with_min_n(self, n: int) -> "RiskConfig":
-        """Same config with one min_n for every segment."""
-        return replace(self, min_n_default=n, min_n_overrides=())
+    def fallback_only(self) -> "RiskConfig":
+        """Same config, but every segment shows its largest groups."""
+        return replace(self, always_fallback=True)
 
 
 @dataclass(frozen=True)
@@ -81,22 +80,17 @@ class ModelConfig:
     gbt_depth: int = GBT_DEPTH
     gbt_learning_rate: float = GBT_LEARNING_RATE
     lr_max_iter: int = LR_MAX_ITER
-    lr_tol: float = 1e-4        # stopping tolerance of the L-BFGS fit
     max_bins: int = 32
     models: tuple[str, ...] = (
         "Logistic Regression", "Random Forest", "Gradient Boosting")
     include_current_balance: bool = True
-    # fold assignment: 16**hex_digits hash-range buckets per class
-    fold_hex_digits: int = 3
+    # fold assignment: 16**hex_digits ranges of the dealing hash per class; a
+    # range is one window partition (65,536 of them hold 10**11 rows easily)
+    fold_hex_digits: int = 4
     # concurrent fits submitted from the driver (like CrossValidator)
     parallelism: int = 8
     checkpoint_interval: int = 10
-    # training-table partitions follow its size (fewer, larger tasks per fit)
-    rows_per_partition: int = 1_000_000
+    # statistics memory of one tree-growing pass (more nodes per pass, fewer jobs)
+    tree_memory_mb: int = 1024
     subgroup_min_n: int = SUBGROUP_MIN_N
     level_codes: tuple[str, ...] = LEVEL_CODES
-
-    @classmethod
-    def quick(cls) -> "ModelConfig":
-        """Same models and 5 folds, smaller ensembles (driver checks, tests)."""
-        return cls(rf_trees=40, gbt_stages=30, lr_max_iter=200)

@@ -6,7 +6,7 @@ codegen; none of them is a Python UDF.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -59,14 +59,20 @@ def normalize_str_upper(c: ColumnOrName) -> Column:
     return F.upper(normalize_str(c))
 
 
+# Largest finite double; a decimal beyond it would be read as infinity.
+MAX_DOUBLE = 1.7976931348623157e308
+
+
 def to_numeric(c: ColumnOrName) -> Column:
-    """D3: text -> double; anything that is not a plain number becomes null.
+    """D3: text -> finite double; anything that is not a plain number becomes null.
 
     The pattern guard keeps Spark's lenient casts ('1.5d', 'NaN', 'Infinity')
-    out, and ``try_cast`` keeps ANSI mode from failing the job.
+    out, ``try_cast`` keeps ANSI mode from failing the job, and a number too
+    large for a double is null rather than infinity.
     """
     s = normalize_str(c)
-    return F.when(s.rlike(NUMERIC_PATTERN), s.try_cast("double"))
+    v = F.when(s.rlike(NUMERIC_PATTERN), s.try_cast("double"))
+    return F.when(F.abs(v) <= F.lit(MAX_DOUBLE), v)
 
 
 def clean_currency(c: ColumnOrName) -> Column:
@@ -90,10 +96,26 @@ def na_to_null(c: ColumnOrName) -> Column:
     return F.when(~s.isin(*NA_TOKENS), s)
 
 
-def parse_date(c: ColumnOrName, formats: Sequence[str]) -> Column:
-    """First format that parses wins; otherwise null (never fails)."""
+# Dates as exports write them: year first or month first, padded or not, with
+# an optional time of day that does not matter here.
+_TIME = r"(?:[T ]\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?(?: ?[AaPp][Mm])?(?:Z|[+-]\d{2}:?\d{2})?)?"
+YEAR_FIRST = rf"^(\d{{4}})([-/])(\d{{1,2}})\2(\d{{1,2}}){_TIME}$"
+MONTH_FIRST = rf"^(\d{{1,2}})([-/])(\d{{1,2}})\2(\d{{4}}){_TIME}$"
+
+
+def parse_date(c: ColumnOrName) -> Column:
+    """Date of a year-first or month-first text; otherwise null (never fails).
+
+    The text's shape picks one rearrangement, so each row is parsed once.
+    """
     s = normalize_str(c)
-    return F.to_date(F.coalesce(*[F.try_to_timestamp(s, F.lit(f)) for f in formats]))
+
+    def parts(pattern: str, order: tuple[int, int, int]) -> Column:
+        return F.concat_ws("-", *[F.regexp_extract(s, pattern, k) for k in order])
+
+    plain = (F.when(s.rlike(YEAR_FIRST), parts(YEAR_FIRST, (1, 3, 4)))
+             .when(s.rlike(MONTH_FIRST), parts(MONTH_FIRST, (4, 1, 3))))
+    return F.to_date(F.try_to_timestamp(plain, F.lit("yyyy-M-d")))
 
 
 def age_years(birth: ColumnOrName, as_of: str) -> Column:
@@ -238,12 +260,6 @@ def corr_direction(r: ColumnOrName) -> Column:
     return F.when(_c(r) >= 0, F.lit("+")).when(_c(r) < 0, F.lit("-"))
 
 
-def column_group(header: ColumnOrName, servicer_headers: Iterable[str]) -> Column:
-    """D24: 'loan servicer' for servicer headers, else 'academic'."""
-    return F.when(_c(header).isin(*list(servicer_headers)), F.lit("loan servicer")).otherwise(
-        F.lit("academic"))
-
-
 def pair_complete(x: ColumnOrName, y: ColumnOrName) -> tuple[Column, Column]:
     """both inputs nulled where either is null."""
     xc, yc = _c(x), _c(y)

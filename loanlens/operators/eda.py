@@ -11,13 +11,13 @@ from pyspark.sql import functions as F
 
 from loanlens import functions as LF
 from loanlens.config import RiskConfig
-from loanlens.operators.ranking import quantiles_from_counts
+from loanlens.operators.ranking import exact_quantiles
 
+# Profiled and correlated columns, in report order.
 NUMERIC_COLS = ("gpa", "original_loan_amount", "current_balance", "credits_earned", "num_loans")
 CORRELATION_COLS = ("gpa", "credits_earned", "original_loan_amount", "current_balance",
                     "num_loans", "graduated", "withdrawn")
 QUANTILES = (0.25, 0.5, 0.75)
-DISPLAY_DIGITS = 4
 
 
 def class_balance(clean: DataFrame, label: str = "default_flag") -> DataFrame:
@@ -61,10 +61,8 @@ def quantiles(df: DataFrame, cols, probs, approx: bool = False,
     """(feature, p, q): per-column quantiles, linear interpolation like pandas.
 
     Exact mode reduces rows to (feature, value, count) with a map-side
-    combined aggregate; then either a size-checked map merge or, for columns
-    with more distinct values than the check allows, a distributed running
-    count (``ranking.quantiles_from_counts``): no task ever holds a whole
-    column of rows. ``approx`` uses the fixed-size
+    combined aggregate, then finds the ranks with a distributed running count
+    (``ranking.exact_quantiles``): no task ever holds a whole column. ``approx`` uses the fixed-size
     ``percentile_approx`` sketch instead (no interpolation).
     """
     long = _long_values(df, cols)
@@ -74,31 +72,38 @@ def quantiles(df: DataFrame, cols, probs, approx: bool = False,
         return arr.select("feature", F.posexplode("_q").alias("_i", "q")).select(
             "feature", F.element_at(ps, F.col("_i") + 1).alias("p"), "q")
     counts = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("cnt"))
-    return quantiles_from_counts(counts, ["feature"], "value", "cnt", probs)
+    return exact_quantiles(counts, ["feature"], "value", "cnt", probs)
 
 
 def numeric_distribution(clean: DataFrame, cfg: RiskConfig,
-                         cols=NUMERIC_COLS, digits: int = DISPLAY_DIGITS) -> DataFrame:
-    """Min, max, mean, median, sample std, p25, p75 per numeric column."""
+                         cols=NUMERIC_COLS) -> DataFrame:
+    """Min, max, mean, median, sample std, p25, p75 per numeric column, unrounded.
+
+    The moments are one wide aggregate over the rows, unpivoted after.
+    """
     present = [c for c in cols if c in clean.columns]
-    moments = _long_values(clean, present).groupBy("feature").agg(
-        F.min("value").alias("min"), F.max("value").alias("max"),
-        F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"))
+    stats = (("min", F.min), ("max", F.max), ("mean", F.avg), ("std", F.stddev_samp))
+    wide = clean.agg(*[f(F.col(c).cast("double")).alias(f"{n}_{i}")
+                       for i, c in enumerate(present) for n, f in stats])
+    moments = wide.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("feature"), *[F.col(f"{n}_{i}").alias(n) for n, _ in stats])
+        for i, c in enumerate(present)])).alias("s")).select("s.*")
     q = quantiles(clean, present, QUANTILES, cfg.approx_quantiles, cfg.approx_accuracy)
     qw = q.groupBy("feature").agg(*[
         F.max(F.when(F.col("p") == p, F.col("q"))).alias(name)
         for p, name in zip(QUANTILES, ("p25", "median", "p75"))])
     out = moments.join(qw, "feature")
-    r = lambda c: F.round(F.col(c), digits)
-    return out.select(
-        "feature", r("min").alias("min"), r("max").alias("max"), r("mean").alias("mean"),
-        r("median").alias("median"), r("std").alias("std"), r("p25").alias("p25"),
-        r("p75").alias("p75"))
+    return out.select("feature", "min", "max", "mean", "median", "std", "p25", "p75")
+
+
+def display_view(table: DataFrame, digits: int = 4) -> DataFrame:
+    """The same table with its fractions rounded half to even, for display only."""
+    return table.select(*[LF.display_round(c, digits).alias(c) if kind == "double" else F.col(c)
+                          for c, kind in table.dtypes])
 
 
 def correlation_with_default(clean: DataFrame, cols=CORRELATION_COLS,
-                             label: str = "default_flag",
-                             digits: int = DISPLAY_DIGITS) -> DataFrame:
+                             label: str = "default_flag") -> DataFrame:
     """A10: Pearson r of each column with the label over pair-complete rows.
 
     Columns with fewer than two complete pairs are left out; a constant column
@@ -114,6 +119,5 @@ def correlation_with_default(clean: DataFrame, cols=CORRELATION_COLS,
         F.struct(F.lit(c).alias("feature"), F.col(f"n_{i}").alias("n_pairs"),
                  F.col(f"r_{i}").alias("r")) for i, c in enumerate(present)]))
     long = wide.select(stack.alias("s")).select("s.*").where(F.col("n_pairs") >= 2)
-    r = F.round(F.col("r"), digits) + F.lit(0.0)   # + 0.0 turns a rounded -0.0 into 0.0
-    return long.select("feature", r.alias("r"), LF.corr_direction(r).alias("direction"),
-                       F.abs(r).alias("abs_r")).orderBy(F.desc("abs_r"), "feature")   # L6
+    return long.select("feature", "r", LF.corr_direction("r").alias("direction"),
+                       F.abs("r").alias("abs_r")).orderBy(F.desc("abs_r"), "feature")   # L6

@@ -80,31 +80,6 @@ def exact_quantiles(counts: DataFrame, group_cols: Sequence[str], value_col: str
     return picked.select(*g, "p", (F.col("_vlo") + frac * (F.col("_vhi") - F.col("_vlo"))).alias("q"))
 
 
-# Largest number of distinct values per group whose value->count map may be
-# merged in one task (about 16 bytes per entry, so tens of MB at most).
-MAP_MERGE_LIMIT = 1_000_000
-
-
-def quantiles_from_counts(counts: DataFrame, group_cols: Sequence[str], value_col: str,
-                          count_col: str, probs: Sequence[float],
-                          map_limit: int = MAP_MERGE_LIMIT) -> DataFrame:
-    """Exact quantiles (group..., p, q) with a size check before the cheap path.
-
-    One small job counts the distinct values per group. When every group has
-    at most ``map_limit`` of them, ``percentile(value, p, count)`` merges one
-    bounded value->count map per group; beyond that bound the distributed
-    running-count path (``exact_quantiles``) is used. Both are exact.
-    """
-    g = list(group_cols)
-    widest = counts.groupBy(*g).agg(F.count(F.lit(1)).alias("_d")).agg(F.max("_d")).first()[0]
-    if widest is not None and widest > map_limit:
-        return exact_quantiles(counts, g, value_col, count_col, probs)
-    ps = F.array(*[F.lit(float(p)) for p in probs])
-    arr = counts.groupBy(*g).agg(F.percentile(value_col, ps, F.col(count_col)).alias("_q"))
-    return arr.select(*g, F.posexplode("_q").alias("_i", "q")).select(
-        *g, F.element_at(ps, F.col("_i") + 1).alias("p"), "q")
-
-
 def score_counts(df: DataFrame, group_cols: Sequence[str], score_col: str,
                  label_col: str) -> DataFrame:
     g = list(group_cols)

@@ -36,6 +36,8 @@ IDR_LABELS = ("IDR enrolled", "Non-IDR")
 # Chart cuts of the ordered segment tables.
 TOP_STATES = 10
 TOP_PROGRAMS = 15
+# Cuts of the result page.
+PAGE_CUTS = (("state", 10), ("program", 12))
 
 
 def with_segment_columns(clean: DataFrame, cfg: RiskConfig) -> DataFrame:
@@ -66,10 +68,10 @@ _DIMENSION_SOURCE = {   # segment key -> (value column, band-order column)
 }
 
 
-def _dimension_values(d: DataFrame) -> Column:
-    """explode(array(struct(segment, value, band_ord) x 9)) as one SQL expression."""
+def _dimension_values(keys) -> Column:
+    """explode(array(struct(segment, value, band_ord) per key)) as one SQL expression."""
     parts = []
-    for key, _ in SEGMENTS:
+    for key in keys:
         value, ord_col = _DIMENSION_SOURCE[key]
         # -1: not a band segment (a non-null int keeps the column's type simple)
         o = f"coalesce(`{ord_col}`, -1)" if ord_col else "CAST(-1 AS INT)"
@@ -78,10 +80,10 @@ def _dimension_values(d: DataFrame) -> Column:
     return F.expr(f"explode(array({', '.join(parts)}))")
 
 
-def segment_counts(clean: DataFrame, cfg: RiskConfig) -> DataFrame:
-    """(segment, value, band_ord, n, defaults) for every non-null value."""
+def segment_counts(clean: DataFrame, cfg: RiskConfig, keys=tuple(k for k, _ in SEGMENTS)) -> DataFrame:
+    """(segment, value, band_ord, n, defaults) for every non-null value of the named segments."""
     d = with_segment_columns(clean, cfg)
-    long = d.select(F.col("default_flag"), _dimension_values(d).alias("s")).select(
+    long = d.select(F.col("default_flag"), _dimension_values(keys).alias("s")).select(
         "default_flag", "s.*").where(F.col("value").isNotNull())
     return long.groupBy("segment", "value").agg(
         F.min("band_ord").alias("band_ord"),
@@ -107,30 +109,20 @@ def overall(clean: DataFrame) -> DataFrame:
         LF.safe_rate(F.sum("default_flag"), F.count(F.lit(1))).alias("default_rate"))
 
 
-def overall_rate(clean: DataFrame) -> Column:
-    """Overall default rate as a scalar subquery column."""
-    return clean.select(
-        LF.safe_rate(F.sum("default_flag"), F.count(F.lit(1))).alias("r")).scalar()
-
-
-def apply_min_n(g: DataFrame, top: int) -> DataFrame:
+def apply_min_n(g: DataFrame, top: int, always_fallback: bool = False) -> DataFrame:
     """A11 core on (segment, value, n, defaults, min_n, ...) rows.
 
     Groups below the segment's min_n are dropped; when no group of a segment
-    reaches it, that segment shows its ``top`` largest groups instead. The
-    per-segment maximum is a tiny table (one row per segment dimension), so
-    broadcasting it is safe at any data size. The fallback is a
-    ``row_number <= k`` filter, which Spark turns into a partial per-task
-    limit before the shuffle.
+    reaches it (or ``always_fallback``), that segment shows its ``top`` largest
+    groups instead. One window per segment over the counted values (one row
+    per distinct value, largest first) gives both the rank and, as its first
+    row, the segment's maximum, so the counts are read once.
     """
-    seg_max = g.groupBy("segment").agg(F.max("n").alias("seg_max"))
-    gj = g.join(F.broadcast(seg_max), "segment")
-    keep = gj.where(F.col("n") >= F.col("min_n"))
     w = Window.partitionBy("segment").orderBy(F.desc("n"), F.asc("value"))
-    fallback = (gj.where(F.col("seg_max") < F.col("min_n"))
-                .withColumn("_rn", F.row_number().over(w))
-                .where(F.col("_rn") <= top).drop("_rn"))
-    return keep.unionByName(fallback).drop("seg_max", "min_n").withColumn(
+    ranked = g.withColumn("_rn", F.row_number().over(w)).withColumn("_max", F.first("n").over(w))
+    fallback = F.lit(True) if always_fallback else F.col("_max") < F.col("min_n")
+    shown = F.when(fallback, F.col("_rn") <= top).otherwise(F.col("n") >= F.col("min_n"))
+    return ranked.where(shown).drop("_rn", "_max", "min_n").withColumn(
         "default_rate", LF.safe_rate("defaults", "n"))
 
 
@@ -147,11 +139,15 @@ def segment(df: DataFrame, group_col: str, min_n: int = 5, top: int = FALLBACK_T
 def segment_rates(clean: DataFrame, cfg: RiskConfig) -> DataFrame:
     """A11/A12 + D17: default rate per value of the nine segment dimensions."""
     g = segment_counts(clean, cfg).withColumn("min_n", _min_n(cfg))
-    rates = apply_min_n(g, cfg.fallback_top)
+    rates = apply_min_n(g, cfg.fallback_top, cfg.always_fallback)
+    # every clean row has a level, so the level counts hold the overall rate;
+    # the subquery reuses the counts' shuffle
+    overall_rate = g.where(F.col("segment") == "level").select(
+        LF.safe_rate(F.sum("defaults"), F.sum("n"))).scalar()
     return rates.select(
         "segment", _title("segment").alias("title"), "value", "band_ord", "n",
         "defaults", "default_rate",
-        LF.rate_flag("default_rate", overall_rate(clean), cfg.near_band).alias("flag"))
+        LF.rate_flag("default_rate", overall_rate, cfg.near_band).alias("flag"))
 
 
 def ordered(rates: DataFrame) -> DataFrame:
@@ -219,18 +215,25 @@ def idr_finding(clean: DataFrame, cfg: RiskConfig) -> DataFrame:
     ).withColumn("idr_differential", F.col("non_idr_rate") - F.col("idr_rate"))
 
 
-def segment_report(clean: DataFrame, cfg: RiskConfig) -> DataFrame:
-    """U1 + D18: nine segments, status and IDR rows in one table."""
+def segment_report(clean: DataFrame, cfg: RiskConfig, rates: DataFrame | None = None,
+                   status: DataFrame | None = None, idr: DataFrame | None = None) -> DataFrame:
+    """U1 + D18: nine segments, status and IDR rows in one table.
+
+    A caller that has the three tables already passes them, so that nothing is
+    computed again.
+    """
+    rates = segment_rates(clean, cfg) if rates is None else rates
+    status = status_rates(clean) if status is None else status
+    idr = idr_finding(clean, cfg) if idr is None else idr
     seg_pos = F.lit(None).cast("int")
     for i, (key, _) in reversed(list(enumerate(SEGMENTS))):
         seg_pos = F.when(F.col("segment") == key, F.lit(i)).otherwise(seg_pos)
-    segs = segment_rates(clean, cfg).select(
+    segs = rates.select(
         seg_pos.alias("seg_pos"), F.col("title").alias("segment"), "value", "n", "defaults",
         "default_rate")
-    status = status_rates(clean).select(
+    status = status.select(
         F.lit(len(SEGMENTS)).alias("seg_pos"), F.lit(STATUS_TITLE).alias("segment"),
         F.col("status").alias("value"), "n", "defaults", "default_rate")
-    idr = idr_finding(clean, cfg)
     idr_rows = idr.select(F.explode(F.array(
         F.struct(F.lit(IDR_LABELS[0]).alias("value"), F.col("idr_n").alias("n"),
                  F.col("idr_defaults").alias("defaults"), F.col("idr_rate").alias("default_rate")),
@@ -246,6 +249,6 @@ def segment_report(clean: DataFrame, cfg: RiskConfig) -> DataFrame:
 def band_counts(clean: DataFrame, cfg: RiskConfig) -> DataFrame:
     """Q13: rows, defaults and rate per GPA / age / loan band (no min_n)."""
     keys = ("gpa_band", "age_band", "loan_amount")
-    return (segment_counts(clean, cfg).where(F.col("segment").isin(*keys))
+    return (segment_counts(clean, cfg, keys)
             .select("segment", "value", "band_ord", "n", "defaults",
                     LF.safe_rate("defaults", "n").alias("default_rate")))

@@ -7,22 +7,50 @@ expressions and computes the query's table, independently of the Spark code.
 
 from __future__ import annotations
 
-from loanlens.config import (CV_FOLDS, DEFAULT_DAYS_THRESHOLD, FALLBACK_TOP, IDR_PATTERN,
-                             MIN_N_DEFAULT, MIN_N_PROGRAM, MIN_N_STATE, NEAR_BAND,
-                             RANDOM_STATE, SUBGROUP_MIN_N)
-from loanlens.functions import (AGE_EDGES, AGE_LABELS, GPA_EDGES, GPA_LABELS,
-                                LEVEL_LABELS, LOAN_EDGES, LOAN_LABELS, NA_TOKENS)
-from loanlens.operators.clean import FEATURES, FINAL_COLUMNS
-from loanlens.operators.eda import CORRELATION_COLS, NUMERIC_COLS
-from loanlens.operators.segments import (IDR_LABELS, IDR_TITLE, SEGMENTS, STATUS_LABELS,
-                                         STATUS_TITLE, TOP_PROGRAMS, TOP_STATES)
-from loanlens.plans.queries import FALLBACK_MIN_N
-from loanlens.sources.fixture import PLAN_BY_PRIORITY
-
+# ---------------------------------------------------------------------------
+# Fixed values, written out here so that the check does not share a constant
+# with the code it checks
+# ---------------------------------------------------------------------------
 AS_OF = "2026-01-01"
+DEFAULT_DAYS_THRESHOLD = 270
+CV_FOLDS = 5
+RANDOM_STATE = 42
+SUBGROUP_MIN_N = 10
+MIN_N_DEFAULT, MIN_N_PROGRAM, MIN_N_STATE = 5, 10, 10
+FALLBACK_TOP = 15
+NEAR_BAND = 0.03
+TOP_STATES, TOP_PROGRAMS = 10, 15
+PAGE_STATES, PAGE_PROGRAMS, PAGE_FEATURES = 10, 12, 10
+IDR_PATTERN = ("income.based repayment|pay as you earn|revised pay as you earn"
+               "|income contingent|saving on a valuable education")
 NUMERIC_RE = r"[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?"
-DATE_FORMATS = ("%Y-%m-%d", "%m/%d/%Y", "%Y/%m/%d", "%Y-%m-%d %H:%M:%S")
 BANNER_WITHDRAWN = ("WD", "W4", "W6", "W7")
+NA_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+             "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
+GPA_EDGES, GPA_LABELS = (0, 2, 2.5, 3, 3.5, 4), ("< 2.0", "2.0–2.5", "2.5–3.0", "3.0–3.5", "3.5–4.0")
+AGE_EDGES, AGE_LABELS = (0, 20, 25, 30, 40, 120), ("< 20", "20–24", "25–29", "30–39", "40+")
+LOAN_EDGES = (0, 5000, 15000, 30000, 50000, 999999)
+LOAN_LABELS = ("< $5K", "$5K–$15K", "$15K–$30K", "$30K–$50K", "> $50K")
+LEVEL_LABELS = {"UG": "UG — Undergraduate", "GR": "GR — Graduate"}
+PLAN_BY_PRIORITY = {"1": "Standard Repayment", "2": "Revised Pay As You Earn (REPAYE)",
+                    "3": "Income-Based Repayment - Partial Financial Hardship",
+                    "4": "Graduated 10-Year Repayment", "5": "Income Contingent Repayment"}
+FINAL_COLUMNS = ("student_id", "level", "program", "major", "student_type", "campus_code", "age", "state", "gpa",
+                 "credits_earned", "graduated", "withdrawn", "num_loans", "original_loan_amount",
+                 "current_balance", "payment_plan", "default_flag")
+FEATURES = FINAL_COLUMNS[1:-1]
+NUMERIC_COLS = ("gpa", "original_loan_amount", "current_balance", "credits_earned", "num_loans")
+CORRELATION_COLS = ("gpa", "credits_earned", "original_loan_amount", "current_balance", "num_loans",
+                    "graduated", "withdrawn")
+MODEL_CATEGORIES = ("level", "program", "student_type", "campus_code", "payment_plan")
+MODEL_NUMBERS = ("gpa", "graduated", "withdrawn", "credits_earned", "num_loans", "original_loan_amount",
+                 "current_balance")
+SEGMENTS = (("level", "Level (LEVL_CODE)"), ("student_type", "Student type"), ("campus", "Campus"),
+            ("gpa_band", "GPA band"), ("age_band", "Age band"), ("state", "State"),
+            ("loan_amount", "Loan amount"), ("payment_plan", "Payment plan"), ("program", "Program"))
+STATUS_TITLE, IDR_TITLE = "Graduation / Withdrawal", "IDR Policy Finding"
+STATUS_LABELS = ("Not graduated", "Graduated", "Not withdrawn", "Withdrawn")
+IDR_LABELS = ("IDR enrolled", "Non-IDR")
 
 
 def q(s: str) -> str:
@@ -91,6 +119,10 @@ raw AS (
          ELSE 'Returning Student' END AS "STYP_DESC",
     nname AS "CAMP_CODE",
     CASE WHEN k % 41 = 0 THEN 'unknown' WHEN k % 43 = 0 THEN NULL
+         WHEN k % 47 = 0 THEN CAST(1 + k % 12 AS VARCHAR) || '/' || CAST(1 + k % 28 AS VARCHAR)
+              || '/' || CAST(1950 + k % 61 AS VARCHAR)
+         WHEN k % 53 = 0 THEN CAST(1950 + k % 61 AS VARCHAR) || '-' || lpad(CAST(1 + k % 12 AS VARCHAR), 2, '0')
+              || '-' || lpad(CAST(1 + k % 28 AS VARCHAR), 2, '0') || 'T00:00:00'
          ELSE CAST(1950 + k % 61 AS VARCHAR) || '-' || lpad(CAST(1 + k % 12 AS VARCHAR), 2, '0')
               || '-' || lpad(CAST(1 + k % 28 AS VARCHAR), 2, '0') END AS "BIRTH_DATE",
     CASE WHEN reg = 0 THEN 'NH' WHEN reg = 1 THEN 'ma' WHEN reg = 2 THEN ' Ny '
@@ -134,7 +166,8 @@ conformed AS (
 )"""
 
 _birth = "coalesce(" + ", ".join(
-    f"try_strptime({strip('birth_date')}, {q(f)})" for f in DATE_FORMATS) + ")"
+    f"try_strptime({strip('birth_date')}, {q(f)})"
+    for f in ("%Y-%m-%d", "%m/%d/%Y", "%Y/%m/%d", "%Y-%m-%dT%H:%M:%S", "%Y-%m-%d %H:%M:%S")) + ")"
 
 
 def cleanall_cte(withdrawn_codes=BANNER_WITHDRAWN, graduated_value: str = "Y") -> str:
@@ -256,9 +289,8 @@ IDR_CTE = f"""idr AS (
 )"""
 
 
-_tie_text = " || '|' || ".join(f"coalesce({c}, '')" for c in
-                                ("student_id", "level", "program", "student_type",
-                                 "campus_code", "payment_plan"))
+_dealing_text = " || '|' || ".join([f"coalesce(student_id, '') || ':{RANDOM_STATE}'",
+                                    *(f"coalesce({c}, '')" for c in MODEL_CATEGORIES)])
 
 
 def _sql() -> dict[str, str]:
@@ -297,10 +329,10 @@ FROM clean GROUP BY default_flag"""
         f"{rate(f'count_if({c} IS NULL)', 'count(*)')} AS missing_pct FROM clean"
         for c in FINAL_COLUMNS)
     out["numeric_distribution"] = _with() + "\nUNION ALL\n".join(
-        f"""SELECT {q(c)} AS feature, round(min({c}), 4) AS min, round(max({c}), 4) AS max,
-       round(avg({c}), 4) AS mean, round(quantile_cont({c}, 0.5), 4) AS median,
-       round(stddev_samp({c}), 4) AS std, round(quantile_cont({c}, 0.25), 4) AS p25,
-       round(quantile_cont({c}, 0.75), 4) AS p75
+        f"""SELECT {q(c)} AS feature, min({c}) AS min, max({c}) AS max,
+       round(avg({c}), 9) AS mean, round(quantile_cont({c}, 0.5), 9) AS median,
+       round(stddev_samp({c}), 9) AS std, round(quantile_cont({c}, 0.25), 9) AS p25,
+       round(quantile_cont({c}, 0.75), 9) AS p75
 FROM clean WHERE {c} IS NOT NULL""" for c in NUMERIC_COLS)
     corr_rows = "\n  UNION ALL ".join(
         f"""SELECT {q(c)} AS feature, count(*) AS n_pairs,
@@ -310,15 +342,14 @@ FROM clean WHERE {c} IS NOT NULL""" for c in NUMERIC_COLS)
         WHERE {c} IS NOT NULL AND default_flag IS NOT NULL)"""
         for c in CORRELATION_COLS)
     out["correlation_with_default"] = _with(f"corr AS (\n  {corr_rows}\n)") + """
-SELECT feature, round(r, 4) + 0.0 AS r,
-       CASE WHEN round(r, 4) >= 0 THEN '+' WHEN round(r, 4) < 0 THEN '-' END AS direction,
-       abs(round(r, 4)) AS abs_r
+SELECT feature, round(r, 9) AS r, CASE WHEN r >= 0 THEN '+' WHEN r < 0 THEN '-' END AS direction,
+       round(abs(r), 9) AS abs_r
 FROM corr WHERE n_pairs >= 2"""
     out["band_counts"] = _with(_segment_long()) + f"""
 SELECT segment, value, band_ord, n, defaults, {rate('defaults', 'n')} AS default_rate
 FROM segcounts WHERE segment IN ('gpa_band', 'age_band', 'loan_amount')"""
     out["segment_rates"] = _with(*_segment_rates_ctes(_DEFAULT_MIN_N)) + "SELECT * FROM segrates"
-    out["segment_fallback"] = (_with(*_segment_rates_ctes(str(FALLBACK_MIN_N)))
+    out["segment_fallback"] = (_with(*_segment_rates_ctes("9223372036854775807"))
                                + "SELECT * FROM segrates")
     out["status_rates"] = _with(_status_cte()) + (
         f"SELECT position, status, n, defaults, {rate('defaults', 'n')} AS default_rate FROM statusc")
@@ -349,6 +380,9 @@ SELECT * FROM (
   FROM segrates WHERE segment IN ('state', 'program')
 ) WHERE (segment = 'state' AND seg_rank <= {TOP_STATES})
      OR (segment = 'program' AND seg_rank <= {TOP_PROGRAMS})"""
+    out["page_cuts"] = out["top_segments"].replace(
+        f"seg_rank <= {TOP_PROGRAMS}", f"seg_rank <= {PAGE_PROGRAMS}").replace(
+        f"seg_rank <= {TOP_STATES}", f"seg_rank <= {PAGE_STATES}")
     colleague_base = ("WITH " + RAW_CTE.strip() + "," + CONFORMED_CTE + ","
                       + cleanall_cte(("W", "WD", "WA", "WX"), "Y"))
     out["clean_dataset_colleague"] = colleague_base + "\nSELECT * FROM clean"
@@ -372,14 +406,30 @@ FROM cleanall"""
 SELECT count(*) AS n, CAST(sum(default_flag) AS BIGINT) AS defaults,
        {rate('sum(default_flag)', 'count(*)')} AS default_rate FROM clean"""
     folds = f"""folds AS (
-  SELECT student_id, default_flag,
-         CAST((row_number() OVER (PARTITION BY default_flag
-               ORDER BY substr(h1, 1, 3), substr(h2, 1, 1), h1, h2) - 1)
+  SELECT *, CAST((row_number() OVER (PARTITION BY default_flag ORDER BY md5({_dealing_text})) - 1)
               % {CV_FOLDS} AS INTEGER) AS fold
-  FROM (SELECT *, md5(coalesce(student_id, '') || ':{RANDOM_STATE}') AS h1,
-               md5({_tie_text}) AS h2 FROM clean)
+  FROM clean
 )"""
-    out["stratified_folds"] = _with(folds) + "SELECT * FROM folds"
+    out["stratified_folds"] = _with(folds) + "SELECT student_id, default_flag, fold FROM folds"
+    sets = "sets AS (SELECT unnest(range(-1, {0})) AS train_set)".format(CV_FOLDS)
+    out["fold_medians"] = _with(folds, sets) + "\nUNION ALL\n".join(
+        f"SELECT CAST(train_set AS INTEGER) AS train_set, {q(c)} AS feature, "
+        f"quantile_cont(CAST({c} AS DOUBLE), 0.5) AS median "
+        f"FROM sets JOIN folds ON fold <> train_set WHERE {c} IS NOT NULL GROUP BY train_set" for c in MODEL_NUMBERS)
+    out["fold_categories"] = _with(folds, sets) + "\nUNION ALL\n".join(
+        f"SELECT CAST(train_set AS INTEGER) AS train_set, {q(c)} AS feature, value, "
+        f"CAST(row_number() OVER (PARTITION BY train_set ORDER BY value) - 1 AS INTEGER) AS idx "
+        f"FROM (SELECT DISTINCT train_set, coalesce({c}, 'Unknown') AS value FROM sets JOIN folds ON fold <> train_set)"
+        for c in MODEL_CATEGORIES)
+    per_category = "\n  UNION ALL ".join(
+        f"SELECT {q(c)} AS root, sum(default_flag) / CAST(count(*) AS DOUBLE) AS v FROM clean "
+        f"GROUP BY coalesce({c}, 'Unknown')" for c in MODEL_CATEGORIES)
+    out["importance_fixed_score"] = _with(f"per_category AS (\n  {per_category}\n)") + f"""
+SELECT root, round(sum(v), 9) AS importance,
+       CASE WHEN root IN ('gpa', 'graduated', 'credits_earned', 'withdrawn', 'level') THEN 'Academic / enrollment'
+            WHEN root IN ('num_loans', 'original_loan_amount', 'current_balance') THEN 'Loan / financial'
+            ELSE 'Institutional / contextual' END AS family
+FROM per_category GROUP BY root ORDER BY 2 DESC, 1 LIMIT {PAGE_FEATURES}"""
     out["class_weights"] = _with(folds, """per AS (
   SELECT fold, count(*) AS n, count_if(default_flag = 1) AS pos FROM folds GROUP BY fold
 )""") + """
@@ -403,10 +453,10 @@ FROM (SELECT fold, (SELECT sum(n) FROM per) - n AS n_train,
 SELECT level, n, n1 AS defaults, CAST(n1 AS DOUBLE) / n AS default_rate,
        CAST((rsum - n1 * (n1 + 1) / 2.0) AS DOUBLE) / (CAST(n1 AS DOUBLE) * n0) AS auc
 FROM agg WHERE n >= {SUBGROUP_MIN_N} AND n1 > 0 AND n0 > 0"""
-    out["fold_metrics_fixed_score"] = _with(folds, """fs AS (
-  SELECT f.fold, f.default_flag AS y, -coalesce(c.gpa, 0.0) AS score,
-         CASE WHEN coalesce(c.gpa, 0.0) < 2.0 THEN 1 ELSE 0 END AS pred
-  FROM folds f JOIN clean c ON c.student_id = f.student_id
+    metrics = _with(folds, """fs AS (
+  SELECT fold, default_flag AS y, -coalesce(gpa, 0.0) AS score,
+         CASE WHEN coalesce(gpa, 0.0) < 2.0 THEN 1 ELSE 0 END AS pred
+  FROM folds
 )""", """conf AS (
   SELECT fold, count_if(y = 1 AND pred = 1) AS tp, count_if(y = 0 AND pred = 1) AS fp,
          count_if(y = 1 AND pred = 0) AS fn, count_if(y = 0 AND pred = 0) AS tn
@@ -425,13 +475,16 @@ FROM agg WHERE n >= {SUBGROUP_MIN_N} AND n1 > 0 AND n0 > 0"""
          coalesce(CASE WHEN tp + fp > 0 THEN CAST(tp AS DOUBLE) / (tp + fp) END, 0.0) AS precision,
          coalesce(CASE WHEN tp + fn > 0 THEN CAST(tp AS DOUBLE) / (tp + fn) END, 0.0) AS recall
   FROM conf JOIN auc USING (fold)
-)""") + """
-SELECT fold, roc_auc,
+)""", """fm AS (SELECT fold, roc_auc,
        coalesce(CASE WHEN precision + recall <> 0
                      THEN 2.0 * precision * recall / (precision + recall) END, 0.0) AS f1,
        precision, recall,
        CAST(tp + tn AS DOUBLE) / (tp + tn + fp + fn) AS accuracy, tp, fp, fn, tn
-FROM m"""
+FROM m)""")
+    out["fold_metrics_fixed_score"] = metrics + "SELECT * FROM fm"
+    out["cv_summary_fixed_score"] = metrics + "SELECT " + ", ".join(
+        f"round(avg({m}), 9) AS {m}_mean, round(stddev_pop({m}), 9) AS {m}_std"
+        for m in ("roc_auc", "f1", "precision", "recall", "accuracy")) + ", count(*) AS folds FROM fm"
     return out
 
 

@@ -18,10 +18,13 @@ from loanlens.operators import clean as C
 from loanlens.operators import eda as E
 from loanlens.operators import segments as S
 from loanlens.operators.conform import conform, reject_report
-from loanlens.operators.model import run_models
+from loanlens.operators.model import run_models, top_features
 from loanlens.sources import sinks
 from loanlens.sources.profiles import get_profile
 from loanlens.sources.raw import read_clean
+from loanlens.session import checkpoint_dir
+
+TOP_FEATURES = 15
 
 
 class PipelineError(RuntimeError):
@@ -49,13 +52,14 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, out_dir: str, profile: str
         sinks.write_table(df, path, table_format)
         res.tables[name] = path
 
+    checkpoint_dir(spark)
     step = "etl"
     try:
         clean_path = f"{res.out_dir}/dataset"
         sinks.write_clean(C.clean_dataset(raw, prof, risk), clean_path)
         res.tables["dataset"] = clean_path
         clean = read_clean(spark, clean_path)
-        pop = C.population_counts(raw, prof, risk)
+        pop = C.population_counts(raw, prof, risk).checkpoint(eager=True)   # read twice below
         put("population_counts", pop)
         put("reject_report", reject_report(conform(raw, prof), risk.level_codes))
         put("level_breakdown", C.level_breakdown(clean, risk.level_codes))
@@ -71,14 +75,17 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, out_dir: str, profile: str
         put("correlation_with_default", E.correlation_with_default(clean))
 
         step = "segmentation"
-        rates = S.segment_rates(clean, risk)
-        put("segment_rates", rates)
+        # counted once each; every table below reads the stored rows
+        rates = S.segment_rates(clean, risk).checkpoint(eager=True)
+        status = S.status_rates(clean).checkpoint(eager=True)
+        idr = S.idr_finding(clean, risk).checkpoint(eager=True)
+        put("segment_rates", S.ordered(rates))
         put("top_segments", S.top_segments(rates))
-        put("status_rates", S.status_rates(clean))
-        idr = S.idr_finding(clean, risk)
+        put("page_cuts", S.top_segments(rates, S.PAGE_CUTS))
+        put("status_rates", status)
         put("idr_finding", idr)
         report_path = f"{res.out_dir}/segment_report_csv"
-        sinks.write_segment_report(S.segment_report(clean, risk), report_path)
+        sinks.write_segment_report(S.segment_report(clean, risk, rates, status, idr), report_path)
         res.tables["segment_report_csv"] = report_path
         res.summary["segmentation"] = idr.first().asDict()
 
@@ -89,6 +96,7 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, out_dir: str, profile: str
             put("cv_summary", rep.cv_summary)
             put("feature_importance", rep.importance)
             put("feature_importance_rollup", rep.importance_rollup)
+            put("top_features", top_features(rep.importance, TOP_FEATURES))     # L7
             put("subgroup_auc", rep.subgroup)
             model_path = f"{res.out_dir}/best_model"
             sinks.write_model(rep.fitted, model_path)

@@ -10,7 +10,6 @@ from __future__ import annotations
 import threading
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,19 +25,14 @@ from loanlens.sources.profiles import get_profile
 
 PROFILE = get_profile("banner")
 CFG = RiskConfig()
-# Driver checks use the analysed pipeline's models and 5 folds with smaller
-# ensembles so the check finishes in minutes (full settings: ModelConfig()).
-MODEL_CFG = ModelConfig.quick()
-# A min_n above every group: each segment falls back to its top groups.
-FALLBACK_MIN_N = 1_000_000_000
+MODEL_CFG = ModelConfig()
 
 
 # Logical plans of the raw export and the clean table, built once per
 # (application, sf_dir): DataFrames are immutable lazy plans, so queries can
 # share them; building the long column expressions costs ~2 s of py4j calls
-# per query otherwise. The clean table is also persisted (memory, spilling to
-# disk): every analysis reads it, as the pipeline reads its written dataset;
-# a lost executor's blocks are recomputed from lineage.
+# per query otherwise. Nothing is cached: each query scans only the columns
+# and tables it needs.
 _PLANS: dict[tuple, DataFrame] = {}
 _PLANS_LOCK = threading.RLock()
 
@@ -63,8 +57,12 @@ def _wide(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _memo("clean", spark, sf_dir,
-                 lambda: C.project_final(_wide(spark, sf_dir).where(F.col("_valid")))
-                 .persist(StorageLevel.MEMORY_AND_DISK))
+                 lambda: C.project_final(_wide(spark, sf_dir).where(F.col("_valid"))))
+
+
+def _compared(df: DataFrame) -> DataFrame:
+    """Fractions to nine decimals, where two engines' summation orders still agree."""
+    return df.select(*[F.round(c, 9).alias(c) if kind == "double" else F.col(c) for c, kind in df.dtypes])
 
 
 def q_conform_headers(spark, sf_dir):
@@ -108,11 +106,11 @@ def q_missing_values(spark, sf_dir):
 
 
 def q_numeric_distribution(spark, sf_dir):
-    return E.numeric_distribution(_clean(spark, sf_dir), CFG)
+    return _compared(E.numeric_distribution(_clean(spark, sf_dir), CFG))
 
 
 def q_correlation_with_default(spark, sf_dir):
-    return E.correlation_with_default(_clean(spark, sf_dir))
+    return _compared(E.correlation_with_default(_clean(spark, sf_dir)))
 
 
 def q_band_counts(spark, sf_dir):
@@ -120,11 +118,11 @@ def q_band_counts(spark, sf_dir):
 
 
 def q_segment_rates(spark, sf_dir):
-    return S.segment_rates(_clean(spark, sf_dir), CFG)
+    return S.ordered(S.segment_rates(_clean(spark, sf_dir), CFG))        # L1
 
 
 def q_segment_fallback(spark, sf_dir):
-    return S.segment_rates(_clean(spark, sf_dir), CFG.with_min_n(FALLBACK_MIN_N))
+    return S.segment_rates(_clean(spark, sf_dir), CFG.fallback_only())
 
 
 def q_status_rates(spark, sf_dir):
@@ -143,6 +141,11 @@ def q_top_segments(spark, sf_dir):
     return S.top_segments(S.segment_rates(_clean(spark, sf_dir), CFG))
 
 
+def q_page_cuts(spark, sf_dir):
+    """The states and programs the result page shows."""
+    return S.top_segments(S.segment_rates(_clean(spark, sf_dir), CFG), S.PAGE_CUTS)
+
+
 def q_clean_dataset_colleague(spark, sf_dir):
     """Q3 through another export profile (dotted headers, other codes)."""
     prof = get_profile("colleague")
@@ -153,6 +156,7 @@ def q_overall_rate(spark, sf_dir):
     return S.overall(_clean(spark, sf_dir))
 
 
+FEATURE_CUT = 10   # features shown on the result page
 IDR_ALERT = 0.05   # the page highlights an IDR differential of five points or more
 
 
@@ -184,11 +188,12 @@ def q_kpi_counts(spark, sf_dir):
 
 
 def _folded(spark, sf_dir):
-    from loanlens.operators.model import FOLD_TIE_COLS
+    """The training rows with the folds that the models use."""
+    from loanlens.operators.model import CAT_FEATURES, FOLD_TIE_COLS, NUM_FEATURES
 
-    return stratified_folds(_clean(spark, sf_dir), "student_id", "default_flag",
-                            MODEL_CFG.folds, MODEL_CFG.seed, MODEL_CFG.fold_hex_digits,
-                            tie_cols=FOLD_TIE_COLS)
+    rows = _clean(spark, sf_dir).select("student_id", "default_flag", *CAT_FEATURES, *NUM_FEATURES)
+    return stratified_folds(rows, "student_id", "default_flag", MODEL_CFG.folds, MODEL_CFG.seed,
+                            MODEL_CFG.fold_hex_digits, tie_cols=FOLD_TIE_COLS)
 
 
 def q_stratified_folds(spark, sf_dir):
@@ -206,15 +211,54 @@ def q_rank_auc_by_level(spark, sf_dir):
     return subgroup_auc(scored, "level", "score", "default_flag", MODEL_CFG.subgroup_min_n)
 
 
-def q_fold_metrics_fixed_score(spark, sf_dir):
-    """M7 metric arithmetic per fold on a fixed rule (score -gpa, flag gpa < 2)."""
+def _fixed_rule_metrics(spark, sf_dir):
     from loanlens.operators.model import fold_metrics
 
     gpa = F.coalesce(F.col("gpa"), F.lit(0.0))
     scored = _folded(spark, sf_dir).select(
         F.lit("fixed rule").alias("model"), F.lit(0).alias("position"), "fold",
         "default_flag", (-gpa).alias("score"), (gpa < 2.0).cast("int").alias("pred"))
-    return fold_metrics(scored).drop("model", "position")
+    return fold_metrics(scored)
+
+
+def q_fold_metrics_fixed_score(spark, sf_dir):
+    """M7 metric arithmetic per fold on a fixed rule (score -gpa, flag gpa < 2)."""
+    return _fixed_rule_metrics(spark, sf_dir).drop("model", "position")
+
+
+def q_cv_summary_fixed_score(spark, sf_dir):
+    """A18 on the fixed rule: mean and population std of its fold metrics."""
+    from loanlens.operators.model import cv_summary
+
+    return _compared(cv_summary(_fixed_rule_metrics(spark, sf_dir)).drop("model", "position"))
+
+
+def q_fold_medians(spark, sf_dir):
+    """M1: numeric medians of every training fold, and of all rows (-1)."""
+    from loanlens.operators.model import NUM_FEATURES, fold_medians
+
+    return fold_medians(_folded(spark, sf_dir), list(NUM_FEATURES), MODEL_CFG.folds)
+
+
+def q_fold_categories(spark, sf_dir):
+    """M2: category numbers of every training fold, and of all rows (-1)."""
+    from loanlens.operators.model import CAT_FEATURES, category_index
+
+    return category_index(_folded(spark, sf_dir), list(CAT_FEATURES), MODEL_CFG.folds)
+
+
+def q_importance_fixed_score(spark, sf_dir):
+    """Roll-up of a fixed per-category score (defaults among its rows, per row of the table)."""
+    from loanlens.operators.model import CAT_FEATURES, rollup_importance, top_features
+
+    clean = _clean(spark, sf_dir)
+    long = clean.select("default_flag", F.explode(F.array(*[
+        F.struct(F.lit(c).alias("root"), F.coalesce(c, F.lit("Unknown")).alias("value"))
+        for c in CAT_FEATURES])).alias("s")).select("default_flag", "s.*")
+    per = long.groupBy("root", "value").agg(F.count(F.lit(1)).alias("n"), F.sum("default_flag").alias("d"))
+    scored = per.select(F.concat_ws("_", "root", "value").alias("feature"), "root",
+                        F.try_divide(F.col("d").cast("double"), F.col("n")).alias("importance"))
+    return _compared(top_features(rollup_importance(scored), FEATURE_CUT))
 
 
 SQL_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -244,17 +288,18 @@ SQL_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "class_weights": q_class_weights,
     "rank_auc_by_level": q_rank_auc_by_level,
     "fold_metrics_fixed_score": q_fold_metrics_fixed_score,
+    "cv_summary_fixed_score": q_cv_summary_fixed_score,
+    "fold_medians": q_fold_medians,
+    "fold_categories": q_fold_categories,
+    "importance_fixed_score": q_importance_fixed_score,
+    "page_cuts": q_page_cuts,
 }
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    out = dict(SQL_QUERIES)
-    try:
-        from loanlens.plans import model_queries
-        out.update(model_queries.MODEL_QUERIES)
-    except ImportError:  # pragma: no cover - model part optional while building
-        pass
-    return out
+    from loanlens.plans.model_queries import MODEL_QUERIES
+
+    return {**SQL_QUERIES, **MODEL_QUERIES}
 
 
 __all__ = ["all_queries", "SQL_QUERIES", "PROFILE", "CFG", "MODEL_CFG"]

@@ -17,15 +17,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loanlens.sources.profiles import get_profile
 from loanlens.sources.raw import read_table
 
-BANNER_HEADERS = (
-    "ID", "LEVL_CODE", "PROGRAM", "MAJR_DESC", "STYP_DESC", "CAMP_CODE",
-    "BIRTH_DATE", "STATE1", "OVERALL_LGPA_GPA", "OVERALL_LGPA_HOURS_EARNED",
-    "GRADUATED_IND", "SFBETRM_ESTS_CODE", "Days Delinquent", "# of Loans",
-    "Original Loan Amount", "Current Principal Balance", "Payment Plan",
-)
-
 # ---------------------------------------------------------------------------
 # Fixed values of the fixture (plan names by order-priority digit)
 # ---------------------------------------------------------------------------
@@ -78,6 +72,8 @@ def raw_borrowers(spark: SparkSession, sf_dir: str) -> DataFrame:
     for digit, name in PLAN_BY_PRIORITY.items():
         plan = F.when(pr == digit, F.lit(name)).otherwise(plan)
     lvl = k % 20
+    iso_birth = F.concat((F.lit(1950) + k % 61).cast("string"), F.lit("-"), _pad(F.lit(1) + k % 12, 2),
+                         F.lit("-"), _pad(F.lit(1) + k % 28, 2))
     cols = {
         "ID": F.concat(F.when(k % 9 == 0, F.lit("  ")).otherwise(F.lit("")), F.lit("S"), _pad(k, 8)),
         "LEVL_CODE": (F.when(lvl < 4, F.lit("GR")).when(lvl == 4, F.lit(" gr "))
@@ -91,9 +87,9 @@ def raw_borrowers(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CAMP_CODE": F.col("n_name"),
         "BIRTH_DATE": (F.when(k % 41 == 0, F.lit("unknown"))
                        .when(k % 43 == 0, F.lit(None).cast("string"))
-                       .otherwise(F.concat((F.lit(1950) + k % 61).cast("string"), F.lit("-"),
-                                           _pad(F.lit(1) + k % 12, 2), F.lit("-"),
-                                           _pad(F.lit(1) + k % 28, 2)))),
+                       .when(k % 47 == 0, F.concat_ws("/", F.lit(1) + k % 12, F.lit(1) + k % 28, F.lit(1950) + k % 61))
+                       .when(k % 53 == 0, F.concat(iso_birth, F.lit("T00:00:00")))
+                       .otherwise(iso_birth)),
         "STATE1": (F.when(F.col("n_regionkey") == 0, F.lit("NH"))
                    .when(F.col("n_regionkey") == 1, F.lit("ma"))
                    .when(F.col("n_regionkey") == 2, F.lit(" Ny "))
@@ -115,7 +111,7 @@ def raw_borrowers(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(F.lit("$"), F.floor(amt * (k % 10) / F.lit(10.0)).cast("string"))),
         "Payment Plan": F.when(k % 97 == 0, F.lit("IBR")).otherwise(plan),
     }
-    return src.select(*[cols[h].alias(h) for h in BANNER_HEADERS])
+    return src.select(*[cols[h].alias(h) for h in get_profile("banner").expected_columns])
 
 
 def as_profile(raw_banner: DataFrame, profile) -> DataFrame:
@@ -124,8 +120,6 @@ def as_profile(raw_banner: DataFrame, profile) -> DataFrame:
     Lets every profile's header map, level map and codes run on the fixture
     data; headers with dots (one profile uses them) go through ``toDF``.
     """
-    from loanlens.sources.profiles import get_profile
-
     banner = dict((c, h) for h, c in get_profile("banner").column_map)
     target = dict((c, h) for h, c in profile.column_map)
     by_header = {banner[c]: target[c] for c in banner}

@@ -2,27 +2,62 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 ALLOWED_FORMATS = ("csv", "parquet", "json")
 
 
-def read_raw(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
+def format_of(path: str) -> str:
+    """Lower-case suffix of the path's last segment; csv when it has none."""
+    name = path.rstrip("/").rsplit("/", 1)[-1]
+    fmt = name.rsplit(".", 1)[-1].lower() if "." in name else "csv"
+    if fmt not in ALLOWED_FORMATS:
+        raise ValueError(f"Unsupported export type {fmt!r}; readable: {', '.join(ALLOWED_FORMATS)}")
+    return fmt
+
+
+def _csv_reader(spark: SparkSession, multi_line: bool):
+    # quotes are doubled inside quoted cells, as spreadsheets write them
+    return spark.read.option("quote", '"').option("escape", '"').option("multiLine", multi_line)
+
+
+def csv_header(spark: SparkSession, path: str, multi_line: bool = True) -> list[str]:
+    """The first row of the (first) file, spelled as written."""
+    row = _csv_reader(spark, multi_line).option("header", False).csv(path).first()
+    return ["" if c is None else c for c in row] if row is not None else []
+
+
+def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """CSV export with every cell as text and the header exactly as written.
+
+    Files of a folder must share one header: a differing one fails the read
+    instead of filling the wrong columns. Headers that differ only in case
+    stay two columns. ``multi_line`` allows line breaks inside quotes and makes
+    a file one task; switch it off for huge files without such cells.
+    """
+    names = csv_header(spark, path, multi_line)
+    reader = _csv_reader(spark, multi_line).option("header", True)
+    if max(Counter(n.lower() for n in names).values(), default=0) > 1:
+        # such a header cannot be a Spark schema: read by position, name afterwards
+        schema = T.StructType([T.StructField(f"_{k}", T.StringType()) for k in range(len(names))])
+        return reader.schema(schema).csv(path).toDF(*names)
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    return reader.schema(schema).option("enforceSchema", False).csv(path)
+
+
+def read_raw(spark: SparkSession, path: str, fmt: str | None = None, multi_line: bool = True) -> DataFrame:
     """Read a borrower export with every column as text.
 
     No schema inference: ids keep leading zeros and one bad cell cannot turn
     a column into something else. ``fmt`` defaults to the path's suffix.
     """
-    if fmt is None:
-        fmt = path.rstrip("/").rsplit(".", 1)[-1].lower() if "." in path else "csv"
-    fmt = fmt.lower()
-    if fmt not in ALLOWED_FORMATS:
-        raise ValueError(
-            f"Unsupported file type '{fmt}'. Allowed: {', '.join(ALLOWED_FORMATS)}")
+    fmt = format_of(f"x.{fmt}") if fmt else format_of(path)
     if fmt == "csv":
-        df = (spark.read.option("header", True).option("inferSchema", False)
-              .option("multiLine", False).csv(path))
-    elif fmt == "json":
+        return read_csv(spark, path, multi_line)
+    if fmt == "json":
         df = spark.read.option("primitivesAsString", True).json(path)
     else:
         df = spark.read.parquet(path)

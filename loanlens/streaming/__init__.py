@@ -16,20 +16,26 @@ from pyspark.sql.streaming import StreamingQuery
 from loanlens.config import RiskConfig
 from loanlens.operators.clean import clean_dataset
 from loanlens.sources.profiles import get_profile
-
-
-def export_schema(profile: str = "banner") -> T.StructType:
-    """All-text schema of a profile's export headers (streams need a schema)."""
-    return T.StructType([T.StructField(h, T.StringType()) for h in
-                         get_profile(profile).expected_columns])
+from loanlens.sources.raw import csv_header
 
 
 def stream_clean(spark: SparkSession, input_dir: str, profile: str = "banner",
-                 cfg: RiskConfig = RiskConfig(), max_files_per_trigger: int = 100) -> DataFrame:
-    """Streaming clean dataset over CSV exports arriving in ``input_dir``."""
-    raw = (spark.readStream.schema(export_schema(profile)).option("header", True)
+                 cfg: RiskConfig = RiskConfig(), max_files_per_trigger: int = 100,
+                 header: list[str] | None = None) -> DataFrame:
+    """Streaming clean dataset over CSV exports arriving in ``input_dir``.
+
+    ``header`` is the exports' header line; without it, that of the files
+    already there (or the profile's own, for an empty folder). Columns may come
+    in any order, but all files of a stream share it: a file with another
+    header fails the stream rather than being read into the wrong columns.
+    """
+    prof = get_profile(profile)
+    names = header or csv_header(spark, input_dir) or prof.expected_columns
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    raw = (spark.readStream.schema(schema).option("header", True).option("enforceSchema", False)
+           .option("quote", '"').option("escape", '"').option("multiLine", True)
            .option("maxFilesPerTrigger", max_files_per_trigger).csv(input_dir))
-    return clean_dataset(raw, get_profile(profile), cfg)
+    return clean_dataset(raw, prof, cfg)
 
 
 def start_clean_sink(clean: DataFrame, output_dir: str, checkpoint: str,

@@ -151,3 +151,31 @@ def test_workday_profile_on_fixture(spark):
     wd_withdrawn = b.agg(F.sum("withdrawn")).first()[0]
     assert wd_withdrawn == raw.where(F.upper(F.trim("SFBETRM_ESTS_CODE")) == "WD").join(
         a.select(F.col("student_id").alias("ID_")), F.trim(F.col("ID")) == F.col("ID_")).count()
+
+
+def test_read_raw_takes_spreadsheet_csv(spark, tmp_path):
+    folder = tmp_path / "v1.2"
+    (folder / "exp").mkdir(parents=True)
+    (folder / "exp" / "a.csv").write_text('ID,note\n1,"a ""b"" c"\n2,"two\nlines"\n')
+    got = {r.ID: r.note for r in read_raw(spark, str(folder / "exp")).collect()}
+    assert got == {"1": 'a "b" c', "2": "two\nlines"}
+
+
+def test_read_raw_keeps_headers_that_differ_in_case(spark, tmp_path):
+    p = tmp_path / "x.csv"
+    p.write_text("ID,id\n1,2\n")
+    df = read_raw(spark, str(p))
+    assert df.columns == ["ID", "id"] and tuple(df.first()) == ("1", "2")
+    names, rows = banner_rows()
+    exact = conform(text_df(spark, [*names, "id"], [(*r, "other") for r in rows]), BANNER)
+    assert sorted(r.student_id for r in exact.select("student_id").collect()) == ["U001", "U002"]
+    unclear = ["Id" if n == "ID" else n for n in names] + ["iD"]
+    with pytest.raises(ValueError, match="differ only in case"):
+        conform(text_df(spark, unclear, [(*r, "x") for r in rows]), BANNER)
+
+
+def test_files_of_a_folder_must_share_their_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("ID,GPA\n1,2\n")
+    (tmp_path / "b.csv").write_text("GPA,ID\n3,4\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_raw(spark, str(tmp_path), "csv").collect()

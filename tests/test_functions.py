@@ -102,8 +102,13 @@ def test_safe_corr_matches_corr(spark):
 
 
 def test_parse_date_and_age(spark):
+    same_day = ["2000-05-15", "05/15/2000", "5/15/2000", "2000-5-15", "2000/05/15", "2000-05-15T00:00:00",
+                "2000-05-15 00:00:00.0", "2000-05-15T10:20:30Z", " 5/15/2000 12:00 AM "]
+    assert col_values(spark, same_day, lambda c: LF.parse_date(c).cast("string")) == ["2000-05-15"] * len(same_day)
+    assert col_values(spark, ["2000-13-01", "2/30/2000", "15.05.2000", "2000-05", "20000515", ""],
+                      LF.parse_date) == [None] * 6
     got = col_values(spark, ["2000-05-15", "05/15/2000", "unknown", None],
-                     lambda c: LF.age_years(LF.parse_date(c, ("yyyy-MM-dd", "MM/dd/yyyy")), "2026-01-01"))
+                     lambda c: LF.age_years(LF.parse_date(c), "2026-01-01"))
     assert got == [25.0, 25.0, None, None]
 
 

@@ -51,18 +51,24 @@ def test_stratified_folds_balanced(spark):
     # same dealing as an independent computation of the documented order
     import hashlib
 
-    md5 = lambda t: hashlib.md5(t.encode()).hexdigest()
-    rows = clean.select("student_id", "default_flag").collect()
     expected = {}
+    rows = clean.select("student_id", "default_flag").collect()
     for y in (0, 1):
-        keyed = sorted((md5(f"{r.student_id}:42")[:2], md5(r.student_id)[:1],
-                        md5(f"{r.student_id}:42"), md5(r.student_id), r.student_id)
+        keyed = sorted((hashlib.md5(f"{r.student_id}:42".encode()).hexdigest(), r.student_id)
                        for r in rows if r.default_flag == y)
-        expected.update({key[-1]: i % 5 for i, key in enumerate(keyed)})
+        expected.update({sid: i % 5 for i, (_, sid) in enumerate(keyed)})
     got = {r.student_id: r.fold for r in folded.select("student_id", "fold").collect()}
     assert got == expected
 
 
+def test_models_use_the_registered_folds(spark, report):
+    from loanlens.plans.queries import q_stratified_folds
+
+    registered = {r.student_id: r.fold for r in q_stratified_folds(spark, SMALL).collect()}
+    used = {r.student_id: r.fold for r in report.oof.select("student_id", "fold").distinct().collect()}
+    assert used == registered
+
+
 def test_fold_class_weights(spark):
     folded = stratified_folds(_clean(spark, SMALL), "student_id", "default_flag", 5, 42)
     for r in fold_class_weights(folded).collect():
@@ -143,17 +149,9 @@ def test_exact_quantiles_match_numpy(spark):
     rows = [(v_a, v_b) for v_a, v_b in itertools.zip_longest(vals["a"], vals["b"])]
     df = spark.createDataFrame(rows, "a double, b double")
     got = {(r.feature, r.p): r.q for r in quantiles(df, ["a", "b"], (0.1, 0.25, 0.5, 0.75, 0.99)).collect()}
-    # the distributed path (what columns beyond the map-merge bound use)
-    from loanlens.operators.ranking import quantiles_from_counts
-
-    long = df.selectExpr("stack(2, 'a', a, 'b', b) as (feature, value)").where("value is not null")
-    counts = long.groupBy("feature", "value").count()
-    dist = {(r.feature, r.p): r.q for r in quantiles_from_counts(
-        counts, ["feature"], "value", "count", (0.1, 0.25, 0.5, 0.75, 0.99), map_limit=1).collect()}
     for f, xs in vals.items():
         for p in (0.1, 0.25, 0.5, 0.75, 0.99):
             assert got[(f, p)] == pytest.approx(float(np.quantile(xs, p)), abs=1e-12), (f, p)
-            assert dist[(f, p)] == pytest.approx(float(np.quantile(xs, p)), abs=1e-12), (f, p)
 
 
 def test_folds_split_a_hot_id(spark):
@@ -167,19 +165,33 @@ def test_folds_split_a_hot_id(spark):
         assert max(sizes) - min(sizes) <= 1
 
 
-def test_folds_split_exact_copies(spark):
-    from loanlens.session import checkpoint_dir
+def test_folds_split_exact_copies_and_null_ids(spark, monkeypatch):
+    from loanlens.operators import folds
 
-    checkpoint_dir(spark)
+    monkeypatch.setattr(folds, "_COPIES", 300)   # copies are written out in several steps
     rows = [("HOT", "same", 1 if i % 4 == 0 else 0) for i in range(2000)] + \
-           [(f"S{i}", "x", i % 2) for i in range(100)]
-    df = spark.createDataFrame(rows, "sid string, prog string, y int").checkpoint(eager=True)
-    folded = stratified_folds(df, "sid", "y", 5, 42, hex_digits=1, tie_cols=["sid", "prog"],
-                              split_copies=True)
+           [(None, f"n{i % 700}", 0) for i in range(1500)] + [(f"S{i}", "x", i % 2) for i in range(100)]
+    df = spark.createDataFrame(rows, "sid string, prog string, y int")
+    dealt = {}
+    for parts in (1, 7):   # the same folds whatever the layout
+        folded = stratified_folds(df.repartition(parts), "sid", "y", 5, 42, hex_digits=1, tie_cols=["prog"])
+        dealt[parts] = sorted(map(str, folded.collect()))
+        assert folded.count() == len(rows)
+    assert dealt[1] == dealt[7]
     per = folded.groupBy("y", "fold").count().collect()
     for y in (0, 1):
         sizes = [r["count"] for r in per if r.y == y]
         assert len(sizes) == 5 and max(sizes) - min(sizes) <= 1
-    # the copies land in 16 different window partitions
-    d = df.withColumn("_m", F.substring(F.md5(F.monotonically_increasing_id().cast("string")), 1, 1))
-    assert d.where("sid = 'HOT'").select("_m").distinct().count() == 16
+    # rows without an id spread over the hash ranges
+    h = folds.dealing_hash("sid", 42, ["prog"])
+    assert df.where("sid is null").select(F.substring(h, 1, 1).alias("r")).distinct().count() == 16
+
+
+def test_category_index_is_the_model_vocabulary(spark, report):
+    from loanlens.operators.model import ALL_ROWS, CAT_FEATURES, category_index, vector_slots
+    from loanlens.plans.queries import _folded
+
+    rows = category_index(_folded(spark, SMALL), list(CAT_FEATURES), 5).where(F.col("train_set") == ALL_ROWS).collect()
+    slots = [s for s in vector_slots(report.fitted, CAT_FEATURES, []) if s[1] is not None]
+    assert slots == [(c, r.value) for c in CAT_FEATURES
+                     for r in sorted((r for r in rows if r.feature == c), key=lambda r: r.idx)]

@@ -19,24 +19,30 @@ def test_no_cartesian_or_nested_loop_join(spark, name):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
-@pytest.mark.parametrize("name", ["segment_rates", "segment_fallback", "top_segments"])
+@pytest.mark.parametrize("name", ["top_segments", "page_cuts"])
 def test_top_k_windows_limit_per_task(spark, name):
     plan = plan_text(spark, SQL_QUERIES[name](spark, SMALL))
     assert "WindowGroupLimit" in plan
 
 
-def test_scan_prunes_columns_and_pushes_level_filter(spark):
-    from loanlens.sources.fixture import raw_borrowers
-    from loanlens.operators.clean import clean_dataset
-    from loanlens.config import RiskConfig
-    from loanlens.plans.queries import PROFILE
-
-    # a config no registered query uses, so the shared cached table is not substituted
-    cfg = RiskConfig(as_of="2020-06-30")
-    df = clean_dataset(raw_borrowers(spark, SMALL), PROFILE, cfg).select("default_flag")
-    plan = plan_text(spark, df)
+def test_entry_query_reads_only_what_it_needs(spark):
+    """The registered entry query: pruned columns, no lineitem, the level filter on the scan."""
+    plan = plan_text(spark, SQL_QUERIES["default_rate_by_level"](spark, SMALL))
     orders_schema = re.search(r"orders\.parquet\].*?ReadSchema: (struct<[^>]*>)", plan, re.S).group(1)
     assert "o_orderstatus" not in orders_schema and "o_orderkey" in orders_schema
-    # the level filter (a function of the order key) runs on the orders scan, before any join
     assert "UG" in plan.split("(2) Filter")[1].split("(3)")[0]
     assert "lineitem" not in plan   # the unused line count is pruned away entirely
+
+
+@pytest.mark.parametrize("name", sorted(SQL_QUERIES))
+def test_no_registered_query_is_cached(spark, name):
+    assert "InMemoryTableScan" not in plan_text(spark, SQL_QUERIES[name](spark, SMALL))
+
+
+@pytest.mark.parametrize("name", ["numeric_distribution", "segment_rates", "stratified_folds", "fold_medians"])
+def test_building_a_query_starts_no_job(spark, name):
+    sc = spark.sparkContext
+    sc.setJobGroup(f"build-{name}", "building only")
+    SQL_QUERIES[name](spark, SMALL)
+    assert list(sc.statusTracker().getJobIdsForGroup(f"build-{name}")) == []
+    sc.setLocalProperty("spark.jobGroup.id", None)

@@ -1,6 +1,8 @@
 """Streaming ETL over an upload folder gives the batch result."""
 
+import pytest
 from conftest import banner_rows
+from pyspark.errors import StreamingQueryException
 
 from loanlens.config import RiskConfig
 from loanlens.streaming import start_clean_sink, stream_clean
@@ -24,3 +26,24 @@ def test_stream_clean_matches_batch(spark, tmp_path):
     out = spark.read.parquet(str(tmp_path / "out"))
     got = sorted((r.student_id, r.level, r.default_flag) for r in out.collect())
     assert got == [("U001", "UG", 0), ("U002", "GR", 1), ("U004", "GR", 1)]
+
+
+def test_columns_in_another_order(spark, tmp_path):
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    names, rows = banner_rows()
+    _write_csv(inbox / "a.csv", names[::-1], [r[::-1] for r in rows])
+    q = start_clean_sink(stream_clean(spark, str(inbox)), str(tmp_path / "out"), str(tmp_path / "ckpt"))
+    q.awaitTermination(120)
+    assert sorted(r.student_id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["U001", "U002"]
+
+
+def test_a_file_with_another_header_fails_the_stream(spark, tmp_path):
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    names, rows = banner_rows()
+    _write_csv(inbox / "a.csv", names[::-1], [r[::-1] for r in rows])
+    q = start_clean_sink(stream_clean(spark, str(inbox), header=names), str(tmp_path / "out"), str(tmp_path / "ckpt"))
+    with pytest.raises(StreamingQueryException):
+        q.awaitTermination(120)
+    assert not any(p.suffix == ".parquet" and p.stat().st_size for p in (tmp_path / "out").glob("*.parquet"))

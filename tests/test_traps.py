@@ -24,9 +24,9 @@ def test_t1_null_comparisons_are_false_not_null(spark):
 def test_t2_ansi_bad_text_never_fails_a_job(spark):
     df = one_col(spark, ["abc", "12/34/5678", "$$", "1e400"])
     rows = df.select(LF.to_numeric("x").alias("n"), LF.clean_currency("x").alias("c"),
-                     LF.parse_date("x", ("MM/dd/yyyy", "yyyy-MM-dd")).alias("d")).collect()
+                     LF.parse_date("x").alias("d")).collect()
     assert all(r.d is None for r in rows)
-    assert rows[3].n is None or rows[3].n == float("inf") or rows[3].n > 1e300
+    assert rows[3].n is None
 
 
 def test_t3_lenient_casts_are_guarded(spark):
@@ -69,4 +69,4 @@ def test_t10_sample_std_in_profile_population_std_in_cv(spark):
 def test_t11_dates_need_explicit_formats(spark):
     df = one_col(spark, ["05/15/2000"])
     assert df.select(F.try_to_timestamp("x")).first()[0] is None
-    assert df.select(LF.parse_date("x", RiskConfig().birth_date_formats)).first()[0] is not None
+    assert df.select(LF.parse_date("x")).first()[0] is not None
