@@ -99,6 +99,42 @@ classes AS (SELECT d.doc_id, coalesce(max(sz.n), 0)::BIGINT AS n_shingles,
             GROUP BY d.doc_id)"""
 
 
+def contamination_sql(source: str) -> str:
+    """CTEs ending in ``contamination`` over ``source`` (ids unique): phrases of 10 words, slop 2."""
+    words = (f"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), "
+             "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')")
+    return f"""
+dw AS (SELECT doc_id, {words} AS ws FROM {source}),
+it AS (SELECT item_id::VARCHAR AS item, {words} AS ws FROM benchmark),
+win AS (SELECT row_number() OVER () AS win, * FROM (SELECT terms, list(DISTINCT item) AS items FROM (
+    SELECT item, unnest(CASE WHEN len(ws) <= 10 THEN [ws]
+      ELSE list_transform(range(1, len(ws) - 8), lambda i: ws[i:i + 9]) END) AS terms FROM it WHERE len(ws) > 0)
+  GROUP BY terms)),
+pos AS (SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) - 1 AS p FROM dw),
+df AS (SELECT w, count(*) AS c FROM pos GROUP BY w),
+runs AS (SELECT doc_id, p, n, ws[p + 1:p + n] AS terms FROM (SELECT doc_id, ws, unnest(range(0, len(ws))) AS p FROM dw),
+         (SELECT DISTINCT len(terms) AS n FROM win) WHERE p + n <= len(ws)),
+hits AS (SELECT doc_id, p, n, items FROM runs JOIN win USING (terms)),
+hit_words AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (
+    SELECT doc_id, unnest(range(p, p + n)) AS q FROM hits) GROUP BY doc_id),
+hit_items AS (SELECT DISTINCT doc_id, unnest(items) AS item FROM hits),
+term AS (SELECT win, len(terms) AS n, unnest(terms) AS w, generate_subscripts(terms, 1) - 1 AS off FROM win),
+rare AS (SELECT win, n, w, off, row_number() OVER (PARTITION BY win ORDER BY c, off) AS k, count(*) OVER (PARTITION BY win) AS m
+         FROM term JOIN df USING (w)),
+at1 AS (SELECT win, n, doc_id, p - off AS s FROM rare JOIN pos USING (w) WHERE k = 1 AND m = n),
+at2 AS (SELECT win, doc_id, p - off AS s FROM rare JOIN pos USING (w) WHERE k = 2 AND m = n),
+cand AS (SELECT DISTINCT at1.win, at1.doc_id, at1.s FROM at1 JOIN at2 ON at1.win = at2.win AND at1.doc_id = at2.doc_id
+           AND abs(at1.s - at2.s) <= 2 UNION SELECT win, doc_id, s FROM at1 WHERE n = 1),
+near AS (SELECT DISTINCT cand.doc_id, unnest(items) AS item FROM cand JOIN win USING (win) JOIN dw ON dw.doc_id = cand.doc_id
+         WHERE list_has_all(ws[greatest(s - 2, 0) + 1:s + len(terms) + 2], terms)),
+near_only AS (SELECT doc_id, count(*) AS k FROM (SELECT * FROM near EXCEPT SELECT * FROM hit_items) GROUP BY doc_id),
+item_list AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM hit_items GROUP BY doc_id),
+contamination AS (SELECT dw.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+    coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated,
+    coalesce(near_only.k, 0)::BIGINT AS n_near_items
+  FROM dw LEFT JOIN hit_words USING (doc_id) LEFT JOIN item_list USING (doc_id) LEFT JOIN near_only USING (doc_id))"""
+
+
 ORACLE_SQL = {
     "op2_chat_preferences": """
 WITH t AS (SELECT conv_id // 2 AS pair_id, conv_id % 2 AS side, conv_id, role, text, row_number() OVER (
@@ -159,4 +195,21 @@ WITH t AS (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256 FROM documen
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
        doc_id = max(doc_id) OVER g AS kept, text_sha256
 FROM t WINDOW g AS (PARTITION BY text_sha256)""",
+    "op8_decontamination": f"""
+WITH {contamination_sql('documents')} SELECT * FROM contamination""",
+    "op9_suffix_dedup": """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS hx, strlen(coalesce(text, '')) AS n FROM documents),
+w AS (SELECT doc_id, i, substr(hx, 2 * i + 1, 200) AS s
+      FROM (SELECT doc_id, hx, unnest(range(0, n - 99)) AS i FROM d WHERE n >= 100)),
+f AS (SELECT s, min((doc_id, i)) AS first FROM w GROUP BY s HAVING count(*) > 1),
+r AS (SELECT doc_id, i FROM w JOIN f USING (s) WHERE (doc_id, i) <> first),
+g AS (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM (
+        SELECT *, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100 THEN 0 ELSE 1 END AS new FROM r)),
+x AS (SELECT doc_id, min(i) AS lo, max(i) + 100 AS hi FROM g GROUP BY doc_id, run),
+k AS (SELECT doc_id, lag(hi, 1, 0) OVER (PARTITION BY doc_id ORDER BY lo) AS a, lo AS b FROM x
+      UNION ALL SELECT d.doc_id, coalesce(max(hi), 0), max(n) FROM d LEFT JOIN x ON x.doc_id = d.doc_id GROUP BY d.doc_id)
+SELECT d.doc_id, any_value(n)::BIGINT AS n_bytes,
+  (any_value(n) - sum(b - a))::BIGINT AS n_removed, (count(*) - 1)::BIGINT AS n_spans,
+  sha256(unhex(string_agg(substr(hx, 2 * a + 1, 2 * (b - a)), '' ORDER BY a))) AS kept_sha256
+FROM d JOIN k ON k.doc_id = d.doc_id GROUP BY d.doc_id""",
 }
