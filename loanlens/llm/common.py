@@ -20,7 +20,7 @@ from loanlens.session import checkpoint_dir
 
 #: Bytes of text that one vectorised step of a task handles at a time (a longer
 #: single document is a step of its own).
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 #: Documents per step, so that a document's number fits 16 bits.
 CHUNK_DOCS = 60_000
 

@@ -7,8 +7,8 @@ neighbouring windows whose smallest ``GRAM``-byte hash sits at the same place
 (their anchor, a function of the window's bytes alone) form one context.
 
 Pass 1: digit = anchor hash. Pass 2: contexts that share an anchor but differ
-are cut into four blocks of windows; digit = the 80-odd bytes common to all
-windows of a block. Pass 3: blocks that still differ are cut into single
+are cut into blocks of ``BLOCK`` windows; digit = the 81 bytes or more common
+to all windows of a block. Pass 3: blocks that still differ are cut into single
 windows; digit = all bytes. In every pass rows sort by (digit, whole content,
 document, start) inside hash partitions: a lone digit is dropped, a content
 seen before is cut as a whole (all its windows start earlier elsewhere), and
@@ -17,7 +17,8 @@ only the first row of each of several contents goes to the next pass.
 Scale: each task first combines equal contents of its chunk, so a passage that
 a third of all documents hold brings one row per chunk to its partition; the
 passes stream over sorted rows and keep one row between batches. Digits and
-contents are 64-bit hashes each, compared together.
+contents are 64-bit hashes each, compared together. Texts are dealt by id once,
+zstandard-compressed, for the passes that need their bytes again.
 
 Edge cases: null or empty text, and texts under ``LENGTH`` bytes, lose nothing;
 rows with a null id neither match nor lose anything; repeated rows (same id and
@@ -33,6 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -166,11 +168,31 @@ def _digit_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = (key[-1], ctx[-1], doc[-1], place[-1])
 
 
-def _block_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Open contexts (doc_id, text, places) cut into blocks of windows, with their bytes."""
+def _pieces(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batches in smaller pieces, so that few unpacked texts are held at once."""
     for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
+
+
+def _pack_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    z = zstandard.ZstdCompressor(level=3)
+    for batch in _pieces(batches):
+        texts = batch.column(1).cast(pa.binary()).to_pylist()
+        yield pa.record_batch([batch.column(0), pa.array([z.compress(t or b"") for t in texts], pa.binary())],
+                              names=["doc_id", "packed"])
+
+
+def _unpacked(column: pa.Array) -> pa.Array:
+    z = zstandard.ZstdDecompressor()
+    return pa.array([z.decompress(p) for p in column.to_pylist()], pa.binary())
+
+
+def _block_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Open contexts (doc_id, packed text, places) cut into blocks of windows, with their bytes."""
+    for batch in _pieces(batches):
         ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
-        for i, j, data, offs in text_chunks(batch.column(1)):
+        for i, j, data, offs in text_chunks(_unpacked(batch.column(1))):
             lists = batch.column(2).slice(i, j - i)
             doc = np.repeat(np.arange(j - i), lists.value_lengths().to_numpy())
             place = lists.flatten().to_numpy()
@@ -222,15 +244,15 @@ def _sorted(rows: DataFrame) -> DataFrame:
 def repeated_windows(docs: DataFrame, text_by_id: DataFrame) -> DataFrame:
     """(doc_id, place): runs of windows that also start earlier.
 
-    ``text_by_id`` holds (doc_id, text) dealt by id; it is the same shuffle
-    that the caller joins again, so Spark runs it once.
+    ``text_by_id`` holds (doc_id, packed text) dealt by id; it is the same
+    shuffle that the caller joins again, so Spark runs it once.
     """
     first = save_table(
         _sorted(docs.where(F.col("doc_id").isNotNull() & (F.octet_length("text") >= LENGTH)).mapInArrow(
             _context_pass, "key long, ctx long, doc_id long, place long"))
         .mapInArrow(_digit_pass, "doc_id long, place long, open boolean"), "repeat-contexts")
     opened = first.where("open").groupBy("doc_id").agg(F.collect_list("place").alias("places"))
-    second = _sorted(text_by_id.join(opened, "doc_id").select("doc_id", "text", "places").mapInArrow(
+    second = _sorted(text_by_id.join(opened, "doc_id").select("doc_id", "packed", "places").mapInArrow(
         _block_pass, "key long, ctx long, doc_id long, place long, bytes binary")
     ).mapInArrow(_digit_pass, "doc_id long, place long, bytes binary, open boolean")
     third = _sorted(second.where("open").select("doc_id", "place", "bytes").mapInArrow(
@@ -257,11 +279,11 @@ def merged_runs(places: np.ndarray, size: int) -> list[tuple[int, int]]:
 
 
 def _cut_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = batch.column(1).cast(pa.binary())
+    for batch in _pieces(batches):
+        texts = _unpacked(batch.column(1))
         out = []
         for k in range(batch.num_rows):
-            raw = texts[k].as_py() or b""
+            raw = texts[k].as_py()
             places = batch.column(2)[k]
             runs = merged_runs(places.values.to_numpy(), len(raw)) if places.is_valid else []
             digest, pos = hashlib.sha256(), 0
@@ -281,8 +303,8 @@ def _cut_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def cut_repeats(docs: DataFrame) -> DataFrame:
     """One row per input row: doc_id, n_bytes, n_removed, removed spans, digest of the rest."""
     table = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    text_by_id = table.repartition("doc_id")
+    text_by_id = table.mapInArrow(_pack_pass, "doc_id long, packed binary").repartition("doc_id")
     cuts = repeated_windows(table, text_by_id).groupBy("doc_id").agg(F.collect_list("place").alias("places"))
-    return text_by_id.join(cuts, "doc_id", "left").select("doc_id", "text", "places").mapInArrow(
+    return text_by_id.join(cuts, "doc_id", "left").select("doc_id", "packed", "places").mapInArrow(
         _cut_pass, "doc_id long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, "
                    "kept_sha256 string")
