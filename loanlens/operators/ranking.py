@@ -25,6 +25,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _bounds_below(bounds: str, value, n: int):
+    """How many entries of a sorted array column lie below ``value``: binary search, log2(n) steps."""
+    steps = [1 << k for k in range((n - 1).bit_length() - 1, -1, -1)]
+    return F.aggregate(
+        F.array(*[F.lit(s) for s in steps]), F.lit(0),
+        lambda found, step: found + F.when(
+            F.coalesce(F.get(F.col(bounds), found + step - 1) < value, F.lit(False)), step).otherwise(0))
+
+
 def running_count(counts: DataFrame, group_cols: Sequence[str], order_col: str,
                   weight_col: str, buckets: int = 256, accuracy: int = 10_000) -> DataFrame:
     """``counts`` plus ``_before`` = total weight of rows of the same group with a
@@ -33,21 +42,21 @@ def running_count(counts: DataFrame, group_cols: Sequence[str], order_col: str,
     Two-level prefix sum: approximate quantiles (a fixed-size sketch per
     group) cut the values into ``buckets`` ranges; bucket totals get a running
     sum over at most ``buckets`` rows per group, and rows are summed only
-    inside their (group, bucket). The broadcast tables hold ``buckets`` values
-    per group.
+    inside their (group, bucket). Bounds and offsets hold ``buckets`` values
+    per group; Spark decides by their size how to join them.
     """
     g = list(group_cols)
     probs = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
     bounds = counts.groupBy(*g).agg(
         F.percentile_approx(order_col, probs, accuracy).alias("_bounds"))
     v = F.col(order_col)
-    pb = counts.join(F.broadcast(bounds), g)
-    pb = pb.withColumn("_bk", F.size(F.filter("_bounds", lambda b: b < v))).drop("_bounds")
+    pb = counts.join(bounds, g)
+    pb = pb.withColumn("_bk", _bounds_below("_bounds", v, buckets)).drop("_bounds")
     per_bucket = pb.groupBy(*g, "_bk").agg(F.sum(weight_col).alias("_bw"))
     wb = Window.partitionBy(*g).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
     per_bucket = per_bucket.select(*g, "_bk",
                                    F.coalesce(F.sum("_bw").over(wb), F.lit(0)).alias("_off"))
-    pb = pb.join(F.broadcast(per_bucket), g + ["_bk"])
+    pb = pb.join(per_bucket, g + ["_bk"])
     wi = Window.partitionBy(*g, "_bk").orderBy(order_col).rowsBetween(
         Window.unboundedPreceding, -1)
     return pb.withColumn("_before", F.col("_off") + F.coalesce(F.sum(weight_col).over(wi), F.lit(0))
@@ -70,8 +79,7 @@ def exact_quantiles(counts: DataFrame, group_cols: Sequence[str], value_col: str
     targets = totals.select(*g, F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"),
                             "_n").withColumn("_h", (F.col("_n") - 1) * F.col("p"))
     targets = targets.withColumn("_lo", F.floor("_h")).withColumn("_hi", F.ceil("_h"))
-    # small: groups x len(probs) rows
-    hit = ranked.join(F.broadcast(targets), g)
+    hit = ranked.join(targets, g)
     inside = lambda r: (F.col("_before") <= F.col(r)) & (F.col(r) < F.col("_before") + F.col(count_col))
     picked = hit.where(inside("_lo") | inside("_hi")).groupBy(*g, "p", "_h", "_lo").agg(
         F.max(F.when(inside("_lo"), F.col(value_col))).alias("_vlo"),
@@ -92,8 +100,7 @@ def rank_auc(df: DataFrame, group_cols: Sequence[str], score_col: str, label_col
              buckets: int = 256, accuracy: int = 10_000) -> DataFrame:
     """(group..., n, n_pos, n_neg, auc); auc is null when a class is absent.
 
-    Broadcast sides hold ``buckets`` values per group; callers group by a
-    handful of keys (levels, model x fold).
+    Callers group by a handful of keys (levels, model x fold).
     """
     if not group_cols:
         out = rank_auc(df.withColumn("_all", F.lit(1)), ["_all"], score_col, label_col,

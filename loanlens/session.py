@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
 
 
+_LOCAL_FOLDERS: list[tempfile.TemporaryDirectory] = []
+
+
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
                   app_name: str = "loanlens", extra: dict | None = None) -> SparkSession:
     """Local session with the settings the queries are designed for.
@@ -29,7 +31,7 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
         # method above the JVM's 8000-byte JIT limit would run interpreted, so
         # let Spark fall back to per-operator code for such stages instead
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "8g")
     )
     for k, v in (extra or {}).items():
         builder = builder.config(k, v)
@@ -54,6 +56,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not sc.master.startswith("local"):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; point it at a shared folder")
-        configured = tempfile.mkdtemp(prefix="loanlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        # held until the process ends, then removed
+        folder = tempfile.TemporaryDirectory(prefix="loanlens-ckpt-", ignore_cleanup_errors=True)
+        _LOCAL_FOLDERS.append(folder)
+        configured = folder.name
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -127,3 +127,11 @@ def test_approx_quantiles_option(spark):
     approx = numeric_distribution(df, RiskConfig(approx_quantiles=True), cols=("gpa",)).first()
     assert exact.median == 50.5 and exact.p25 == 25.75
     assert abs(approx.median - 50.5) <= 1 and abs(approx.p25 - 25.75) <= 1
+
+
+def test_display_view_rounds_half_to_even_and_keeps_the_rest(spark):
+    from loanlens.operators.eda import display_view
+
+    df = spark.createDataFrame([("x", 3, 0.00025), ("y", 4, 0.00035)], "a string, n int, v double")
+    assert [tuple(r) for r in display_view(df).collect()] == [
+        ("x", 3, 0.0002), ("y", 4, 0.0004)]
