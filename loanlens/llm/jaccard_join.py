@@ -9,13 +9,16 @@ band sum to more than H, two linked sets agree in some signature (pigeonhole).
 
 Cost-based allocation works on two levels. Per band, :func:`plan_bands`
 compares many exact segments with few one-deletion segments by estimated rows
-and chance matches. Per set, a signature whose tokens are all on a bounded
-list of frequent shingles (the empty segment included) gets allocation 0: it
-would match everything. That is safe while the set has spare segments: a set
-of n tokens may skip ``spare(n)`` of them and still agree with each partner in
-another one. A set that would skip more emits those signatures too, and two
-sets can only miss each other there if both are such sets, so nothing is lost.
-The frequent list only moves cost, never results.
+and chance matches. Per set, segments get allocation 0 where they would match
+most: a band has more segments than H + 1, and a set that can differ from any
+partner in at most h tokens indexes only its h + 1 best ones. "Best" is an
+order of contents (most tokens off a bounded list of frequent shingles first,
+then by hash), the same for every set. Two linked sets agree in at least
+m - h segments; the best of those has at least m - h - 1 worse ones on either
+side, so it is among the h + 1 best of both: nothing is lost. (With one-deletion
+segments, whose contents differ between the sides, a signature without a rare
+token is left out only while spare segments last, and two sets that both run
+out of them both emit theirs.) The frequent list only moves cost, never results.
 
 Flow: one pass gives each document its set key (equal sets collapse into one
 class); a second emits signatures, pre-aggregated per chunk into a pivot row
@@ -48,9 +51,9 @@ from .common import (ByteHash, LOWER, connected_components, mix, save_table, sig
 #: Tokens in one comparison block.
 BLOCK_TOKENS = 1_000_000
 #: Most entries of the frequent-shingle list (8 bytes each).
-FREQUENT_LIMIT = 32_768
-#: A shingle is a candidate for that list when a chunk has it in this many documents.
-FREQUENT_IN_CHUNK = 6
+FREQUENT_LIMIT = 131_072
+#: A shingle counts for that list where a chunk of documents has it this often.
+FREQUENT_IN_CHUNK = 2
 
 
 @dataclass(frozen=True)
@@ -85,7 +88,7 @@ def plan_bands(largest: int, t: int, chance: float = 0.05, population: float = 1
         if h == 0:
             bands.append(Band(low, high, reach, 0, False))
         else:
-            whole = h + 2 + (h + 1) // 25
+            whole = h + 2 + h // 6
             pairs = h // 2 + 2 + (h // 2 + 1) // 25
             cost_whole = whole * (1 + population * chance ** (low / whole))
             cost_pairs = (pairs + high) * (1 + population * chance ** (low / pairs - 1))
@@ -169,7 +172,6 @@ def signatures(h: np.ndarray, d: np.ndarray, size: np.ndarray, bands: list[Band]
         # the largest difference this set can have with a partner in this instance
         partner = size * 100 // t if back == 0 else highs
         worst = max_difference(size, partner, t)
-        spare = np.where(dele, segs - 1 - worst // 2, segs - 1 - worst)
         pick = ok[d]
         hd, hv, rr = d[pick], value[pick], rare_token[pick]
         m = segs[hd].astype(np.uint64)
@@ -179,21 +181,27 @@ def signatures(h: np.ndarray, d: np.ndarray, size: np.ndarray, bands: list[Band]
         sd, sg = hd[starts], seg[starts].astype(np.int64)
         total, rare = _sums(hv, starts), _sums(rr, starts)
         tag = mix(sg.astype(np.uint64) + (inst[sd].astype(np.uint64) << np.uint64(32)))
-        # segments without tokens count as frequent ones
+        sig = mix(total + tag)
         docs = np.flatnonzero(ok)
         filled = np.bincount(sd, minlength=len(size))
-        light = np.where(dele[sd], rare <= 1, rare == 0)
-        skipped = segs - filled + np.bincount(sd, weights=light, minlength=len(size)).astype(np.int64)
-        short = skipped > spare  # must also emit all-frequent signatures
-        keep = (rare > 0) | short[sd]
-        out_s.append(mix(total[keep] + tag[keep]))
+        # whole segments: the worst + 1 best; empty segments are the worst of all
+        need = worst + 1
+        order = np.argsort(((255 - np.minimum(rare, 255)).astype(np.uint64) << np.uint64(56)) | (sig >> np.uint64(8)))
+        order = order[np.argsort(sd[order].astype(np.uint16), kind="stable")]
+        rank = np.empty(len(sd), np.int64)
+        rank[order] = np.arange(len(sd)) - np.searchsorted(sd, np.arange(len(size)))[sd[order]]
+        # one-deletion segments: those without a rare token are skipped while spare ones last
+        skipped = segs - filled + np.bincount(sd, weights=rare <= 1, minlength=len(size)).astype(np.int64)
+        short = dele & (skipped > segs - 1 - worst // 2)
+        keep = np.where(dele[sd], (rare > 0) | short[sd], rank < need[sd])
+        out_s.append(sig[keep])
         out_d.append(sd[keep])
-        lacking = docs[short[docs] & (filled[docs] < segs[docs])]
-        for x in lacking:  # its empty segments
+        missing = np.where(dele, short * segs, need) - filled
+        for x in docs[missing[docs] > 0]:
             empty = np.setdiff1d(np.arange(segs[x]), sg[sd == x])
-            e_tag = mix(empty.astype(np.uint64) + (np.uint64(inst[x]) << np.uint64(32)))
-            out_s.append(mix(e_tag))
-            out_d.append(np.full(len(empty), x))
+            e_sig = mix(mix(empty.astype(np.uint64) + (np.uint64(inst[x]) << np.uint64(32))))
+            out_s.append(e_sig if dele[x] else np.sort(e_sig)[: missing[x]])
+            out_d.append(np.full(len(out_s[-1]), x))
         if dele[docs].any():  # one-deletion neighbourhoods
             of = np.cumsum(new) - 1
             rest_rare = rare[of] - rr
