@@ -1,8 +1,8 @@
 """Preference formatting of chosen and rejected conversations (op 2).
 
 DataFrame functions only. A pair's longest common turn prefix is the smallest
-turn index at which the two sides differ (role or text, or one side has
-ended), a partial min-aggregate over (pair, index). The prefix is rendered once
+turn index at which the two sides differ (role or text, by a 128-bit digest,
+or one side has ended), a partial min-aggregate over (pair, index). The prefix is rendered once
 as prompt; the rest of each side becomes its completion, with the character
 ranges that carry loss: the text and end mark of assistant turns.
 
@@ -60,9 +60,12 @@ def format_preferences(pairs: DataFrame, conversations: DataFrame,
         F.struct(F.lit(0).alias("side"), F.col("chosen_id").alias("conv_id")),
         F.struct(F.lit(1).alias("side"), F.col("rejected_id").alias("conv_id")))).alias("s")).select("pair_id", "s.*")
     rows = sides.join(turns, "conv_id")
-    same = F.struct("role", "text")
-    differs = (F.count("*") < 2) | ~F.min(same).eqNullSafe(F.max(same))
-    common = (rows.groupBy("pair_id", "idx").agg(differs.alias("differs"))
+    # two 64-bit digests stand for a turn, so comparing moves no text
+    turn = [F.col("role").isNull(), "role", F.col("text").isNull(), "text"]
+    digest = F.struct(F.xxhash64(F.lit(0), *turn).alias("a"), F.xxhash64(F.lit(1), *turn).alias("b"))
+    differs = (F.count("*") < 2) | (F.min("digest") != F.max("digest"))
+    common = (rows.select("pair_id", "idx", digest.alias("digest"))
+              .groupBy("pair_id", "idx").agg(differs.alias("differs"))
               .groupBy("pair_id").agg(F.coalesce(
                   F.min(F.when(F.col("differs"), F.col("idx"))), F.max("idx") + 1).alias("n_common")))
 

@@ -14,7 +14,8 @@ A block is read at most ``max_repeats`` times, so no document is.
 Scale: one row per slot, per block piece and per source. Ranks and stream
 offsets are two-level prefix sums (counts per chunk, running sums over chunks,
 positions within a chunk), so a source with a third of all rows is spread over
-many partitions; the number of md5 ranges follows the number of documents.
+many partitions. There are about as many chunks as rows in one (the square
+root of their number), so neither level grows out of a task.
 
 Edge cases: null or empty text counts 0 words and is taken 0; null sources are
 one source, last; null ids mix like others; repeated rows are separate
@@ -23,6 +24,8 @@ documents; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,8 +35,6 @@ WORD = r"[^\x20\x09\x0A\x0B\x0C\x0D]+"
 #: Odd integer next to 2**31 / golden ratio: the step of the slot points.
 STEP = 1_327_217_885
 POINTS = 1 << 31
-_SLOT_CHUNK = 1 << 16
-_ROWS_PER_RANGE = 5_000
 _LANES = 4_096
 
 
@@ -72,6 +73,7 @@ def schedule(targets: DataFrame, goal_words: float, block_words: int) -> DataFra
     """(slot, src, pick): the source of every slot and the slot's rank within it."""
     spark = targets.sparkSession
     slots = int(round(goal_words / block_words))
+    per_chunk = math.isqrt(slots) + 1
     lane = lambda u: F.floor(u * _LANES).cast("int")
     last = Window.orderBy("src").rowsBetween(1, Window.unboundedFollowing)
     bounds = targets.where("target > 0").withColumn(  # rounding never leaves a gap at 1
@@ -82,7 +84,7 @@ def schedule(targets: DataFrame, goal_words: float, block_words: int) -> DataFra
     placed = (spark.range(slots).withColumnRenamed("id", "slot").withColumn("point", point)
               .withColumn("lane", lane(F.col("point")))
               .join(bounds, "lane").where("point >= share_low and point < share_high")
-              .select("slot", "src", F.floor(F.col("slot") / _SLOT_CHUNK).alias("chunk")))
+              .select("slot", "src", F.floor(F.col("slot") / per_chunk).alias("chunk")))
     counts = placed.groupBy("src", "chunk").count()
     starts = counts.select("src", "chunk", F.coalesce(F.sum("count").over(
         Window.partitionBy("src").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)),
@@ -94,7 +96,7 @@ def schedule(targets: DataFrame, goal_words: float, block_words: int) -> DataFra
 
 def streams(docs: DataFrame, seed: str) -> DataFrame:
     """Documents (with src) at their first word's offset in their source's shuffled stream."""
-    ranges = docs.count() // _ROWS_PER_RANGE + 1
+    ranges = math.isqrt(docs.count()) + 1
     keyed = docs.withColumn("order", F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
                                                     F.lit(":" + seed)).cast("binary")))
     keyed = keyed.withColumn("range", F.floor(

@@ -96,23 +96,28 @@ class Link:
 _NEVER = Link(np.zeros(0, np.int64), np.zeros(0), np.zeros(0), -60.0)
 
 
-def fit_link(doc: np.ndarray, feature: np.ndarray, before: np.ndarray, y: np.ndarray, cfg: ChainSettings) -> Link:
-    """L1 logistic regression by accelerated proximal gradient on screened features."""
-    rows = len(y)
-    if not y.any():
+def fit_link(doc: np.ndarray, col: np.ndarray, names: np.ndarray, before: np.ndarray, y: np.ndarray,
+             train: np.ndarray, cfg: ChainSettings) -> Link:
+    """L1 logistic regression by accelerated proximal gradient on screened features.
+
+    ``doc`` and ``col`` are the (row, feature number) pairs of all labelled rows
+    and ``train`` marks those to fit on; ``names`` are the features' hashes.
+    """
+    if not y[train].any():
         return Link(_NEVER.features, _NEVER.weights, np.zeros(before.shape[1]), _NEVER.intercept)
-    names, col = np.unique(feature, return_inverse=True)
-    have = np.bincount(col, minlength=len(names))
-    pos = np.bincount(col, weights=y[doc], minlength=len(names))
-    share = y.mean()
+    share = y[train].mean()
+    have = np.bincount(col, weights=train[doc], minlength=len(names))
+    pos = np.bincount(col, weights=(train * y)[doc], minlength=len(names))
     contrast = np.abs(pos - have * share) / np.sqrt(have * share * (1 - share) + 1e-9)
     contrast[have < cfg.min_rows] = 0
     kept = np.sort(np.argsort(-contrast, kind="stable")[: cfg.screened])
     kept = kept[contrast[kept] > 0]
-    place = np.full(len(names), -1)
+    place = np.full(len(names), -1, np.int32)
     place[kept] = np.arange(len(kept))
-    use = place[col] >= 0
-    r, c = doc[use], place[col][use]
+    use = (place[col] >= 0) & train[doc]
+    row = np.cumsum(train) - 1
+    r, c = row[doc[use]].astype(np.int32), place[col[use]]
+    before, y, rows = before[train], y[train], int(train.sum())
     k, e = len(kept), before.shape[1]
 
     def forward(w: np.ndarray) -> np.ndarray:
@@ -166,6 +171,17 @@ def training_rows(docs: DataFrame, labels: DataFrame, cfg: ChainSettings) -> Dat
         _feature_pass(cfg), "doc_id long, features array<int>, toxic int")
 
 
+def _training_arrays(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row number, feature) pairs, labels and ids of the bounded training rows, by id."""
+    got = rows.toArrow().sort_by("doc_id")
+    lists = got.column("features").combine_chunks()
+    if isinstance(lists, pa.ChunkedArray):
+        lists = pa.concat_arrays(lists.chunks) if lists.num_chunks else pa.array([], pa.list_(pa.int32()))
+    doc = np.repeat(np.arange(got.num_rows, dtype=np.int32), lists.value_lengths().to_numpy())
+    return (doc, lists.flatten().to_numpy().copy(), got.column("toxic").to_numpy() > 0,
+            got.column("doc_id").to_numpy().astype(np.uint64))
+
+
 @dataclass(frozen=True)
 class Chain:
     """Fitted links in order and the probability from which the last one decides."""
@@ -187,40 +203,41 @@ def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
 
 def fit_chain(docs: DataFrame, labels: DataFrame, cfg: ChainSettings = ChainSettings()) -> Chain:
     """Links fitted in order; the threshold comes from out-of-fold answers of the last."""
-    got = training_rows(docs, labels, cfg).toArrow().sort_by("doc_id")
-    lists = got.column("features").combine_chunks()
-    rows = got.num_rows
-    if not rows:
+    doc, feature, toxic, ids = _training_arrays(training_rows(docs, labels, cfg))
+    rows = len(toxic)
+    if not toxic.any():
         return Chain([Link(n.features, n.weights, np.zeros(k), n.intercept)
                       for k, n in enumerate([_NEVER] * len(LINKS))], 0.5)
-    doc = np.repeat(np.arange(rows), lists.value_lengths().to_numpy())
-    feature = lists.flatten().to_numpy().astype(np.int64)
-    toxic = got.column("toxic").to_numpy() > 0
     targets, any_seed = {}, np.zeros(rows, bool)
     for name, seeds in SEEDS.items():
         has = np.zeros(rows, bool)
         has[doc[np.isin(feature, [word_feature(s, cfg) for s in seeds])]] = True
         targets[name], any_seed = toxic & has, any_seed | has
     targets |= {"unseeded": toxic & ~any_seed, "toxic": toxic}
-    ids = got.column("doc_id").to_numpy().astype(np.uint64)
+    # feature numbers, without features too rare for any link
+    often = np.bincount(feature, minlength=1 << cfg.bits) >= cfg.min_rows
+    names = np.flatnonzero(often)
+    number = np.cumsum(often, dtype=np.int32) - 1
+    keep = often[feature]
+    doc, col = doc[keep], number[feature[keep]]
+    del feature, keep, number, often
     fold = (mix(ids) % np.uint64(cfg.folds)).astype(np.int64)
-
-    def rows_of(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        take = mask[doc]
-        return (np.cumsum(mask) - 1)[doc[take]], feature[take]
-
+    everyone = np.ones(rows, bool)
     chain, before = [], np.zeros((rows, 0))
     for name in LINKS:
         y = targets[name].astype(float)
-        chain.append(fit_link(doc, feature, before, y, cfg))
+        chain.append(fit_link(doc, col, names, before, y, everyone, cfg))
         answer = np.zeros(rows)  # out of fold, for the links to come and the threshold
         for f in range(cfg.folds):
             held = fold == f
             if held.any() and (~held).any():
-                link = fit_link(*rows_of(~held), before[~held], y[~held], cfg)
-                answer[held] = link.probability(*rows_of(held), before[held])
+                link = fit_link(doc, col, names, before, y, ~held, cfg)
+                wanted = np.zeros(len(names), bool)
+                wanted[np.searchsorted(names, link.features)] = True
+                hit = wanted[col] & held[doc]
+                answer[held] = link.probability(doc[hit], names[col[hit]], before)[held]
         before = np.c_[before, answer]
-    return Chain(chain, best_threshold(before[:, -1], toxic) if toxic.any() else 0.5)
+    return Chain(chain, best_threshold(before[:, -1], toxic))
 
 
 def chain_probabilities(chain: list[Link], doc: np.ndarray, feature: np.ndarray, rows: int, bits: int) -> np.ndarray:

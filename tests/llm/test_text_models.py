@@ -127,7 +127,7 @@ def test_later_links_use_earlier_ones_out_of_fold():
     y = (r.random(600) < 0.4).astype(float)
     before = np.c_[np.clip(y * 0.8 + r.random(600) * 0.2, 0, 1)]
     none = np.zeros(0, np.int64)
-    link = X.fit_link(none, none, before, y, X.ChainSettings())
+    link = X.fit_link(none, none, none, before, y, np.ones(600, bool), X.ChainSettings())
     assert link.earlier[0] > 1
     assert ((link.probability(none, none, before) > 0.5) == (y > 0)).mean() > 0.99
 
