@@ -25,7 +25,8 @@ SALTS = 16
 
 
 def _salted(groups: DataFrame) -> DataFrame:
-    return groups.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    """Groups once per salt; shuffled, never broadcast, as their number grows with the table."""
+    return groups.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).hint("shuffle_hash")
 
 
 def _row_salt() -> Column:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,7 +18,7 @@ from .toxicity import toxicity
 from .wordpiece import PieceAutomaton, read_vocabulary, token_counts
 
 #: Vocabulary file of the registered token count (a parameter of the operator).
-VOCABULARY = os.environ.get("LOANLENS_VOCABULARY", "/opt/tokenizers/byte_bpe_50k.tiktoken")
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,8 +47,8 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
-def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts(_table(spark, sf_dir, "documents"), PieceAutomaton(read_vocabulary(VOCABULARY)))
+def op6_token_counts(spark: SparkSession, sf_dir: str, vocabulary: str = VOCABULARY) -> DataFrame:
+    return token_counts(_table(spark, sf_dir, "documents"), PieceAutomaton(read_vocabulary(vocabulary)))
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
