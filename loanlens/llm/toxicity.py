@@ -237,7 +237,8 @@ def fit_chain(docs: DataFrame, labels: DataFrame, cfg: ChainSettings = ChainSett
                 hit = wanted[col] & held[doc]
                 answer[held] = link.probability(doc[hit], names[col[hit]], before)[held]
         before = np.c_[before, answer]
-    return Chain(chain, best_threshold(before[:, -1], toxic))
+    # with few labels the best cut can lie low: never call a text toxic below the base rate
+    return Chain(chain, max(best_threshold(before[:, -1], toxic), float(toxic.mean())))
 
 
 def chain_probabilities(chain: list[Link], doc: np.ndarray, feature: np.ndarray, rows: int, bits: int) -> np.ndarray:
