@@ -1,13 +1,19 @@
 """Secret scan: fixed patterns plus dictionary-primed zstandard novelty (op 10).
 
 Base kinds ``assign``, ``access`` and ``hex`` are the fixed patterns below.
-The method then looks at every other run of token characters that stands in a
-sensitive context (a credential word shortly before it): a zstandard
-compressor primed with a dictionary of common identifiers compresses the
-surrounding text alone and with the candidate put between its halves; the
-marginal bytes per character say how novel the string is. Words, paths and
-identifiers repeat the dictionary or the context and cost little; random keys
-cost close to their entropy. Incompressible candidates are reported as ``novel``.
+The method then looks at every other run of 16 or more token characters that
+stands in a sensitive context (a credential word shortly before it, alone or
+inside a longer identifier): a zstandard compressor primed with a dictionary of
+common identifiers compresses the surrounding text alone and with the candidate
+put between its halves; the marginal bytes per character say how novel the
+string is. Words, paths and identifiers repeat the dictionary or the context and
+cost little; random keys cost close to their entropy. Incompressible candidates
+are reported as ``novel``.
+
+Runs of letters only or digits only need a sharper measure, as identifiers and
+words are such runs too: their lower-case form is compressed in short pieces
+against a larger word list together with the surroundings (:func:`plain_novelty`).
+Names of unlisted words (other languages, say) can still count as novel.
 
 Work is one narrow pass over the documents, Arrow batches in Python; nothing
 is shuffled, so no key can be hot and a lost task is simply run again. Quick
@@ -31,6 +37,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common_words import WORDS
+
 KINDS = ("assign", "access", "hex", "novel")
 
 # Fixed patterns of the base kinds.
@@ -42,10 +50,14 @@ _ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 #: Words that make the text after them sensitive.
 CONTEXT = re.compile(
-    r"(?:pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|auth(?:orization)?"
-    r"|bearer|credential|signature|session[_-]?id|client[_-]?id|encryption[_-]?key)s?\b", re.I | re.A)
+    r"(?:pass(?:word|wd|phrase|(?!age|eng|ion|iv))|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key"
+    r"|auth(?:orization|(?!or(?!i[sz])))"
+    r"|bearer|credential|signature|session[_-]?id|client[_-]?id|(?:encryption|signing)[_-]?key)s?", re.I | re.A)
 _CONTEXT_HINTS = ("pass", "pwd", "secret", "token", "key", "auth", "bearer", "credential", "signature", "session", "client")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=~-]{16,}")
+#: Rest of the identifier that a credential word is part of, and what leads from there to its value.
+_NAME = re.compile(r"[A-Za-z0-9_-]*")
+_ASSIGNED = re.compile(r"""["']?\x20*:|["']?\x20+=|=+["']?(?=[A-Za-z0-9+/_~-])""")
 
 #: Identifiers and phrases of ordinary code and configuration: the dictionary.
 DICTIONARY = " ".join("""
@@ -67,6 +79,7 @@ class NoveltyRule:
     reach: int = 48            # a credential word ends at most this far before the candidate
     around: int = 160          # characters of context on either side
     min_ratio: float = 0.60    # marginal compressed bytes per character
+    min_plain: float = 0.95    # the same for letters only or digits only, by the word list
     level: int = 9
     extra_words: tuple[str, ...] = field(default=())  # project identifiers to prime with
 
@@ -86,6 +99,33 @@ def novelty(text: str, start: int, end: int, rule: NoveltyRule) -> float:
     return (len(z.compress(before + after + piece)) - len(z.compress(before + after))) / len(piece)
 
 
+#: Text that the dictionary holds: with it first, a piece is never stored raw as a whole.
+_LEAD = DICTIONARY.lower()[:80]
+#: Characters per piece; the literals of longer ones would be Huffman coded.
+_PIECE = 48
+_PLAIN = zstandard.ZstdCompressionParameters(
+    window_log=17, chain_log=16, hash_log=16, search_log=6, min_match=4, target_length=32,
+    strategy=zstandard.STRATEGY_BTLAZY2, write_content_size=False, write_checksum=False)
+
+
+def plain_novelty(text: str, start: int, end: int, rule: NoveltyRule) -> float:
+    """Compressed bytes per character of text[start:end], case folded, given its surroundings and the word list."""
+    around = text[max(0, start - rule.around): start] + " " + text[end: end + rule.around]
+    known = " ".join((*rule.extra_words, *WORDS, "")).lower().encode() + DICTIONARY.lower() + b" " + around.lower().encode()
+    z = zstandard.ZstdCompressor(compression_params=_PLAIN, dict_data=zstandard.ZstdCompressionDict(
+        known, dict_type=zstandard.DICT_TYPE_RAWCONTENT))
+    piece, alone = text[start:end].lower().encode(), len(z.compress(_LEAD))
+    return sum(len(z.compress(_LEAD + piece[i: i + _PIECE])) - alone for i in range(0, len(piece), _PIECE)) / len(piece)
+
+
+def is_novel(text: str, start: int, end: int, rule: NoveltyRule) -> bool:
+    """Whether a candidate reaches the bound of its kind."""
+    word = text[start:end]
+    if any(x.isdigit() for x in word) and any(x.isalpha() for x in word):
+        return novelty(text, start, end, rule) >= rule.min_ratio
+    return plain_novelty(text, start, end, rule) >= rule.min_plain
+
+
 def base_spans(text: str, low: str) -> list[tuple[int, int, int]]:
     """(start, kind index, end) of the fixed patterns, in order."""
     spans = []
@@ -101,19 +141,25 @@ def novel_spans(text: str, low: str, base: list[tuple[int, int, int]], rule: Nov
     """Incompressible candidates in sensitive context that no base span touches."""
     if not any(h in low for h in _CONTEXT_HINTS):
         return []
-    found, seen = [], -1
+    found, seen, name_end, value, ahead = [], -1, -1, None, None
     for c in CONTEXT.finditer(text):
-        at = max(c.end(), seen)
-        while m := CANDIDATE.search(text, at, len(text)):
-            if m.start() - c.end() > rule.reach:
+        if c.end() > name_end:
+            name_end = _NAME.match(text, c.end()).end()
+            value = _ASSIGNED.match(text, name_end)
+        begin = value.end() if value else c.end()
+        at = max(begin, seen)
+        while True:
+            if ahead is None or ahead.start() < at:
+                ahead = CANDIDATE.search(text, at)
+            if ahead is None:
+                return found
+            m = ahead
+            if m.start() - begin > rule.reach:
                 break
             at = seen = m.end()
-            word = m.group()
-            if not (any(x.isdigit() for x in word) and any(x.isalpha() for x in word)):
-                continue
             if any(s < m.end() and m.start() < e for s, _, e in base):
                 continue
-            if novelty(text, m.start(), m.end(), rule) >= rule.min_ratio:
+            if is_novel(text, m.start(), m.end(), rule):
                 found.append((m.start(), 3, m.end()))
     return found
 
