@@ -177,11 +177,11 @@ def parse(page: str) -> Tree:
 
 
 def names_in(attrs: str) -> list[str]:
-    """Lower-case words of class, id and role."""
+    """Distinct lower-case words of class, id and role, however many; those a model has not seen cost nothing."""
     if "=" not in attrs:
         return []
     found = " ".join(a or b or c for a, b, c in _NAMES.findall(attrs))
-    return [w.lower() for w in _NAME_PART.findall(found)][:12]
+    return list(dict.fromkeys(w.lower() for w in _NAME_PART.findall(found)))
 
 
 def _bucket(n: int) -> int:

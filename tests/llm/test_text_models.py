@@ -74,6 +74,20 @@ def test_extraction_of_pages(page, want):
     assert text_of(page) == want
 
 
+UTILITY = "flex flex-col items-center justify-between px-4 py-2 bg-white rounded-lg shadow-md mt-6"
+
+
+@pytest.mark.parametrize("names", [f'class="{UTILITY}" id="comments"', f'id="comments" class="{UTILITY}"',
+                                   f'class="{UTILITY} {UTILITY} sm:{UTILITY} comments"'])
+def test_names_after_many_utility_classes_count(names):
+    words = H.names_in(names)
+    assert "comments" in words and len(words) == len(set(words))
+    page = ("<body><article><h1>Title</h1><p>Some story text that goes on for a while, with a second clause.</p>"
+            "<p>It ends here.</p></article><div {}><p>I liked this one a lot.</p><p>So did I, thank you.</p></div></body>")
+    assert text_of(page.format(names)) == text_of(page.format('class="comments"'))
+    assert "liked" not in text_of(page.format(names))
+
+
 def test_extraction_rows(spark):
     rows = [(1, "u", "<article><p>One &amp; two.</p></article>", "x"), (None, None, None, "x"), (2, "v", "", "x"),
             (2, "v", "", "x"), (3, "w", "<article><p>" + "long text. " * 20_000 + "</p></article>", "x")]
