@@ -9,7 +9,13 @@ Schedule: slot i takes the golden-ratio point ``frac(i * A / 2**31)`` through
 the cumulative target shares to its source. Slots are ranked within their
 source, and rank r reads block ``r mod blocks`` of the source's stream: its
 documents in md5 order of (id, seed), cut into blocks of ``block_words`` words.
-A block is read at most ``max_repeats`` times, so no document is.
+A block is read at most ``max_repeats`` times, so no document is. The slots
+round a source's share to whole blocks, a few blocks either way: much for a
+source of few words, which may get nothing.
+
+Quotas (``exact=True``): each source gets its target to the nearest word, by
+reading its stream in the same order, ``quota // source_size`` times in full
+and then up to word ``quota % source_size``. No slots are laid out.
 
 Scale: one row per slot, per block piece and per source. Ranks and stream
 offsets are two-level prefix sums (counts per chunk, running sums over chunks,
@@ -112,17 +118,33 @@ def streams(docs: DataFrame, seed: str) -> DataFrame:
             .withColumn("offset", F.col("begin") + F.col("inside")))
 
 
+def read_quotas(rows: DataFrame) -> DataFrame:
+    """Words taken of each document when its source's stream is read for the target's nearest whole words."""
+    quota, full = F.floor(F.col("target") + 0.5).cast("long"), F.expr("quota div source_size")
+    rest = F.col("quota") % F.col("source_size")
+    part = F.greatest(F.least(rest - F.col("offset"), F.col("size")), F.lit(0))
+    taken = F.when(F.col("size") > 0, full * F.col("size") + part).otherwise(0).cast("long")
+    return rows.withColumn("quota", quota).select(
+        "doc_id", "source", "size", "source_size", "target", taken.alias("taken"))
+
+
 def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5,
-                max_repeats: int = 2, block_words: int = 64, seed: str = "mix") -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, taken."""
+                max_repeats: int = 2, block_words: int = 64, seed: str = "mix", exact: bool = False) -> DataFrame:
+    """One row per document: doc_id, source, size, source_size, target, taken.
+
+    ``exact`` takes each source's target to the word instead of in blocks.
+    """
     sized = save_table(docs.select(
         "doc_id", F.col("source").cast("string").alias("source"),
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")), "mix-sizes")
     targets = save_table(source_targets(sized, weights, share, max_repeats), "mix-targets")
-    goal = share * float(sized.agg(F.sum("size")).first()[0] or 0)
-    rows = save_table(streams(
+    placed = streams(
         sized.join(targets.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of"))).drop("of"),
-        seed).select("doc_id", "source", "src", "size", "source_size", "target", "offset"), "mix-streams")
+        seed).select("doc_id", "source", "src", "size", "source_size", "target", "offset")
+    if exact:
+        return read_quotas(placed)
+    rows = save_table(placed, "mix-streams")
+    goal = share * float(sized.agg(F.sum("size")).first()[0] or 0)
 
     blocks = F.ceil(F.col("source_size") / block_words)
     reads = (schedule(targets, goal, block_words).join(targets.select("src", "source_size"), "src")

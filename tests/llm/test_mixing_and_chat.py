@@ -5,6 +5,7 @@ import re
 
 import pytest
 
+import corpus_pipeline
 from loanlens.llm.chat_preference import ChatTemplate, format_preferences, neighbour_pairs, preference_report
 from loanlens.llm.mixing import mix_sources, source_targets
 
@@ -74,6 +75,45 @@ def test_mix_edge_cases(spark):
     assert [(r.size, r.source_size, r.target) for r in one] == [(3, 3, 4.5)] and one[0].taken in (4, 5)
 
 
+def check_exact(out, max_repeats=2):
+    by = {}
+    for r in out:
+        assert 0 <= r.taken <= max_repeats * r.size
+        by.setdefault(r.source, []).append(r)
+    for source, group in by.items():
+        assert abs(sum(r.taken for r in group) - group[0].target) <= 0.5, source
+        full = int(group[0].target + 0.5) // max(1, group[0].source_size)
+        assert all(r.taken >= full * r.size for r in group)
+        assert sum(full * r.size < r.taken < (full + 1) * r.size for r in group) <= 1  # one document is cut
+    return by
+
+
+@pytest.mark.parametrize("low, high", [(20, 500), (5, 60), (1, 3)])
+def test_small_sources_beside_a_hot_one_meet_their_targets(spark, low, high):
+    r = random.Random(high)
+    rows = [(k, "w " * 1000, "hot") for k in range(1000)]
+    rows += [(2000 + k, " ".join(["w"] * r.randint(low, high)), f"s{k % 300:03d}") for k in range(600)]
+    by = check_exact(mixed(spark, rows, exact=True))
+    assert len(by) == 301 and all(sum(x.taken for x in g) > 0 for g in by.values())
+
+
+def test_exact_mix_of_odd_rows(spark, rows):
+    out = mixed(spark, rows, exact=True)
+    assert len(out) == len(rows)
+    check_exact(out)
+    assert sorted(mixed(spark, rows[::-1], exact=True), key=str) == sorted(out, key=str)
+    check_exact(mixed(spark, rows, exact=True, share=4.2, max_repeats=5), 5)
+    assert mixed(spark, [], exact=True) == []
+    assert [(r.size, r.target, r.taken) for r in mixed(spark, [(1, None, None), (2, "", "a")], exact=True)] == [(0, 0.0, 0)] * 2
+
+
+def test_the_pipeline_mixes_to_the_word(spark):
+    rows = [(k, "w " * 1000, "hot") for k in range(40)] + [(100 + k, "a b c", f"s{k}") for k in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    by = check_exact(corpus_pipeline.mix(spark, docs, "").collect())
+    assert len(by) == 21
+
+
 def plain_preference(chosen, rejected, t=ChatTemplate()):
     n = 0
     while n < min(len(chosen), len(rejected)) and chosen[n] == rejected[n]:
