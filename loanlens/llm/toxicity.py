@@ -162,11 +162,15 @@ def _feature_pass(cfg: ChainSettings):
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, cfg: ChainSettings) -> DataFrame:
-    """At most ``max_rows`` labelled texts: doc_id, features, toxic."""
+    """At most ``max_rows`` labelled texts: doc_id, features, toxic.
+
+    An id whose rows differ counts once, with its last text in byte order.
+    """
     picked = (labels.where("doc_id is not null and toxic is not null").groupBy("doc_id")
               .agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(cfg.max_rows))
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(
         F.broadcast(picked), "doc_id")  # at most max_rows ids
+    rows = rows.groupBy("doc_id").agg(F.max("text").alias("text"), F.max("toxic").alias("toxic"))
     return rows.select("doc_id", "text", "toxic").mapInArrow(
         _feature_pass(cfg), "doc_id long, features array<int>, toxic int")
 

@@ -136,6 +136,17 @@ def test_toxicity_edge_cases(spark):
     assert X.toxicity(docs.limit(0), odd).collect() == []
 
 
+def test_repeated_ids_count_once_in_training(spark):
+    docs = spark.createDataFrame([(1, "same text")] * 50 + [(1, "a text"), (2, "other"), (3, None), (3, None)],
+                                 "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, toxic int")
+    got = {r.doc_id: r for r in X.training_rows(docs, labels, X.ChainSettings()).collect()}
+    assert X.training_rows(docs, labels, X.ChainSettings(max_rows=2)).count() == 2
+    assert sorted(got) == [1, 2, 3] and got[1].toxic == 1 and got[3].features == []
+    one = spark.createDataFrame([(1, "same text")], "doc_id long, text string")
+    assert got[1].features == X.training_rows(one, labels, X.ChainSettings()).first().features
+
+
 def test_later_links_use_earlier_ones_out_of_fold():
     r = np.random.default_rng(1)
     y = (r.random(600) < 0.4).astype(float)
