@@ -98,6 +98,12 @@ def plan_bands(largest: int, t: int, chance: float = 0.05, population: float = 1
     return bands
 
 
+def bands_back(bands: list[Band]) -> int:
+    """Most bands between a set's own band and a lower one whose reach covers it."""
+    lows = [b.low for b in bands]
+    return max((int(np.searchsorted(lows, b.reach, "right")) - 1 - k for k, b in enumerate(bands)), default=0)
+
+
 def shingle_sets(data: np.ndarray, offs: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(token hash, document number, set size): distinct shingles, sorted within documents."""
     start, end, doc = word_spans(data, offs)
@@ -159,7 +165,7 @@ def signatures(h: np.ndarray, d: np.ndarray, size: np.ndarray, bands: list[Band]
     value = mix(h ^ np.uint64(0xA5A5A5A55A5A5A5A))
     high32 = h >> np.uint64(32)
     out_s, out_d = [], []
-    for back in range(0, 4):
+    for back in range(bands_back(bands) + 1):
         inst = own - back
         ok = (inst >= 0) & (size > 0)
         reach = np.array([b.reach for b in bands])[np.maximum(inst, 0)]

@@ -179,3 +179,11 @@ def test_merged_runs_join_where_they_touch():
     place = repeats._place(np.array([0, 100, 250]), 0, np.array([0, 5, 0]))
     assert repeats.merged_runs(place, 1000) == [(0, 205), (250, 350)]
     assert repeats.merged_runs(place, 300) == [(0, 205), (250, 300)]
+
+
+def test_links_across_many_size_bands(spark):
+    """Linked sets of 2 and 10 words lie four bands apart at threshold 20."""
+    docs = spark.createDataFrame([(1, "a b"), (2, "a b c d e f g h i j"), (3, "x y")], "doc_id long, text string")
+    got = {r.doc_id: r for r in similarity_classes(docs, words=1, threshold=20).collect()}
+    assert got[2].component_id == 1 and got[1].n_links == got[2].n_links == 1 and got[3].component_id == 3
+    assert jaccard_join.bands_back(jaccard_join.plan_bands(100_000, 20)) == 4
