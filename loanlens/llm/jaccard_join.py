@@ -30,7 +30,8 @@ memory is bounded by two blocks; each task returns a spanning forest and link
 counts, never all pairs.
 
 Edge cases: null or empty text (or only white space) is an empty set, linked
-with nothing, its own component; a null id keeps a null component; repeated
+with nothing, its own component; a null id is not linked: its component is
+null, or that of the rows with an id whose set equals its own; repeated
 rows are copies; an empty table gives an empty result; other columns of the
 input are ignored.
 """
