@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .centroids import cluster_report
 from .chat_preference import neighbour_pairs, preference_report
 from .common import ship_package
 from .decontam import contamination
@@ -68,9 +69,14 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(_table(spark, sf_dir, "documents"))
 
 
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_report(_table(spark, sf_dir, "embeddings"), k=16, rounds=3, dim=64, scale=64, seed=1)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_html_extraction, op2_chat_preferences, op3_jaccard_join, op4_source_mixing, op5_toxicity,
-    op6_token_counts, op7_exact_dedup, op8_decontamination, op9_suffix_dedup, op10_secret_scan)}
+    op6_token_counts, op7_exact_dedup, op8_decontamination, op9_suffix_dedup, op10_secret_scan,
+    op13_centroid_clustering)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -133,6 +139,35 @@ contamination AS (SELECT dw.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit,
   FROM dw LEFT JOIN hit_words USING (doc_id) LEFT JOIN item_list USING (doc_id) LEFT JOIN near_only USING (doc_id))"""
 
 
+def clusters_sql(rounds: int = 3, k: int = 16, dim: int = 64) -> str:
+    """Rounds of exhaustive nearest-centroid assignment, written out one after the other."""
+    def assigned(r: int) -> str:
+        return f"""
+a{r} AS MATERIALIZED (SELECT row, vec_id, v, min([d, num]) AS best FROM (
+    SELECT row, vec_id, v, num, list_sum(list_transform(range(1, {dim + 1}), lambda i: (v[i] - c[i]) * (v[i] - c[i])))::BIGINT AS d
+    FROM kept, c{r}) GROUP BY row, vec_id, v)"""
+
+    def moved(r: int) -> str:
+        return f"""
+s{r} AS (SELECT num, pos, sum(x)::BIGINT AS s, count(*) AS n FROM (
+    SELECT best[2] AS num, unnest(v) AS x, generate_subscripts(v, 1) AS pos FROM a{r})
+  GROUP BY num, pos),
+c{r + 1} AS MATERIALIZED (SELECT c.num, coalesce(m.c, c.c) AS c FROM c{r} c LEFT JOIN (
+    SELECT num, list((s - ((s % n) + n) % n) // n ORDER BY pos) AS c FROM s{r} GROUP BY num) m USING (num))"""
+
+    steps = ",".join(assigned(r) + "," + moved(r) for r in range(rounds))
+    return f"""
+WITH kept AS MATERIALIZED (SELECT row_number() OVER () AS row, vec_id,
+    list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE len(embedding) = {dim} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {dim}),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('1:' || coalesce(vec_id::VARCHAR, '')), v) - 1 AS num, v AS c
+  FROM kept QUALIFY num < {k}),{steps},{assigned(rounds)},
+f AS (SELECT vec_id, best[2]::INTEGER AS cluster, best[1]::BIGINT AS distance FROM a{rounds})
+SELECT vec_id, cluster, distance, sum(distance) OVER (PARTITION BY cluster)::BIGINT AS cluster_inertia,
+  sum(distance) OVER ()::BIGINT AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM f JOIN c{rounds} ON cluster = num"""
+
+
 ORACLE_SQL = {
     "op2_chat_preferences": """
 WITH t AS (SELECT conv_id // 2 AS pair_id, conv_id % 2 AS side, conv_id, role, text, row_number() OVER (
@@ -195,6 +230,7 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 FROM t WINDOW g AS (PARTITION BY text_sha256)""",
     "op8_decontamination": f"""
 WITH {contamination_sql('documents')} SELECT * FROM contamination""",
+    "op13_centroid_clustering": clusters_sql(),
     "op9_suffix_dedup": """
 WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS hx, strlen(coalesce(text, '')) AS n FROM documents),
 w AS (SELECT doc_id, i, substr(hx, 2 * i + 1, 200) AS s
