@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +16,7 @@ from .jaccard_join import similarity_classes
 from .mixing import mix_sources
 from .repeats import cut_repeats
 from .secrets import secret_report
+from .token_files import token_report
 from .toxicity import toxicity
 from .wordpiece import PieceAutomaton, read_vocabulary, token_counts
 
@@ -69,6 +71,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(_table(spark, sf_dir, "documents"))
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    return token_report(_table(spark, sf_dir, "documents"), tokenizer or public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+
+
 def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster_report(_table(spark, sf_dir, "embeddings"), k=16, rounds=3, dim=64, scale=64, seed=1)
 
@@ -76,7 +82,7 @@ def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_html_extraction, op2_chat_preferences, op3_jaccard_join, op4_source_mixing, op5_toxicity,
     op6_token_counts, op7_exact_dedup, op8_decontamination, op9_suffix_dedup, op10_secret_scan,
-    op13_centroid_clustering)}
+    op11_token_files, op13_centroid_clustering)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
