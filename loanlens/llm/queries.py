@@ -16,6 +16,7 @@ from .jaccard_join import similarity_classes
 from .mixing import mix_sources
 from .repeats import cut_repeats
 from .secrets import secret_report
+from .spelling import spelling_variants
 from .token_files import token_report
 from .toxicity import toxicity
 from .wordpiece import PieceAutomaton, read_vocabulary, token_counts
@@ -75,6 +76,10 @@ def op11_token_files(spark: SparkSession, sf_dir: str, tokenizer: str | None = N
     return token_report(_table(spark, sf_dir, "documents"), tokenizer or public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(_table(spark, sf_dir, "documents"), min_length=6, min_count=5, ratio=5, damage_every=199)
+
+
 def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster_report(_table(spark, sf_dir, "embeddings"), k=16, rounds=3, dim=64, scale=64, seed=1)
 
@@ -82,7 +87,7 @@ def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_html_extraction, op2_chat_preferences, op3_jaccard_join, op4_source_mixing, op5_toxicity,
     op6_token_counts, op7_exact_dedup, op8_decontamination, op9_suffix_dedup, op10_secret_scan,
-    op11_token_files, op13_centroid_clustering)}
+    op11_token_files, op12_spelling_variants, op13_centroid_clustering)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
