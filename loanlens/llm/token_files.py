@@ -20,7 +20,7 @@ task replaces it by the same bytes. Folders of other stores than local disks
 go through ``pyarrow.fs`` and are read by ranges.
 
 Encoding: the text pieces between safe cuts (a space before a visible
-character) are encoded once per task by the tokenizers library and laid out by
+character, a mark after a letter) are encoded once per task by the tokenizers library and laid out by
 index after that; where a tokenizer's own settings don't make such cuts safe,
 whole texts are encoded. The result is that of encoding the whole text.
 
@@ -41,6 +41,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -57,23 +58,23 @@ from .common import ship_package, text_chunks
 SHARD_BYTES = 128 << 20
 #: Documents per reading step.
 READ_DOCS = 4_096
-#: Text bytes per encoding step, new pieces joined for one call, and ids kept for pieces met before.
+#: Text bytes per encoding step, and ids kept for pieces met before.
 _STEP_BYTES = 4 << 20
-_JOIN = 1_000
 _CACHE_IDS = 3 << 20
-
 # Bytes after which a space may not be cut off: white space and control bytes,
 # and the lead bytes of all Unicode white space above them.
 _AFTER_SPACE = np.ones(256, dtype=bool)
 _AFTER_SPACE[:0x21] = False
 _AFTER_SPACE[[0x7F, 0xC2, 0xE1, 0xE2, 0xE3]] = False
-_VISIBLE = frozenset(np.flatnonzero(_AFTER_SPACE).tolist())
+# Marks that begin a piece of their own after an ASCII letter or digit.
+_MARKS = b",.;:!?)"
+_LETTERS = np.array([chr(b).isalnum() and b < 128 for b in range(256)])
 
 
 # ------------------------------------------------------------------ encoding
 
 def cuts_are_safe(spec: dict) -> bool:
-    """Whether a space before a visible character always begins a new piece of this tokenizer."""
+    """Whether a space before a visible character, and a mark after a letter, always begin a new piece of this tokenizer."""
     pre = spec.get("pre_tokenizer") or {}
     plain = all(not any(map(str.isspace, t["content"])) and not (t["lstrip"] or t["rstrip"] or t["single_word"])
                 for t in spec.get("added_tokens", ()))
@@ -82,7 +83,11 @@ def cuts_are_safe(spec: dict) -> bool:
 
 
 class Encoder:
-    """Token ids of text columns through the tokenizers library, each distinct piece once."""
+    """Token ids of text columns through the tokenizers library, each distinct piece once.
+
+    Pieces met before are looked up; when there are too many, those met in one
+    step only are forgotten.
+    """
 
     def __init__(self, spec: str):
         from tokenizers import Tokenizer
@@ -91,55 +96,56 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(spec)
         parsed = json.loads(spec)
         self.safe = cuts_are_safe(parsed)
-        self._widths = _token_bytes(self.tokenizer, parsed) if self.safe else None
-        self._forget()
-
-    def _forget(self) -> None:
+        special = "".join(t["content"] for t in parsed.get("added_tokens", ()))
+        self.marks = np.zeros(256, bool)
+        self.marks[[b for b in _MARKS if chr(b) not in special]] = True
         self.known: dict[bytes, int] = {}
-        self.ids, self.place, self.size = np.zeros(1 << 16, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.used = 0
+        self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
+        self.place, self.size, self.met = (np.zeros(0, np.int64) for _ in range(3))
 
-    def _encode(self, pieces: list[bytes]) -> list[np.ndarray]:
+    def _learn(self, pieces: list[bytes]) -> None:
         texts = [p.decode("utf-8", "replace") for p in pieces]
-        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def _encode_joined(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, ids per piece): pieces that begin with a cut give the same ids when joined; token widths part them."""
-        joined = [b"".join(pieces[i: i + _JOIN]) for i in range(0, len(pieces), _JOIN)]
-        ids = np.concatenate(self._encode(joined) or [np.zeros(0, np.uint32)])
-        ends = np.cumsum([len(p) for p in pieces])
-        upto = np.searchsorted(np.cumsum(self._widths[ids]), ends, "left") + 1
-        return ids, np.diff(upto, prepend=0)
+        lists = [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        size = np.fromiter(map(len, lists), np.int64, len(lists))
+        self._keep(pieces, np.fromiter(chain.from_iterable(lists), np.uint32, int(size.sum())), size)
 
-    def _learn(self, pieces: list[bytes]) -> None:
-        """Encode new pieces and keep their ids."""
-        # what begins with a cut and is valid text can be joined
-        joint = [p for p in pieces if len(p) > 1 and p[0] == 0x20 and p[1] in _VISIBLE and (p.isascii() or _valid(p))
-                 ] if self.safe else []
-        chosen = set(joint)
-        single = [p for p in pieces if p not in chosen]
-        ids, size = self._encode_joined(joint)
-        alone = self._encode(single)
-        ids = np.concatenate([ids, *alone])
-        size = np.concatenate([size, np.array([len(a) for a in alone], np.int64)])
-        while self.used + len(ids) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+    def _keep(self, pieces: list[bytes], ids: np.ndarray, size: np.ndarray) -> None:
+        if self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids[: self.used], np.zeros(self.used + 2 * len(ids), np.uint32)])
         self.ids[self.used: self.used + len(ids)] = ids
         self.place = np.concatenate([self.place, self.used + np.cumsum(size) - size])
         self.size = np.concatenate([self.size, size])
-        self.known.update(zip(joint + single, range(len(self.known), len(self.known) + len(pieces))))
+        self.met = np.concatenate([self.met, np.zeros(len(size), np.int64)])
+        self.known.update(zip(pieces, range(len(self.known), len(self.known) + len(pieces))))
         self.used += len(ids)
 
+    def _forget(self) -> None:
+        stay = np.flatnonzero(self.met > 1)
+        if self.size[stay].sum() > _CACHE_IDS // 2:
+            stay = stay[:0]
+        size, place, ids = self.size[stay], self.place[stay], self.ids
+        flat = ids[np.arange(size.sum()) + np.repeat(place - (np.cumsum(size) - size), size)]
+        pieces = list(self.known)
+        pieces = [pieces[i] for i in stay]
+        self.known, self.ids, self.used = {}, np.zeros(len(flat) + (1 << 16), np.uint32), 0
+        self.place, self.size, self.met = (np.zeros(0, np.int64) for _ in range(3))
+        self._keep(pieces, flat, size)
+
+    def _starts(self, data: np.ndarray, offs: np.ndarray) -> np.ndarray:
+        """First byte of every piece: at documents, at spaces before a visible character, at marks after a letter or digit."""
+        begin = np.zeros(len(data), bool)
+        filled = offs[:-1] < offs[1:]
+        if self.safe:
+            begin[:-1] = (data[:-1] == 0x20) & _AFTER_SPACE[data[1:]]
+            begin[offs[1:][filled] - 1] = False
+            begin[1:] |= self.marks[data[1:]] & _LETTERS[data[:-1]]
+        begin[offs[:-1][filled]] = True
+        return np.flatnonzero(begin)
+
     def chunks(self, column: pa.Array, end_id: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(first row, ids with an end id after each document, ids per document) of pieces of a text column."""
         for first, last, data, offs in text_chunks(column, _STEP_BYTES):
-            filled = offs[:-1] < offs[1:]
-            begin = np.zeros(len(data) + 1, bool)
-            if self.safe and len(data):
-                begin[:-2] = (data[:-1] == 0x20) & _AFTER_SPACE[data[1:]]
-                begin[offs[1:][filled] - 1] = False
-            begin[offs[:-1][filled]] = True
-            starts = np.flatnonzero(begin[:-1]) if len(data) else np.zeros(0, np.int64)
+            starts = self._starts(data, offs) if len(data) else np.zeros(0, np.int64)
             bounds = np.append(starts, len(data)).astype(np.int32)
             pieces = pa.Array.from_buffers(pa.binary(), len(starts), [
                 None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(data))]).dictionary_encode()
@@ -149,8 +155,9 @@ class Encoder:
             new = [p for p in distinct if p not in self.known]
             if new:
                 self._learn(new)
-            which = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))[
-                pieces.indices.to_numpy(zero_copy_only=False)]
+            number = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
+            self.met[number] += 1
+            which = number[pieces.indices.to_numpy(zero_copy_only=False)]
             n, place = self.size[which], self.place[which]
             doc = np.searchsorted(offs, starts, "right") - 1
             counts = np.bincount(doc, weights=n, minlength=last - first).astype(np.int64)
@@ -160,25 +167,6 @@ class Encoder:
             yield first, ids, counts + 1
 
 
-def _valid(piece: bytes) -> bool:
-    try:
-        piece.decode()
-    except UnicodeDecodeError:
-        return False
-    return True
-
-
-def _token_bytes(tokenizer, spec: dict) -> np.ndarray:
-    """Bytes of text that each id of a byte-level vocabulary stands for (one letter of the vocabulary is one byte)."""
-    vocabulary = tokenizer.get_vocab(with_added_tokens=True)
-    width = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
-    for token, i in vocabulary.items():
-        width[i] = len(token)
-    for added in spec.get("added_tokens", ()):
-        width[added["id"]] = len(added["content"].encode())
-    return width
-
-
 @lru_cache(maxsize=1)
 def _encoder(spec: str) -> Encoder:
     return Encoder(spec)
