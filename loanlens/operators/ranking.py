@@ -1,18 +1,22 @@
-"""Rank-sum ROC AUC per group (M12), fully distributed.
+"""Running counts over range partitions, and what follows from them: exact
+quantiles, ordinals, and the rank-sum ROC AUC per group (M12).
 
 AUC = sum over positives of (#negatives scored lower + half the tied
 negatives) / (P * N): the Mann-Whitney U with mean ranks on ties, equal to
 the trapezoid ROC area.
 
 Plan:
-1. (group, score) -> (pos, neg) with a map-side combined aggregate, so a
-   score shared by a third of the rows is one row after the first stage.
-2. The "negatives below" running count is a two-level prefix sum: distinct
-   scores are cut into ``buckets`` ranges by approximate quantiles (a
-   fixed-size sketch per group); bucket totals get a running sum over at most
-   ``buckets`` rows per group; rows are then summed inside (group, bucket)
-   only. No window ever holds a whole group.
-3. One grouped aggregate of pos * (below + neg / 2).
+1. (group, value) -> counts with a map-side combined aggregate, so a value
+   shared by a third of the rows is one row after the first stage.
+2. Spark's range partitioner deals the distinct (group, value) rows to
+   partitions in order; the dealt rows are stored with their partition's number
+   (a second sampling could draw other ranges). Totals per (group, partition)
+   get a running sum over the partitions, and rows are summed inside their
+   partition only. A window holds one partition's rows of a group, or one row
+   per partition; neither grows with the group, as Spark sets the number of
+   partitions by the data.
+3. One grouped aggregate over the rows (AUC), or a lookup of the wanted ranks
+   in the partitions that hold them (quantiles).
 
 All sums are of integers and half-integers, so the result is exact.
 """
@@ -24,43 +28,38 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from loanlens.session import checkpoint_dir
 
-def _bounds_below(bounds: str, value, n: int):
-    """How many entries of a sorted array column lie below ``value``: binary search, log2(n) steps."""
-    steps = [1 << k for k in range((n - 1).bit_length() - 1, -1, -1)]
-    return F.aggregate(
-        F.array(*[F.lit(s) for s in steps]), F.lit(0),
-        lambda found, step: found + F.when(
-            F.coalesce(F.get(F.col(bounds), found + step - 1) < value, F.lit(False)), step).otherwise(0))
 
+def _ranged(counts: DataFrame, group_cols: Sequence[str], order_col: str, weight_col: str) -> tuple[DataFrame, DataFrame]:
+    """(rows with the number _part of their range, totals (group, _part, _off, _sum)) in (group, value) order."""
+    g = list(group_cols)
+    checkpoint_dir(counts.sparkSession)
+    rows = (counts.repartitionByRange(*g, order_col).withColumn("_part", F.spark_partition_id())
+            .checkpoint(eager=True))
+    totals = rows.groupBy(*g, "_part").agg(F.sum(weight_col).alias("_sum"))
+    before = Window.partitionBy(*g).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    return rows, totals.withColumn("_off", F.coalesce(F.sum("_sum").over(before), F.lit(0)))
 
-def running_count(counts: DataFrame, group_cols: Sequence[str], order_col: str,
-                  weight_col: str, buckets: int = 256, accuracy: int = 10_000) -> DataFrame:
-    """``counts`` plus ``_before`` = total weight of rows of the same group with a
-    strictly smaller ``order_col`` (rows must be distinct per group and value).
 
-    Two-level prefix sum: approximate quantiles (a fixed-size sketch per
-    group) cut the values into ``buckets`` ranges; bucket totals get a running
-    sum over at most ``buckets`` rows per group, and rows are summed only
-    inside their (group, bucket). Bounds and offsets hold ``buckets`` values
-    per group; Spark decides by their size how to join them.
-    """
+def _summed(rows: DataFrame, totals: DataFrame, group_cols: Sequence[str], order_col: str, weight_col: str) -> DataFrame:
     g = list(group_cols)
-    probs = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    bounds = counts.groupBy(*g).agg(
-        F.percentile_approx(order_col, probs, accuracy).alias("_bounds"))
-    v = F.col(order_col)
-    pb = counts.join(bounds, g)
-    pb = pb.withColumn("_bk", _bounds_below("_bounds", v, buckets)).drop("_bounds")
-    per_bucket = pb.groupBy(*g, "_bk").agg(F.sum(weight_col).alias("_bw"))
-    wb = Window.partitionBy(*g).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
-    per_bucket = per_bucket.select(*g, "_bk",
-                                   F.coalesce(F.sum("_bw").over(wb), F.lit(0)).alias("_off"))
-    pb = pb.join(per_bucket, g + ["_bk"])
-    wi = Window.partitionBy(*g, "_bk").orderBy(order_col).rowsBetween(
-        Window.unboundedPreceding, -1)
-    return pb.withColumn("_before", F.col("_off") + F.coalesce(F.sum(weight_col).over(wi), F.lit(0))
-                         ).drop("_off", "_bk")
+    inside = Window.partitionBy(*g, "_part").orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
+    return (rows.join(totals.drop("_sum"), g + ["_part"]).withColumn(
+        "_before", F.col("_off") + F.coalesce(F.sum(weight_col).over(inside), F.lit(0))).drop("_off", "_part"))
+
+
+def running_count(counts: DataFrame, group_cols: Sequence[str], order_col: str, weight_col: str) -> DataFrame:
+    """``counts`` plus ``_before`` = total weight of rows of the same group with a
+    strictly smaller ``order_col`` (rows must be distinct per group and value)."""
+    rows, totals = _ranged(counts, group_cols, order_col, weight_col)
+    return _summed(rows, totals, group_cols, order_col, weight_col)
+
+
+def ordinals(values: DataFrame, group_cols: Sequence[str], order_col: str, name: str) -> DataFrame:
+    """Distinct (group, value) rows plus their place in the group's order, from 0."""
+    return running_count(values.withColumn("_one", F.lit(1)), group_cols, order_col, "_one").drop("_one").withColumn(
+        name, F.col("_before").cast("int")).drop("_before")
 
 
 def exact_quantiles(counts: DataFrame, group_cols: Sequence[str], value_col: str,
@@ -69,22 +68,25 @@ def exact_quantiles(counts: DataFrame, group_cols: Sequence[str], value_col: str
 
     ``counts`` holds one row per (group, value) with its multiplicity. The
     value at 0-based rank r is the one whose [before, before + count) range
-    holds r; for p the ranks floor(h) and ceil(h), h = (n - 1) p, are found
-    with a range filter, so no task ever holds a whole group.
+    holds r; for p the ranks floor(h) and ceil(h), h = (n - 1) p, are first
+    placed in the range partition that holds them, and only rows of those
+    partitions are summed up and compared.
     Result: (group..., p, q).
     """
     g = list(group_cols)
-    ranked = running_count(counts, g, value_col, count_col)
-    totals = counts.groupBy(*g).agg(F.sum(count_col).alias("_n"))
-    targets = totals.select(*g, F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"),
-                            "_n").withColumn("_h", (F.col("_n") - 1) * F.col("p"))
-    targets = targets.withColumn("_lo", F.floor("_h")).withColumn("_hi", F.ceil("_h"))
-    hit = ranked.join(targets, g)
-    inside = lambda r: (F.col("_before") <= F.col(r)) & (F.col(r) < F.col("_before") + F.col(count_col))
-    picked = hit.where(inside("_lo") | inside("_hi")).groupBy(*g, "p", "_h", "_lo").agg(
-        F.max(F.when(inside("_lo"), F.col(value_col))).alias("_vlo"),
-        F.max(F.when(inside("_hi"), F.col(value_col))).alias("_vhi"))
-    frac = F.col("_h") - F.col("_lo")
+    rows, totals = _ranged(counts, g, value_col, count_col)
+    wanted = totals.groupBy(*g).agg(F.sum("_sum").alias("_n")).select(
+        *g, F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"), "_n")
+    wanted = wanted.withColumn("_h", (F.col("_n") - 1) * F.col("p")).withColumn("_r", F.explode(F.array_distinct(
+        F.array(F.floor("_h"), F.ceil("_h")))))
+    placed = wanted.join(totals, g).where("_off <= _r and _r < _off + _sum").select(*g, "p", "_h", "_r", "_part")
+    needed = rows.join(placed.select(*g, "_part").distinct(), g + ["_part"], "left_semi")
+    ranked = _summed(needed, totals, g, value_col, count_col)
+    here = (F.col("_before") <= F.col("_r")) & (F.col("_r") < F.col("_before") + F.col(count_col))
+    at = lambda rank: F.max(F.when(F.col("_r") == rank("_h"), F.col(value_col)))
+    picked = ranked.join(placed.drop("_part"), g).where(here).groupBy(*g, "p", "_h").agg(
+        at(F.floor).alias("_vlo"), at(F.ceil).alias("_vhi"))
+    frac = F.col("_h") - F.floor("_h")
     return picked.select(*g, "p", (F.col("_vlo") + frac * (F.col("_vhi") - F.col("_vlo"))).alias("q"))
 
 
@@ -96,19 +98,17 @@ def score_counts(df: DataFrame, group_cols: Sequence[str], score_col: str,
         F.count_if(y == 1).alias("_pos"), F.count_if(y == 0).alias("_neg"))
 
 
-def rank_auc(df: DataFrame, group_cols: Sequence[str], score_col: str, label_col: str,
-             buckets: int = 256, accuracy: int = 10_000) -> DataFrame:
+def rank_auc(df: DataFrame, group_cols: Sequence[str], score_col: str, label_col: str) -> DataFrame:
     """(group..., n, n_pos, n_neg, auc); auc is null when a class is absent.
 
     Callers group by a handful of keys (levels, model x fold).
     """
     if not group_cols:
-        out = rank_auc(df.withColumn("_all", F.lit(1)), ["_all"], score_col, label_col,
-                       buckets, accuracy)
+        out = rank_auc(df.withColumn("_all", F.lit(1)), ["_all"], score_col, label_col)
         return out.drop("_all")
     g = list(group_cols)
     pts = score_counts(df, g, score_col, label_col)
-    pb = running_count(pts, g, score_col, "_neg", buckets, accuracy)
+    pb = running_count(pts, g, score_col, "_neg")
     below = F.col("_before")
     pb = pb.withColumn("_u", F.col("_pos").cast("double") * (below + F.col("_neg") * 0.5))
     out = pb.groupBy(*g).agg(

@@ -2,12 +2,38 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
 
 _LOCAL_FOLDERS: list[tempfile.TemporaryDirectory] = []
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give this package's modules to the executors' Python workers, once per application.
+
+    They need not have the driver's working folder or path.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    # the session reads the file again for new executors; held until the process ends, then removed
+    folder = tempfile.TemporaryDirectory(prefix="loanlens-py-", ignore_cleanup_errors=True)
+    _LOCAL_FOLDERS.append(folder)
+    path = os.path.join(folder.name, "loanlens.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for at, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(at, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
 
 
 def build_session(master: str | None = None, shuffle_partitions: int = 8,

@@ -5,10 +5,11 @@ directory per output; nothing is gathered on the driver.
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loanlens.operators.training import RiskModel
+
 # Column headers of the segment report file (fixed values).
 REPORT_HEADERS = (("segment", "Segment"), ("value", "Value"), ("n", "n"),
                   ("defaults", "Defaults"), ("default_rate_text", "Default Rate"))
@@ -35,6 +36,6 @@ def write_table(df: DataFrame, path: str, fmt: str = "json") -> None:
     df.write.mode("overwrite").format(fmt).save(path)
 
 
-def write_model(model: PipelineModel, path: str) -> None:
-    """The refitted best pipeline (prep stages + classifier)."""
-    model.write().overwrite().save(path)
+def write_model(model: RiskModel, path: str) -> None:
+    """The refitted best model (preparation, classifier, categories) as tables below one folder."""
+    model.save(path)

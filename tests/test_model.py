@@ -27,7 +27,7 @@ def test_rank_auc_matches_brute_force_with_ties(spark):
     rows = [(g, float(rng.randint(0, 30)), int(rng.random() < 0.3)) for g in ("a", "b")
             for _ in range(400)]
     df = spark.createDataFrame(rows, "g string, s double, y int")
-    got = {r.g: r.auc for r in rank_auc(df, ["g"], "s", "y", buckets=8).collect()}
+    got = {r.g: r.auc for r in rank_auc(df, ["g"], "s", "y").collect()}
     for g in ("a", "b"):
         assert got[g] == pytest.approx(brute_auc([(s, y) for gg, s, y in rows if gg == g]), abs=1e-12)
 
@@ -188,10 +188,30 @@ def test_folds_split_exact_copies_and_null_ids(spark, monkeypatch):
 
 
 def test_category_index_is_the_model_vocabulary(spark, report):
-    from loanlens.operators.model import ALL_ROWS, CAT_FEATURES, category_index, vector_slots
+    from loanlens.operators.model import ALL_ROWS, CAT_FEATURES, category_index
     from loanlens.plans.queries import _folded
 
     rows = category_index(_folded(spark, SMALL), list(CAT_FEATURES), 5).where(F.col("train_set") == ALL_ROWS).collect()
-    slots = [s for s in vector_slots(report.fitted, CAT_FEATURES, []) if s[1] is not None]
-    assert slots == [(c, r.value) for c in CAT_FEATURES
-                     for r in sorted((r for r in rows if r.feature == c), key=lambda r: r.idx)]
+    assert {(r.feature, r.value, r.idx) for r in rows} == {tuple(r) for r in report.fitted.categories.collect()}
+    named = {r.feature for r in report.importance.where(F.col("root").isin(*CAT_FEATURES)).collect()}
+    assert named == {f"{r.feature}_{r.value}" for r in rows}
+
+
+def test_ranges_of_any_number_give_the_same_running_count(spark):
+    from loanlens.operators.ranking import ordinals, running_count
+
+    rows = [(g, v, (v * 7) % 5 + 1) for g in ("a", "b") for v in range(300)]
+    df = spark.createDataFrame(rows, "g string, v int, w int")
+    expected = {(g, v): sum(w for h, u, w in rows if h == g and u < v) for g, v, _ in rows}
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in (1, 3, 40):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+            got = {(r.g, r.v): r._before for r in running_count(df, ["g"], "v", "w").collect()}
+            assert got == expected
+            assert {(r.g, r.v, r.idx) for r in ordinals(df.select("g", "v"), ["g"], "v", "idx").collect()} == {
+                (g, v, v) for g, v, _ in rows}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")

@@ -4,9 +4,10 @@ import csv
 import glob
 
 import pytest
-from pyspark.ml import PipelineModel
 
 from loanlens.config import ModelConfig
+from loanlens.operators.model import score
+from loanlens.operators.training import RiskModel
 from loanlens.plans.pipeline import PipelineError, run_pipeline
 from loanlens.sources.fixture import raw_borrowers
 from loanlens.sources.raw import read_clean
@@ -29,8 +30,9 @@ def test_pipeline_writes_every_table(spark, tmp_path):
             rows += list(csv.reader(fh))
     assert rows[0] == ["Segment", "Value", "n", "Defaults", "Default Rate"]
     assert all(r[4].endswith("%") for r in rows[1:] if r[0] != "Segment")
-    model = PipelineModel.load(res.tables["best_model"])
-    assert len(model.stages) >= 6
+    model = RiskModel.load(spark, res.tables["best_model"])
+    clean = read_clean(spark, res.tables["dataset"])
+    assert score(model, clean).where("score between 0 and 1").count() == clean.count()
 
 
 def test_pipeline_names_failing_step(spark, tmp_path):
