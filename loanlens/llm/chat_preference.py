@@ -14,7 +14,7 @@ Edge cases: turns go by turn number, then role and text (nulls last); a null
 role renders as ``unknown`` and a null text as empty; equal nulls are equal
 turns; turns without a conversation id are ignored; repeated turns are turns;
 a pair with one side missing has an empty prompt and an empty other
-completion; empty tables give an empty result; other columns are ignored.
+completion, one without any turn has three empty texts; empty tables give an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -92,7 +92,12 @@ def format_preferences(pairs: DataFrame, conversations: DataFrame,
     done = pieces.groupBy("pair_id").agg(
         F.max("n_common").alias("n_common"), text_of("prompt"), text_of("chosen"), text_of("rejected"),
         loss_of("chosen"), loss_of("rejected"))
-    return pairs.join(done, "pair_id").select("pair_id", "chosen_id", "rejected_id", *done.columns[1:])
+    found = pairs.join(done, "pair_id", "left")
+    empty = F.array().cast(done.schema["chosen_loss"].dataType)
+    return found.select(
+        "pair_id", "chosen_id", "rejected_id", F.coalesce("n_common", F.lit(0)).alias("n_common"),
+        *[F.coalesce(c, F.lit("")).alias(c) for c in ("prompt", "chosen", "rejected")],
+        *[F.coalesce(c, empty).alias(c) for c in ("chosen_loss", "rejected_loss")])
 
 
 def preference_report(pairs: DataFrame, conversations: DataFrame, template: ChatTemplate = ChatTemplate()) -> DataFrame:

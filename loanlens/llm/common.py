@@ -2,21 +2,19 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
+import hashlib
 import uuid
-import zipfile
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-import loanlens
-from loanlens.session import checkpoint_dir
+from loanlens.operators.ranking import ordinals
+from loanlens.session import checkpoint_dir, ship_package  # noqa: F401 - the operators import it from here
 
 #: Bytes of text that one vectorised step of a task handles at a time (a longer
 #: single document is a step of its own).
@@ -30,29 +28,6 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
-_SHIPPED: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Give this package's modules to the executors' Python workers, once per application.
-
-    They need not have the driver's working folder or path.
-    """
-    sc = spark.sparkContext
-    if sc.applicationId in _SHIPPED:
-        return
-    root = os.path.dirname(os.path.abspath(loanlens.__file__))
-    path = os.path.join(tempfile.mkdtemp(prefix="loanlens-py-"), "loanlens.zip")
-    with zipfile.ZipFile(path, "w") as z:
-        for folder, _, names in os.walk(root):
-            for name in names:
-                if name.endswith(".py"):
-                    full = os.path.join(folder, name)
-                    z.write(full, os.path.relpath(full, os.path.dirname(root)))
-    sc.addPyFile(path)
-    _SHIPPED.add(sc.applicationId)
-
-
 def save_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once below the shared checkpoint folder and read it back.
 
@@ -65,6 +40,60 @@ def save_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Groups above this part of all rows are joined by broadcast (there are at most that many).
+HOT_PART = 10_000
+
+
+def attach_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size_col: str, total: int) -> DataFrame:
+    """``rows`` left-joined with the columns of ``groups`` (unique by ``keys``) without a hot key in one task.
+
+    Groups with more than ``total / HOT_PART`` rows are at most HOT_PART and are
+    broadcast; their rows are dealt evenly in the shuffle that joins the rest.
+    """
+    more = [c for c in groups.columns if c not in keys]
+    hot = F.col(size_col) > max(total // HOT_PART, 1)
+    large = groups.where(hot).select(*keys, F.struct(*more).alias("_large"))
+    rest = groups.where(~hot).select(*keys, F.struct(*more).alias("_rest"), F.lit(0).alias("_deal"))
+    met = rows.join(F.broadcast(large), keys, "left").withColumn("_deal", F.when(
+        F.col("_large").isNotNull(), 1 + F.pmod(F.monotonically_increasing_id(), F.lit(1 << 20))).otherwise(0).cast("int"))
+    met = met.join(rest.hint("shuffle_hash"), [*keys, "_deal"], "left")
+    return met.select(*rows.columns, *[F.coalesce(F.col(f"_large.{c}"), F.col(f"_rest.{c}")).alias(c) for c in more])
+
+
+def text_digest() -> Column:
+    return F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)
+
+
+def with_row_ids(docs: DataFrame, name: str = "_row") -> DataFrame:
+    """:func:`number_rows`, the documents only."""
+    return number_rows(docs, name)[0]
+
+
+def number_rows(docs: DataFrame, name: str = "_row") -> tuple[DataFrame, DataFrame | None]:
+    """(``docs`` with row numbers, table (_new, _odd) of the numbers that aren't ids and the ids they stand for, or None).
+
+    ``docs`` gets a number per (doc_id, text): the doc_id where just one row has it, else one above all ids.
+
+    Rows without an id and rows that share one can so be told apart (a text that
+    repeats under its id keeps one number); they are numbered by id, nulls
+    last, then by a digest of their text.
+    """
+    ids = docs.groupBy("doc_id").agg(F.count("*").alias("n"))
+    odd = save_table(ids.where("n > 1 or doc_id is null").select(F.col("doc_id").alias("_odd")), "odd-ids")
+    if odd.isEmpty():
+        return docs.withColumn(name, F.col("doc_id").cast("long")), None
+    top = docs.agg(F.max(F.col("doc_id").cast("long"))).first()[0] or 0
+    # the table of odd ids is small in any sound table, and then Spark broadcasts it
+    pairs = (docs.select("doc_id", text_digest().alias("_digest"))
+             .join(odd, F.col("doc_id").eqNullSafe(F.col("_odd")), "left_semi").distinct()
+             .withColumn("_order", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_digest")))
+    numbered = save_table(ordinals(pairs.withColumn("_all", F.lit(0)), ["_all"], "_order", "_place").select(
+        F.col("doc_id").alias("_odd"), "_digest", (F.col("_place").cast("long") + F.lit(top + 1)).alias("_new")), "odd-numbers")
+    same = F.col("doc_id").eqNullSafe(F.col("_odd")) & (text_digest() == F.col("_digest"))
+    return docs.join(numbered, same, "left").select(
+        *docs.columns, F.coalesce("_new", F.col("doc_id").cast("long")).alias(name)), numbered.select("_new", "_odd")
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, component) for an undirected edge table (a, b); component = smallest node.
 
@@ -138,19 +167,28 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0], _POWERS[1]
 
 
+#: Longer ranges are hashed byte by byte: sums mod 2**64 have collisions of 1,024 bytes and more.
+_LONG_RANGE = 256
+
+
 class ByteHash:
-    """Hashes of any byte range of one buffer from prefix sums (mod 2**64)."""
+    """Hashes of any byte range of one buffer from prefix sums (mod 2**64); long ranges get a digest."""
 
     def __init__(self, data: np.ndarray, salt: int = 0):
         n = len(data)
+        self._data, self._salt = data, salt
         up, self._down = _powers(n + 1)
         self._prefix = np.zeros(n + 1, np.uint64)
         np.cumsum(_byte_values(salt)[data] * up[:n], out=self._prefix[1:])
 
     def ranges(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Mixed hash of data[start:end] per range; equal bytes give equal hashes."""
-        return mix((self._prefix[end] - self._prefix[start]) * self._down[start]
-                   + (end - start).astype(np.uint64))
+        out = mix((self._prefix[end] - self._prefix[start]) * self._down[start]
+                  + (end - start).astype(np.uint64))
+        for i in np.flatnonzero(end - start > _LONG_RANGE):
+            digest = hashlib.blake2b(self._data[start[i]: end[i]].tobytes(), digest_size=8, key=bytes([self._salt]))
+            out[i] = int.from_bytes(digest.digest(), "little")
+        return out
 
     def all_grams(self, k: int) -> np.ndarray:
         """Mixed hash of every k-byte range, by start."""

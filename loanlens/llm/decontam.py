@@ -7,8 +7,9 @@ words of an item, or a whole shorter item) looks up its two rarest terms by
 their posting counts over all documents, shifts each list by the term's offset
 in the window and intersects them: a start that both lists give (within
 ``slop`` words for proximity) is a candidate. A document's candidates are then
-compared with its words: equal runs are phrase matches, windows whose terms all
-lie within ``slop`` words of their place are proximity matches.
+compared with its words: equal runs are phrase matches; where every term of the
+window has an occurrence within ``slop`` words of its own place, it is a
+proximity match.
 
 Scale: the term table and the windows are small, but nothing forces a
 broadcast: Spark chooses it by their stored size and shuffles otherwise.
@@ -16,8 +17,9 @@ Candidate lists are keyed by (window, document, place), so a passage that a
 third of all documents hold spreads over them; the final join is by document.
 
 Edge cases: a null or empty text has no words and no hits; an item without
-words has no window; rows with a null id are not indexed and report no hits;
-repeated rows each get their own full result; an item id that is null hits but
+words has no window; rows with a null id or one that other texts share are
+indexed under a number of their own (:func:`with_row_ids`); repeated rows each
+get their own full result; an item id that is null hits but
 is left out of the digest; empty tables give no hits; other columns are ignored.
 """
 
@@ -26,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import save_table
+from .common import save_table, with_row_ids
 
 #: Words before lower-casing: digits, ASCII letters and everything beyond ASCII.
 #: The separators are listed one by one because Java tests such a class with one
@@ -59,8 +61,7 @@ def build_index(docs: DataFrame, windows: DataFrame) -> DataFrame:
     """Stored postings (term, doc_id, pos) of all benchmark terms in all documents."""
     terms = save_table(windows.select(F.explode("terms").alias("w")).distinct()
                        .select(F.xxhash64("w").alias("term")), "index-terms")
-    tokens = (docs.where("doc_id is not null")
-              .select("doc_id", F.posexplode(words_of(F.col("text"))).alias("pos", "raw"))
+    tokens = (docs.select("doc_id", F.posexplode(words_of(F.col("text"))).alias("pos", "raw"))
               .select("doc_id", "pos", F.xxhash64(_lower(F.col("raw"))).alias("term")))
     return save_table(tokens.join(terms, "term", "left_semi"), "index-postings")
 
@@ -103,11 +104,12 @@ def matches(docs: DataFrame, benchmark: DataFrame, size: int = 10, slop: int = 2
     whose terms all lie within ``slop`` words of their place (exact ones too).
     """
     windows = save_table(windows_of(benchmark, size), "index-windows")
+    docs = with_row_ids(docs.select("doc_id", "text")).select(F.col("doc_id").alias("given_id"), F.col("_row").alias("doc_id"), "text")
     index = build_index(docs, windows)
     found = candidates(index, windows, slop).join(windows, "window").groupBy("doc_id").agg(
         F.collect_list(F.struct("start", "terms", "items")).alias("found"))
-    rows = (docs.select("doc_id", "text").join(found.hint("shuffle_hash"), "doc_id", "left")
-            .select("doc_id", F.size(words_of(F.col("text"))).cast("long").alias("n_words"), "found",
+    rows = (docs.join(found.hint("shuffle_hash"), "doc_id", "left")
+            .select(F.col("given_id").alias("doc_id"), F.size(words_of(F.col("text"))).cast("long").alias("n_words"), "found",
                     # the generator computes the words once, not in each use below
                     F.explode(F.array(F.when(F.col("found").isNotNull(), F.transform(
                         words_of(F.col("text")), _lower)))).alias("ws")))
@@ -117,9 +119,10 @@ def matches(docs: DataFrame, benchmark: DataFrame, size: int = 10, slop: int = 2
             F.slice("ws", F.greatest(m["start"], F.lit(0)) + 1, F.size(m["terms"])) == m["terms"])
 
     def close(m: Column) -> Column:
-        low = F.greatest(m["start"] - slop, F.lit(0))
-        high = m["start"] + F.size(m["terms"]) + slop
-        return F.size(F.array_except(m["terms"], F.slice("ws", low + 1, F.greatest(high - low, F.lit(0))))) == 0
+        def at_home(term: Column, k: Column) -> Column:
+            low = F.greatest(m["start"] + k - slop, F.lit(0))
+            return F.array_contains(F.slice("ws", low + 1, F.greatest(m["start"] + k + slop + 1 - low, F.lit(0))), term)
+        return F.forall(F.transform(m["terms"], at_home), lambda x: x)
 
     return rows.select("doc_id", "n_words", F.filter("found", exact).alias("phrase"),
                        F.filter("found", close).alias("near"))

@@ -1,11 +1,13 @@
 """Exact duplicates by progressive refinement: length, prefix hash, full hash (op 7).
 
-DataFrame functions only. Level 1 counts texts by byte length, level 2 splits
-the lengths that occur more than once by a hash of the first characters, and
-only rows of groups that still have company are joined with their text, which
-is then read and hashed in full. Counts are partial aggregates, so a length or
-text that holds a third of all rows costs one row per task; the joins back are
-salted, so such a group meets in ``SALTS`` partitions rather than one.
+DataFrame functions only. One pass over the table takes each row's byte length,
+a hash of its first characters and the digest of its whole text (every row's
+digest is part of the result); no text leaves its task. Level 1 counts lengths,
+level 2 splits the lengths that occur more than once by the prefix hash, and
+only rows that still have company there are grouped by the full digest. Counts
+are partial aggregates, so a length or text that holds a third of all rows
+costs one row per task; rows get their group's size through
+:func:`attach_groups`, which deals the rows of hot groups evenly.
 
 Edge cases: a null text equals the empty text; nothing is normalised; rows
 that repeat an id and a text are equal rows and all carry the same flags; null
@@ -15,59 +17,44 @@ an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import save_table
+from .common import attach_groups, save_table, text_digest
 
 PREFIX_CHARS = 64
-SALTS = 16
 
 
-def _salted(groups: DataFrame) -> DataFrame:
-    """Groups once per salt; shuffled, never broadcast, as their number grows with the table."""
-    return groups.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).hint("shuffle_hash")
+def refine(docs: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """(rows with their level keys, groups of equal texts, number of rows).
 
-
-def _row_salt() -> Column:
-    return F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int").alias("salt")
-
-
-def refine(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows with their level keys and text, groups of equal texts).
-
-    Groups have ``n_bytes, prefix, text_sha256, keep_id, group_size`` and two
-    rows or more.
+    Rows have ``doc_id, n_bytes, prefix, digest`` and no text; groups have the
+    three keys, ``keep_id`` and ``group_size`` of two rows or more.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.select(
-        F.col("doc_id"), text.alias("text"), F.octet_length(text).cast("long").alias("n_bytes"),
-        F.xxhash64(F.substring(text, 1, PREFIX_CHARS)).alias("prefix"), _row_salt())
-    probe = save_table(rows.select("doc_id", "n_bytes", "prefix", "salt"), "dedup-probe")
-    lengths = probe.groupBy("n_bytes").count().where("count > 1").select("n_bytes")
-    prefixes = (probe.join(_salted(lengths), ["n_bytes", "salt"], "left_semi")
-                .groupBy("n_bytes", "prefix").count().where("count > 1").select("n_bytes", "prefix"))
-    groups = (rows.join(_salted(save_table(prefixes, "dedup-prefixes")), ["n_bytes", "prefix", "salt"], "left_semi")
-              .withColumn("text_sha256", F.sha2(F.col("text").cast("binary"), 256))
-              .groupBy("n_bytes", "prefix", "text_sha256")
-              .agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
-              .where("group_size > 1"))
-    return rows, save_table(groups, "dedup-groups")
+    rows = save_table(docs.select(
+        "doc_id", F.octet_length(text).cast("long").alias("n_bytes"),
+        F.xxhash64(F.substring(text, 1, PREFIX_CHARS)).alias("prefix"),
+        F.unhex(text_digest()).alias("digest")), "dedup-rows")
+    lengths = save_table(rows.groupBy("n_bytes").agg(F.count("*").alias("n")).where("n > 1"), "dedup-lengths")
+    total = rows.count()
+    company = attach_groups(rows, lengths, ["n_bytes"], "n", total).where("n is not null").drop("n")
+    prefixes = save_table(company.groupBy("n_bytes", "prefix").agg(F.count("*").alias("n")).where("n > 1"), "dedup-prefixes")
+    company = attach_groups(rows, prefixes, ["n_bytes", "prefix"], "n", total).where("n is not null")
+    groups = (company.groupBy("n_bytes", "prefix", "digest")
+              .agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")).where("group_size > 1"))
+    return rows, save_table(groups, "dedup-groups"), total
 
 
 def exact_duplicates(docs: DataFrame) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
 
-    The row with the largest doc_id of equal texts stays. The digest is given
-    for every row, in the pass that attaches the groups.
+    The row with the largest doc_id of equal texts stays.
     """
-    rows, groups = refine(docs)
-    return (rows.select("doc_id", "n_bytes", "prefix", "salt",
-                        F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
-            .join(_salted(groups), ["n_bytes", "prefix", "text_sha256", "salt"], "left")
+    rows, groups, total = refine(docs)
+    return (attach_groups(rows, groups, ["n_bytes", "prefix", "digest"], "group_size", total)
             .select("doc_id",
-                    F.when(F.col("group_size").isNull(), F.col("doc_id"))
-                    .otherwise(F.col("keep_id")).alias("keep_id"),
+                    F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
                     F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
-                    "text_sha256")
+                    F.lower(F.hex("digest")).alias("text_sha256"))
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("keep_id"))))

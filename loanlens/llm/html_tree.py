@@ -39,6 +39,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import ship_package
+
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"""
     r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)(?:>|\Z)"""
@@ -463,6 +465,7 @@ def _extract_pass(model: TreeModel, batch_pages: int = 256):
 
 def main_text(pages: DataFrame, model: TreeModel | None = None) -> DataFrame:
     """One row per page: page_id, url, text, n_chars."""
+    ship_package(pages.sparkSession)
     table = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                          F.col("html").cast("string").alias("html"))
     return table.mapInArrow(_extract_pass(model or default_model()),

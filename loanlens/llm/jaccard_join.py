@@ -30,9 +30,9 @@ memory is bounded by two blocks; each task returns a spanning forest and link
 counts, never all pairs.
 
 Edge cases: null or empty text (or only white space) is an empty set, linked
-with nothing, its own component; a null id is not linked: its component is
-null, or that of the rows with an id whose set equals its own; repeated
-rows are copies; an empty table gives an empty result; other columns of the
+with nothing, its own component; rows with a null id or one that other texts
+share are linked like others (:func:`number_rows`), and their component is the
+smallest id that links reach, null if none does; repeated rows are copies; an empty table gives an empty result; other columns of the
 input are ignored.
 """
 
@@ -46,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (ByteHash, LOWER, connected_components, mix, save_table, signed, text_chunks,
+from .common import (ByteHash, LOWER, connected_components, mix, number_rows, save_table, ship_package, signed, text_chunks,
                      word_spans)
 
 #: Tokens in one comparison block.
@@ -421,7 +421,21 @@ def similarity_classes(docs: DataFrame, words: int = 5, threshold: int = 80) ->
     ``threshold`` is in percent. ``component_id`` is the smallest doc_id that
     links reach; ``n_links`` counts the other rows a row links to directly.
     """
-    table = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    ship_package(docs.sparkSession)
+    rows, numbers = number_rows(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")))
+    found = _numbered_classes(rows.select(F.col("_row").alias("doc_id"), "text"), words, threshold)
+    if numbers is None:
+        return found
+    # rows without an id or with a shared one: back from their numbers to ids
+    found = save_table(found.join(numbers, F.col("doc_id") == F.col("_new"), "left").withColumn(
+        "given", F.when(F.col("_new").isNull(), F.col("doc_id")).otherwise(F.col("_odd"))), "jaccard-numbered")
+    least = found.groupBy(F.col("component_id")).agg(F.min("given").alias("least"))
+    return found.join(least, "component_id").select(
+        F.col("given").alias("doc_id"), "n_shingles", F.col("least").alias("component_id"), "n_links")
+
+
+def _numbered_classes(table: DataFrame, words: int, threshold: int) -> DataFrame:
+    """:func:`similarity_classes` of a table whose ids each stand for one text."""
     keyed = save_table(table.mapInArrow(
         _key_pass(words, pa.int64()),
         "doc_id long, n_shingles long, k1 long, k2 long, is_token boolean"), "jaccard-keys")

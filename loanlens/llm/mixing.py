@@ -6,18 +6,19 @@ source's words and the excess goes to the others by weight (water filling, in
 closed form over the sources sorted by limit per weight).
 
 Schedule: slot i takes the golden-ratio point ``frac(i * A / 2**31)`` through
-the cumulative target shares to its source. Slots are ranked within their
-source, and rank r reads block ``r mod blocks`` of the source's stream: its
-documents in md5 order of (id, seed), cut into blocks of ``block_words`` words.
-A block is read at most ``max_repeats`` times, so no document is. The slots
-round a source's share to whole blocks, a few blocks either way: much for a
-source of few words, which may get nothing.
-
-Quotas (``exact=True``): each source gets its target to the nearest word, by
-reading its stream in the same order, ``quota // source_size`` times in full
-and then up to word ``quota % source_size``. No slots are laid out.
-
-Scale: one row per slot, per block piece and per source. Ranks and stream
+the cumulative target shares to its source; there is one slot per
+``block_words`` words of the goal. Slots are ranked within their source. A
+source's stream is its documents in md5 order of (id, seed), read over and over;
+its target, to the nearest word, is cut into as many equal blocks as it has
+slots (equal to one word), and rank r reads block r. So every source comes to
+its target whatever its size: the points settle the order of the slots and how
+many blocks a source is dealt in, and the block length makes up for the points'
+discrepancy. A source that no point has reached has one slot at the end. No
+word is read more than ``max_repeats`` times, as no target is above that many
+readings of the stream.
+
+Scale: one row per slot, per block piece and per source; blocks and documents
+meet in cells of a block's length. Ranks and stream
 offsets are two-level prefix sums (counts per chunk, running sums over chunks,
 positions within a chunk), so a source with a third of all rows is spread over
 many partitions. There are about as many chunks as rows in one (the square
@@ -80,24 +81,50 @@ def schedule(targets: DataFrame, goal_words: float, block_words: int) -> DataFra
     spark = targets.sparkSession
     slots = int(round(goal_words / block_words))
     per_chunk = math.isqrt(slots) + 1
-    lane = lambda u: F.floor(u * _LANES).cast("int")
+    lanes = max(_LANES, 2 * targets.count())
+    lane = lambda u: F.floor(u * lanes).cast("long")
     last = Window.orderBy("src").rowsBetween(1, Window.unboundedFollowing)
-    bounds = targets.where("target > 0").withColumn(  # rounding never leaves a gap at 1
+    shares = targets.where("target > 0").withColumn(  # rounding never leaves a gap at 1
         "share_high", F.when(F.count("*").over(last) == 0, F.lit(1.0)).otherwise(F.col("share_high")))
-    bounds = bounds.select("src", "share_low", "share_high", F.explode(F.sequence(
-        lane(F.col("share_low")), F.least(lane(F.col("share_high")), F.lit(_LANES - 1)))).alias("lane"))
+    bounds = shares.select("src", "share_low", "share_high", F.explode(F.sequence(
+        lane(F.col("share_low")), F.least(lane(F.col("share_high")), F.lit(lanes - 1)))).alias("lane"))
     point = (F.col("slot") % POINTS * STEP % POINTS) / F.lit(float(POINTS))
     placed = (spark.range(slots).withColumnRenamed("id", "slot").withColumn("point", point)
               .withColumn("lane", lane(F.col("point")))
               .join(bounds, "lane").where("point >= share_low and point < share_high")
               .select("slot", "src", F.floor(F.col("slot") / per_chunk).alias("chunk")))
-    counts = placed.groupBy("src", "chunk").count()
+    counts = save_table(placed.groupBy("src", "chunk").count(), "mix-chunks")
     starts = counts.select("src", "chunk", F.coalesce(F.sum("count").over(
         Window.partitionBy("src").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)),
         F.lit(0)).alias("begin"))
     inside = F.row_number().over(Window.partitionBy("src", "chunk").orderBy("slot")) - 1
-    return (placed.withColumn("inside", inside).join(starts, ["src", "chunk"])
-            .select("slot", "src", (F.col("begin") + F.col("inside")).alias("pick")))
+    ranked = (placed.withColumn("inside", inside).join(starts, ["src", "chunk"])
+              .select("slot", "src", (F.col("begin") + F.col("inside")).cast("long").alias("pick")))
+    missed = shares.join(counts.select("src").distinct(), "src", "left_anti").select(
+        (F.lit(slots) + F.col("src")).cast("long").alias("slot"), "src", F.lit(0).cast("long").alias("pick"))
+    return ranked.union(missed)
+
+
+def blocks_read(slots: DataFrame, targets: DataFrame) -> DataFrame:
+    """(src, begin, end, cell_words): the piece of its source's stream that every slot reads.
+
+    A block that runs over the end of the stream is one row per reading.
+    """
+    dealt = slots.groupBy("src").agg(F.count("*").alias("blocks"))
+    sizes = targets.select("src", "source_size", F.floor(F.col("target") + 0.5).cast("long").alias("words")).join(dealt, "src")
+    edge = lambda r: F.expr(f"cast({r} as decimal(20,0)) * words div blocks")
+    cut = slots.join(sizes.withColumn("cell_words", F.ceil(F.col("words") / F.col("blocks"))), "src").select(
+        "src", "source_size", "cell_words", edge("pick").alias("lo"), edge("(pick + 1)").alias("hi")).where("lo < hi")
+    turn = F.explode(F.sequence(F.expr("lo div source_size"), F.expr("(hi - 1) div source_size")))
+    shift = F.col("turn") * F.col("source_size")
+    return cut.withColumn("turn", turn).select(
+        "src", F.greatest(F.col("lo") - shift, F.lit(0)).alias("begin"),
+        F.least(F.col("hi") - shift, F.col("source_size")).alias("end"), "cell_words")
+
+
+def _cells(begin: str, end: str):
+    """The cells of ``cell_words`` words that begin..end touches."""
+    return F.explode(F.sequence(F.expr(f"{begin} div cell_words"), F.expr(f"({end} - 1) div cell_words"))).alias("cell")
 
 
 def streams(docs: DataFrame, seed: str) -> DataFrame:
@@ -118,44 +145,29 @@ def streams(docs: DataFrame, seed: str) -> DataFrame:
             .withColumn("offset", F.col("begin") + F.col("inside")))
 
 
-def read_quotas(rows: DataFrame) -> DataFrame:
-    """Words taken of each document when its source's stream is read for the target's nearest whole words."""
-    quota, full = F.floor(F.col("target") + 0.5).cast("long"), F.expr("quota div source_size")
-    rest = F.col("quota") % F.col("source_size")
-    part = F.greatest(F.least(rest - F.col("offset"), F.col("size")), F.lit(0))
-    taken = F.when(F.col("size") > 0, full * F.col("size") + part).otherwise(0).cast("long")
-    return rows.withColumn("quota", quota).select(
-        "doc_id", "source", "size", "source_size", "target", taken.alias("taken"))
-
-
 def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5,
-                max_repeats: int = 2, block_words: int = 64, seed: str = "mix", exact: bool = False) -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, taken.
-
-    ``exact`` takes each source's target to the word instead of in blocks.
-    """
+                max_repeats: int = 2, block_words: int = 64, seed: str = "mix") -> DataFrame:
+    """One row per document: doc_id, source, size, source_size, target, taken."""
     sized = save_table(docs.select(
         "doc_id", F.col("source").cast("string").alias("source"),
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")), "mix-sizes")
     targets = save_table(source_targets(sized, weights, share, max_repeats), "mix-targets")
-    placed = streams(
+    rows = save_table(streams(
         sized.join(targets.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of"))).drop("of"),
-        seed).select("doc_id", "source", "src", "size", "source_size", "target", "offset")
-    if exact:
-        return read_quotas(placed)
-    rows = save_table(placed, "mix-streams")
+        seed).select("doc_id", "source", "src", "size", "source_size", "target", "offset"), "mix-streams")
     goal = share * float(sized.agg(F.sum("size")).first()[0] or 0)
 
-    blocks = F.ceil(F.col("source_size") / block_words)
-    reads = (schedule(targets, goal, block_words).join(targets.select("src", "source_size"), "src")
-             .where(F.col("pick") < blocks * max_repeats)
-             .groupBy("src", (F.col("pick") % blocks).alias("block")).agg(F.count("*").alias("times")))
-    key = ["doc_id", "source", "src", "size", "source_size", "target", "offset"]
-    pieces = rows.where("size > 0").withColumn("block", F.explode(F.sequence(
-        F.floor(F.col("offset") / block_words), F.floor((F.col("offset") + F.col("size") - 1) / block_words))))
-    overlap = (F.least(F.col("offset") + F.col("size"), (F.col("block") + 1) * block_words)
-               - F.greatest(F.col("offset"), F.col("block") * block_words))
-    taken = (pieces.join(reads, ["src", "block"], "left").groupBy(*key)
-             .agg(F.sum(overlap * F.coalesce("times", F.lit(0))).cast("long").alias("taken")))
-    return taken.union(rows.where("size = 0").select(*key, F.lit(0).cast("long").alias("taken"))).select(
-        "doc_id", "source", "size", "source_size", "target", "taken")
+    reads = save_table(blocks_read(save_table(schedule(targets, goal, block_words), "mix-slots"), targets), "mix-reads")
+    # what a source reads is the beginning of its stream, all of it if the target is that long
+    upto = reads.groupBy("src").agg(F.max("end").alias("read"), F.first("cell_words").alias("cell_words"))
+    pieces = (rows.join(upto, "src").withColumn("stop", F.least(F.col("offset") + F.col("size"), F.col("read")))
+              .where("offset < stop").select("src", "offset", "stop", "cell_words", _cells("offset", "stop")))
+    read_cells = reads.select("src", "begin", "end", _cells("begin", "end"))
+    low = F.greatest("offset", "begin", F.col("cell") * F.col("cell_words"))
+    high = F.least("stop", "end", (F.col("cell") + 1) * F.col("cell_words"))
+    per_row = pieces.join(read_cells, ["src", "cell"]).groupBy("src", "offset").agg(
+        F.sum(F.greatest(high - low, F.lit(0))).cast("long").alias("taken"))
+    # rows with words have offsets of their own within a source
+    return (rows.join(per_row, ["src", "offset"], "left")
+            .select("doc_id", "source", "size", "source_size", "target",
+                    F.when(F.col("size") > 0, F.coalesce("taken", F.lit(0))).otherwise(0).cast("long").alias("taken")))

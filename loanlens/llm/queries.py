@@ -141,7 +141,8 @@ at2 AS (SELECT win, doc_id, p - off AS s FROM rare JOIN pos USING (w) WHERE k =
 cand AS (SELECT DISTINCT at1.win, at1.doc_id, at1.s FROM at1 JOIN at2 ON at1.win = at2.win AND at1.doc_id = at2.doc_id
            AND abs(at1.s - at2.s) <= 2 UNION SELECT win, doc_id, s FROM at1 WHERE n = 1),
 near AS (SELECT DISTINCT cand.doc_id, unnest(items) AS item FROM cand JOIN win USING (win) JOIN dw ON dw.doc_id = cand.doc_id
-         WHERE list_has_all(ws[greatest(s - 2, 0) + 1:s + len(terms) + 2], terms)),
+         WHERE len(list_filter(range(0, len(terms)), lambda k: list_contains(
+           ws[greatest(s + k - 2, 0) + 1:s + k + 3], terms[k + 1]))) = len(terms)),
 near_only AS (SELECT doc_id, count(*) AS k FROM (SELECT * FROM near EXCEPT SELECT * FROM hit_items) GROUP BY doc_id),
 item_list AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM hit_items GROUP BY doc_id),
 contamination AS (SELECT dw.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
@@ -216,24 +217,14 @@ s2 AS (SELECT *, (goal - coalesce(sum(lim) OVER b, 0)) / (sum(w) OVER () - coale
        FROM s1 WINDOW b AS (ORDER BY lim / w, src ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 lv AS (SELECT min_by(level, (lim / w, src)) AS level FROM s2 WHERE level * w <= lim),
 s3 AS (SELECT src, source, source_size, goal, least(lim, (SELECT level FROM lv) * w) AS target FROM s2),
-s4 AS (SELECT *, coalesce(sum(target) OVER (ORDER BY src ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / goal AS lo,
-         CASE WHEN src = max(src) FILTER (target > 0) OVER () THEN 1.0 ELSE
-         sum(target) OVER (ORDER BY src ROWS UNBOUNDED PRECEDING) / goal END AS hi FROM s3),
-sl AS (SELECT i, (i % 2147483648 * 1327217885 % 2147483648) / 2147483648.0::DOUBLE AS u
-       FROM range((SELECT round_even(max(goal) / 64, 0)::BIGINT FROM s3)) r(i)),
-pk AS (SELECT src, source_size, row_number() OVER (PARTITION BY src ORDER BY i) - 1 AS pick
-       FROM sl JOIN s4 ON u >= lo AND u < hi),
-rd AS (SELECT src, pick % ceil(source_size / 64.0)::BIGINT AS block, count(*) AS times FROM pk
-       WHERE pick < 2 * ceil(source_size / 64.0) GROUP BY 1, 2),
-st AS (SELECT z.doc_id, z.source, z.size, s3.src, source_size, target, coalesce(sum(size) OVER (PARTITION BY s3.src
-         ORDER BY md5(coalesce(doc_id::VARCHAR, '') || ':mix'), doc_id, size
+st AS (SELECT z.doc_id, z.source, z.size, source_size, target, floor(target + 0.5)::BIGINT AS quota,
+         coalesce(sum(size) OVER (PARTITION BY s3.src ORDER BY md5(coalesce(doc_id::VARCHAR, '') || ':mix'), doc_id, size
          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS off
-       FROM z JOIN s3 ON z.source IS NOT DISTINCT FROM s3.source),
-pc AS (SELECT *, unnest(CASE WHEN size > 0 THEN range(off // 64, (off + size - 1) // 64 + 1) ELSE [-1] END) AS block FROM st)
-SELECT doc_id, pc.source, size, source_size, target,
-  sum(CASE WHEN size > 0 THEN (least(off + size, (block + 1) * 64) - greatest(off, block * 64)) * coalesce(times, 0)
-      ELSE 0 END)::BIGINT AS taken
-FROM pc LEFT JOIN rd USING (src, block) GROUP BY doc_id, pc.source, size, source_size, target, off""",
+       FROM z JOIN s3 ON z.source IS NOT DISTINCT FROM s3.source)
+-- a stream read over and over up to the quota: whole readings, and the beginning once more
+SELECT doc_id, source, size, source_size, target, CASE WHEN size = 0 THEN 0 ELSE
+  quota // source_size * size + greatest(least(quota % source_size - off, size), 0) END::BIGINT AS taken
+FROM st""",
     "op7_exact_dedup": """
 WITH t AS (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256 FROM documents)
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,

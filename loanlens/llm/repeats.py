@@ -38,7 +38,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ByteHash, mix, save_table, signed, text_chunks
+from .common import ByteHash, mix, save_table, ship_package, signed, text_chunks
 
 LENGTH = 100
 GRAM = 24
@@ -302,6 +302,7 @@ def _cut_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def cut_repeats(docs: DataFrame) -> DataFrame:
     """One row per input row: doc_id, n_bytes, n_removed, removed spans, digest of the rest."""
+    ship_package(docs.sparkSession)
     table = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     text_by_id = table.mapInArrow(_pack_pass, "doc_id long, packed binary").repartition("doc_id")
     cuts = repeated_windows(table, text_by_id).groupBy("doc_id").agg(F.collect_list("place").alias("places"))

@@ -37,6 +37,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import ship_package
 from .common_words import WORDS
 
 KINDS = ("assign", "access", "hex", "novel")
@@ -183,6 +184,7 @@ def _scan(rule: NoveltyRule):
 
 def secret_spans(docs: DataFrame, rule: NoveltyRule = NoveltyRule()) -> DataFrame:
     """One row per input row: doc_id, found (start, kind index into ``KINDS``, end), by start then kind."""
+    ship_package(docs.sparkSession)
     table = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return table.mapInArrow(_scan(rule), "doc_id long, found array<struct<start:long,kind:int,end:long>>")
 

@@ -58,14 +58,16 @@ from .common import ship_package, text_chunks
 SHARD_BYTES = 128 << 20
 #: Documents per reading step.
 READ_DOCS = 4_096
-#: Text bytes per encoding step, and ids kept for pieces met before.
+#: Text bytes per step, pieces per call of the library, and ids kept for pieces met before.
 _STEP_BYTES = 4 << 20
-_CACHE_IDS = 3 << 20
+_ENCODE, _JOIN = 16_384, 1_024
+_CACHE_IDS = 5 << 19
 # Bytes after which a space may not be cut off: white space and control bytes,
 # and the lead bytes of all Unicode white space above them.
 _AFTER_SPACE = np.ones(256, dtype=bool)
 _AFTER_SPACE[:0x21] = False
 _AFTER_SPACE[[0x7F, 0xC2, 0xE1, 0xE2, 0xE3]] = False
+_VISIBLE = frozenset(np.flatnonzero(_AFTER_SPACE).tolist())
 # Marks that begin a piece of their own after an ASCII letter or digit.
 _MARKS = b",.;:!?)"
 _LETTERS = np.array([chr(b).isalnum() and b < 128 for b in range(256)])
@@ -99,23 +101,45 @@ class Encoder:
         special = "".join(t["content"] for t in parsed.get("added_tokens", ()))
         self.marks = np.zeros(256, bool)
         self.marks[[b for b in _MARKS if chr(b) not in special]] = True
+        self.widths = _token_bytes(self.tokenizer, parsed) if self.safe else None
         self.known: dict[bytes, int] = {}
         self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
-        self.place, self.size, self.met = (np.zeros(0, np.int64) for _ in range(3))
+        self.place, self.size, self.met = (np.zeros(0, np.int32) for _ in range(3))
+
+    def _encode(self, texts: list[bytes]) -> list[list[int]]:
+        run = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
+        return [e.ids for e in run([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)]
 
     def _learn(self, pieces: list[bytes]) -> None:
-        texts = [p.decode("utf-8", "replace") for p in pieces]
-        lists = [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-        size = np.fromiter(map(len, lists), np.int64, len(lists))
-        self._keep(pieces, np.fromiter(chain.from_iterable(lists), np.uint32, int(size.sum())), size)
+        """Encode new pieces, some thousand at a time, as the library's results are large.
+
+        Pieces that begin with a cut at a space are encoded together: joined
+        they give the same ids, and the widths of the ids part them again.
+        """
+        joint = [p for p in pieces if len(p) > 1 and p[0] == 0x20 and p[1] in _VISIBLE and (p.isascii() or _valid(p))
+                 ] if self.safe else []
+        for i in range(0, len(joint), _ENCODE):
+            part = joint[i: i + _ENCODE]
+            lists = self._encode([b"".join(part[k: k + _JOIN]) for k in range(0, len(part), _JOIN)])
+            ids = np.fromiter(chain.from_iterable(lists), np.uint32, sum(map(len, lists)))
+            ends = np.cumsum(np.fromiter(map(len, part), np.int64, len(part)))
+            upto = np.searchsorted(np.cumsum(self.widths[ids]), ends, "left") + 1
+            self._keep(part, ids, np.diff(upto, prepend=0))
+        together = set(joint)
+        rest = [p for p in pieces if p not in together]
+        for i in range(0, len(rest), _ENCODE):
+            part = rest[i: i + _ENCODE]
+            lists = self._encode(part)
+            size = np.fromiter(map(len, lists), np.int64, len(lists))
+            self._keep(part, np.fromiter(chain.from_iterable(lists), np.uint32, int(size.sum())), size)
 
     def _keep(self, pieces: list[bytes], ids: np.ndarray, size: np.ndarray) -> None:
         if self.used + len(ids) > len(self.ids):
-            self.ids = np.concatenate([self.ids[: self.used], np.zeros(self.used + 2 * len(ids), np.uint32)])
+            self.ids = np.concatenate([self.ids[: self.used], np.zeros(self.used // 4 + len(ids) + (1 << 16), np.uint32)])
         self.ids[self.used: self.used + len(ids)] = ids
-        self.place = np.concatenate([self.place, self.used + np.cumsum(size) - size])
-        self.size = np.concatenate([self.size, size])
-        self.met = np.concatenate([self.met, np.zeros(len(size), np.int64)])
+        self.place = np.concatenate([self.place, (self.used + np.cumsum(size) - size).astype(np.int32)])
+        self.size = np.concatenate([self.size, size.astype(np.int32)])
+        self.met = np.concatenate([self.met, np.zeros(len(size), np.int32)])
         self.known.update(zip(pieces, range(len(self.known), len(self.known) + len(pieces))))
         self.used += len(ids)
 
@@ -123,12 +147,12 @@ class Encoder:
         stay = np.flatnonzero(self.met > 1)
         if self.size[stay].sum() > _CACHE_IDS // 2:
             stay = stay[:0]
-        size, place, ids = self.size[stay], self.place[stay], self.ids
+        size, place, ids = self.size[stay].astype(np.int64), self.place[stay], self.ids
         flat = ids[np.arange(size.sum()) + np.repeat(place - (np.cumsum(size) - size), size)]
         pieces = list(self.known)
         pieces = [pieces[i] for i in stay]
         self.known, self.ids, self.used = {}, np.zeros(len(flat) + (1 << 16), np.uint32), 0
-        self.place, self.size, self.met = (np.zeros(0, np.int64) for _ in range(3))
+        self.place, self.size, self.met = (np.zeros(0, np.int32) for _ in range(3))
         self._keep(pieces, flat, size)
 
     def _starts(self, data: np.ndarray, offs: np.ndarray) -> np.ndarray:
@@ -158,7 +182,7 @@ class Encoder:
             number = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
             self.met[number] += 1
             which = number[pieces.indices.to_numpy(zero_copy_only=False)]
-            n, place = self.size[which], self.place[which]
+            n, place = self.size[which].astype(np.int64), self.place[which]
             doc = np.searchsorted(offs, starts, "right") - 1
             counts = np.bincount(doc, weights=n, minlength=last - first).astype(np.int64)
             run = np.arange(n.sum())
@@ -167,6 +191,25 @@ class Encoder:
             yield first, ids, counts + 1
 
 
+def _valid(piece: bytes) -> bool:
+    try:
+        piece.decode()
+    except UnicodeDecodeError:
+        return False
+    return True
+
+
+def _token_bytes(tokenizer, spec: dict) -> np.ndarray:
+    """Bytes of text that each id of a byte-level vocabulary stands for (one letter of the vocabulary is one byte)."""
+    vocabulary = tokenizer.get_vocab(with_added_tokens=True)
+    width = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
+    for token, i in vocabulary.items():
+        width[i] = len(token)
+    for added in spec.get("added_tokens", ()):
+        width[added["id"]] = len(added["content"].encode())
+    return width
+
+
 @lru_cache(maxsize=1)
 def _encoder(spec: str) -> Encoder:
     return Encoder(spec)

@@ -4,15 +4,22 @@ Links follow one another: each category's logistic model reads which hashed
 words and word beginnings a text has, plus the probabilities of all earlier
 links. For training, those earlier probabilities are out-of-fold predictions,
 so a later link never sees a model's answer for a row it was fitted on; for
-scoring, links fitted on all training rows are chained. The labels give only
-toxic or not, so the category links are taught by it together with seed words:
-a row is positive for a category when it is labelled toxic and holds one of
-the category's seeds, and for ``unseeded`` when it is toxic without any. The
-last link is the label itself and decides.
+scoring, links fitted on all training rows are chained. Categories are columns
+of the labels where ``categories`` names some. Where the labels just say toxic
+or not, they are found in the training rows: the features that toxic texts have
+much more often than others are split in two by which of them occur together in
+toxic texts (second singular vector of their row matrix), a toxic row belongs
+to the group that more of its features are in, and to ``other`` without any.
+Each fold's out-of-fold answers use groups found without that fold. The last
+link is the label itself and decides.
 
 Fitting reads at most ``max_rows`` labelled rows (by hash order of their id),
 whose features Spark computes and the driver fits; L1 keeps the models sparse,
-so long clean texts do not add up noise. Scoring ships the few hundred weights
+so long clean texts do not add up noise. Three settings bound what a link may
+learn from, and nothing else: features are hashed to ``bits`` bits, so some
+share a weight; those in fewer than ``min_rows`` training rows are too rare to
+weigh; a link chooses among the ``screened`` ones of largest label contrast.
+Scoring reads every word of every text; it ships the few hundred weights
 and runs over all rows as one narrow pass without a shuffle.
 
 Edge cases: null or empty text has no features and scores by the intercepts;
@@ -31,14 +38,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ByteHash, LOWER, mix, text_chunks, word_spans
+from .common import ByteHash, LOWER, mix, ship_package, text_chunks, word_spans
 
-#: Categories in chain order and their seed words (matched as whole words).
-SEEDS: dict[str, tuple[str, ...]] = {
-    "insult": ("idiot", "moron", "loser", "clown", "stupid", "fool", "dumb"),
-    "contempt": ("scum", "trash", "worthless", "pathetic", "disgusting", "garbage", "filth"),
-}
-LINKS = (*SEEDS, "unseeded", "toxic")
+#: Links of labels without categories: two groups of toxic texts, those in neither, the label.
+FOUND = ("group_1", "group_2", "other")
 
 _NOT_LETTER = np.zeros(256, bool)
 _NOT_LETTER[:128] = True
@@ -57,6 +60,13 @@ class ChainSettings:
     screened: int = 4000     # features with the largest label contrast that a link may use
     l1: float = 0.0003
     steps: int = 100
+    categories: tuple[str, ...] = ()  # 0/1 columns of the labels; none: groups are found
+    group_terms: int = 200   # features of largest contrast that tell the groups, and their least contrast
+    group_contrast: float = 4.0
+
+    @property
+    def links(self) -> tuple[str, ...]:
+        return (*(self.categories or FOUND), "toxic")
 
 
 def text_features(data: np.ndarray, offs: np.ndarray, cfg: ChainSettings) -> tuple[np.ndarray, np.ndarray]:
@@ -69,11 +79,6 @@ def text_features(data: np.ndarray, offs: np.ndarray, cfg: ChainSettings) -> tup
     return np.concatenate([word, *stems]).astype(np.int64), np.tile(doc, 1 + len(stems))
 
 
-def word_feature(word: str, cfg: ChainSettings) -> int:
-    raw = np.frombuffer(word.encode(), np.uint8)
-    return int(text_features(raw, np.array([0, len(raw)]), cfg)[0][0])
-
-
 @dataclass(frozen=True)
 class Link:
     """One fitted link: sparse feature weights, weights of earlier links, intercept."""
@@ -157,33 +162,80 @@ def _feature_pass(cfg: ChainSettings):
                 values = pa.array((pairs & ((1 << cfg.bits) - 1)).astype(np.int32))
                 lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), values)
                 yield pa.record_batch([batch.column(0).slice(i, j - i), lists, batch.column(2).slice(i, j - i)],
-                                      names=["doc_id", "features", "toxic"])
+                                      names=["doc_id", "features", "labels"])
     return run
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, cfg: ChainSettings) -> DataFrame:
-    """At most ``max_rows`` labelled texts: doc_id, features, toxic.
+    """At most ``max_rows`` labelled texts: doc_id, features, labels (categories, then toxic).
 
     An id whose rows differ counts once, with its last text in byte order.
     """
+    ship_package(docs.sparkSession)
+    told = [F.coalesce(F.max(F.col(c).cast("int")), F.lit(0)) for c in (*cfg.categories, "toxic")]
     picked = (labels.where("doc_id is not null and toxic is not null").groupBy("doc_id")
-              .agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(cfg.max_rows))
+              .agg(F.array(*told).alias("labels")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(cfg.max_rows))
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(
         F.broadcast(picked), "doc_id")  # at most max_rows ids
-    rows = rows.groupBy("doc_id").agg(F.max("text").alias("text"), F.max("toxic").alias("toxic"))
-    return rows.select("doc_id", "text", "toxic").mapInArrow(
-        _feature_pass(cfg), "doc_id long, features array<int>, toxic int")
+    rows = rows.groupBy("doc_id").agg(F.max("text").alias("text"), F.max("labels").alias("labels"))
+    return rows.select("doc_id", "text", "labels").mapInArrow(
+        _feature_pass(cfg), "doc_id long, features array<int>, labels array<int>")
 
 
-def _training_arrays(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(row number, feature) pairs, labels and ids of the bounded training rows, by id."""
+def _training_arrays(rows: DataFrame, cfg: ChainSettings) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row number, feature) pairs, labels (row, link) and ids of the bounded training rows, by id."""
     got = rows.toArrow().sort_by("doc_id")
-    lists = got.column("features").combine_chunks()
-    if isinstance(lists, pa.ChunkedArray):
-        lists = pa.concat_arrays(lists.chunks) if lists.num_chunks else pa.array([], pa.list_(pa.int32()))
-    doc = np.repeat(np.arange(got.num_rows, dtype=np.int32), lists.value_lengths().to_numpy())
-    return (doc, lists.flatten().to_numpy().copy(), got.column("toxic").to_numpy() > 0,
-            got.column("doc_id").to_numpy().astype(np.uint64))
+
+    def lists(name: str) -> pa.Array:
+        col = got.column(name).combine_chunks()
+        if isinstance(col, pa.ChunkedArray):
+            col = pa.concat_arrays(col.chunks) if col.num_chunks else pa.array([], pa.list_(pa.int32()))
+        return col
+
+    features = lists("features")
+    doc = np.repeat(np.arange(got.num_rows, dtype=np.int32), features.value_lengths().to_numpy())
+    told = lists("labels").flatten().to_numpy().reshape(got.num_rows, len(cfg.categories) + 1) > 0
+    return doc, features.flatten().to_numpy().copy(), told, got.column("doc_id").to_numpy().astype(np.uint64)
+
+
+def toxic_groups(doc: np.ndarray, col: np.ndarray, features: int, toxic: np.ndarray, train: np.ndarray,
+                 cfg: ChainSettings) -> np.ndarray:
+    """Group (0 or 1) of every feature that tells toxic rows among ``train``, -1 for the others."""
+    group = np.full(features, -1)
+    share = toxic[train].mean() if train.any() else 0.0
+    if not 0 < share < 1:
+        return group
+    have = np.bincount(col, weights=train[doc], minlength=features)
+    pos = np.bincount(col, weights=(train & toxic)[doc], minlength=features)
+    contrast = (pos - have * share) / np.sqrt(have * share * (1 - share) + 1e-9)
+    contrast[pos < cfg.min_rows] = 0
+    terms = np.argsort(-contrast, kind="stable")[: cfg.group_terms]
+    terms = terms[contrast[terms] >= cfg.group_contrast]
+    place = np.full(features, -1)
+    place[terms] = np.arange(len(terms))
+    use = (place[col] >= 0) & (train & toxic)[doc]
+    _, row = np.unique(doc[use], return_inverse=True)
+    group[terms] = 0
+    if len(terms) < 2 or not len(row) or row.max() < 1:
+        return group
+    together = np.zeros((row.max() + 1, len(terms)))
+    together[row, place[col[use]]] = 1.0
+    scale = np.sqrt(np.maximum(together.sum(axis=0), 1.0))
+    scaled = together / np.sqrt(together.sum(axis=1, keepdims=True)) / scale
+    # the trivial first direction goes; what is left first parts the terms
+    first = scale / np.linalg.norm(scale)
+    second = np.linalg.svd(scaled - np.outer(scaled @ first, first), full_matrices=False)[2][0]
+    group[terms] = (second * np.sign(second[0] or 1.0) < 0).astype(int)
+    return group
+
+
+def _categories(doc: np.ndarray, col: np.ndarray, group: np.ndarray, toxic: np.ndarray) -> list[np.ndarray]:
+    """Targets of the links FOUND: toxic rows by the group that more of their features are in."""
+    rows = len(toxic)
+    count = [np.bincount(doc[group[col] == g], minlength=rows) for g in (0, 1)]
+    none = (count[0] == 0) & (count[1] == 0)
+    first = count[0] >= count[1]
+    return [toxic & first & ~none, toxic & ~first, toxic & none]
 
 
 @dataclass(frozen=True)
@@ -207,17 +259,11 @@ def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
 
 def fit_chain(docs: DataFrame, labels: DataFrame, cfg: ChainSettings = ChainSettings()) -> Chain:
     """Links fitted in order; the threshold comes from out-of-fold answers of the last."""
-    doc, feature, toxic, ids = _training_arrays(training_rows(docs, labels, cfg))
-    rows = len(toxic)
+    doc, feature, told, ids = _training_arrays(training_rows(docs, labels, cfg), cfg)
+    toxic, rows = told[:, -1], len(told)
     if not toxic.any():
         return Chain([Link(n.features, n.weights, np.zeros(k), n.intercept)
-                      for k, n in enumerate([_NEVER] * len(LINKS))], 0.5)
-    targets, any_seed = {}, np.zeros(rows, bool)
-    for name, seeds in SEEDS.items():
-        has = np.zeros(rows, bool)
-        has[doc[np.isin(feature, [word_feature(s, cfg) for s in seeds])]] = True
-        targets[name], any_seed = toxic & has, any_seed | has
-    targets |= {"unseeded": toxic & ~any_seed, "toxic": toxic}
+                      for k, n in enumerate([_NEVER] * len(cfg.links))], 0.5)
     # feature numbers, without features too rare for any link
     often = np.bincount(feature, minlength=1 << cfg.bits) >= cfg.min_rows
     names = np.flatnonzero(often)
@@ -227,15 +273,28 @@ def fit_chain(docs: DataFrame, labels: DataFrame, cfg: ChainSettings = ChainSett
     del feature, keep, number, often
     fold = (mix(ids) % np.uint64(cfg.folds)).astype(np.int64)
     everyone = np.ones(rows, bool)
+
+    def targets(train: np.ndarray, like: np.ndarray | None) -> tuple[list[np.ndarray], np.ndarray]:
+        """Targets of all links, with groups found in ``train`` and numbered like the given ones."""
+        if cfg.categories:
+            return [told[:, k] for k in range(told.shape[1])], None
+        group = toxic_groups(doc, col, len(names), toxic, train, cfg)
+        if like is not None:
+            both = (group >= 0) & (like >= 0)
+            if 2 * np.count_nonzero(group[both] != like[both]) > np.count_nonzero(both):
+                group = np.where(group >= 0, 1 - group, -1)
+        return [*_categories(doc, col, group, toxic), toxic], group
+
+    whole, group = targets(everyone, None)
+    held_out = [targets(fold != f, group)[0] for f in range(cfg.folds)]
     chain, before = [], np.zeros((rows, 0))
-    for name in LINKS:
-        y = targets[name].astype(float)
-        chain.append(fit_link(doc, col, names, before, y, everyone, cfg))
+    for k in range(len(cfg.links)):
+        chain.append(fit_link(doc, col, names, before, whole[k].astype(float), everyone, cfg))
         answer = np.zeros(rows)  # out of fold, for the links to come and the threshold
         for f in range(cfg.folds):
             held = fold == f
             if held.any() and (~held).any():
-                link = fit_link(doc, col, names, before, y, ~held, cfg)
+                link = fit_link(doc, col, names, before, held_out[f][k].astype(float), ~held, cfg)
                 wanted = np.zeros(len(names), bool)
                 wanted[np.searchsorted(names, link.features)] = True
                 hit = wanted[col] & held[doc]
@@ -266,16 +325,17 @@ def _score_pass(chain: Chain, cfg: ChainSettings):
                 feature, doc = text_features(data, offs, cfg)
                 p = chain_probabilities(chain.links, doc, feature, j - i, cfg.bits)
                 yield pa.record_batch(
-                    [batch.column(0).slice(i, j - i), *[pa.array(p[:, k]) for k in range(len(LINKS))],
-                     pa.array(p[:, -1] >= chain.threshold)], names=["doc_id", *[f"p_{x}" for x in LINKS], "toxic"])
+                    [batch.column(0).slice(i, j - i), *[pa.array(p[:, k]) for k in range(len(chain.links))],
+                     pa.array(p[:, -1] >= chain.threshold)], names=["doc_id", *[f"p_{x}" for x in cfg.links], "toxic"])
     return run
 
 
 def score(docs: DataFrame, chain: Chain, cfg: ChainSettings = ChainSettings()) -> DataFrame:
     """One row per input row: doc_id, p_<link> for every link, toxic."""
+    ship_package(docs.sparkSession)
     table = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return table.mapInArrow(_score_pass(chain, cfg), "doc_id long, " + ", ".join(
-        f"p_{x} double" for x in LINKS) + ", toxic boolean")
+        f"p_{x} double" for x in cfg.links) + ", toxic boolean")
 
 
 def reject_toxic(docs: DataFrame, chain: Chain, cfg: ChainSettings = ChainSettings()) -> DataFrame:

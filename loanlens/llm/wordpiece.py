@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ByteHash, text_chunks, word_spans
+from .common import ByteHash, ship_package, text_chunks, word_spans
 
 _LONG_WORD = 256
 
@@ -157,5 +157,6 @@ def _count_pass(automaton: PieceAutomaton):
 
 def token_counts(docs: DataFrame, automaton: PieceAutomaton) -> DataFrame:
     """One row per input row: doc_id, n_words, n_tokens, n_unknown (words that cannot be cut)."""
+    ship_package(docs.sparkSession)
     table = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return table.mapInArrow(_count_pass(automaton), "doc_id long, n_words long, n_tokens long, n_unknown long")

@@ -62,7 +62,7 @@ def test_mix_meets_targets_and_limits(spark, rows):
     for source, group in by.items():
         target, total = group[0].target, sum(r.size for r in group)
         assert group[0].source_size == total
-        assert abs(sum(r.taken for r in group) - target) <= 4 * 64, source
+        assert abs(sum(r.taken for r in group) - target) <= 0.5, source
     again = sorted(mixed(spark, rows[::-1]), key=str)
     assert again == sorted(out, key=str)  # reruns and other layouts agree
 
@@ -93,18 +93,18 @@ def test_small_sources_beside_a_hot_one_meet_their_targets(spark, low, high):
     r = random.Random(high)
     rows = [(k, "w " * 1000, "hot") for k in range(1000)]
     rows += [(2000 + k, " ".join(["w"] * r.randint(low, high)), f"s{k % 300:03d}") for k in range(600)]
-    by = check_exact(mixed(spark, rows, exact=True))
+    by = check_exact(mixed(spark, rows))
     assert len(by) == 301 and all(sum(x.taken for x in g) > 0 for g in by.values())
 
 
-def test_exact_mix_of_odd_rows(spark, rows):
-    out = mixed(spark, rows, exact=True)
+def test_mix_of_odd_rows(spark, rows):
+    out = mixed(spark, rows)
     assert len(out) == len(rows)
     check_exact(out)
-    assert sorted(mixed(spark, rows[::-1], exact=True), key=str) == sorted(out, key=str)
-    check_exact(mixed(spark, rows, exact=True, share=4.2, max_repeats=5), 5)
-    assert mixed(spark, [], exact=True) == []
-    assert [(r.size, r.target, r.taken) for r in mixed(spark, [(1, None, None), (2, "", "a")], exact=True)] == [(0, 0.0, 0)] * 2
+    assert sorted(mixed(spark, rows[::-1]), key=str) == sorted(out, key=str)
+    check_exact(mixed(spark, rows, share=4.2, max_repeats=5), 5)
+    assert mixed(spark, []) == []
+    assert [(r.size, r.target, r.taken) for r in mixed(spark, [(1, None, None), (2, "", "a")])] == [(0, 0.0, 0)] * 2
 
 
 def test_the_pipeline_mixes_to_the_word(spark):
