@@ -12,13 +12,13 @@ from dataclasses import dataclass, replace
 # Fixed values (must equal the analysed pipeline's for identical results)
 # ---------------------------------------------------------------------------
 # Default definition: strictly more than this many days delinquent.
-DEFAULT_DAYS_THRESHOLD = 270
-CV_FOLDS = 5
-RANDOM_STATE = 42
+OVERDUE_DAYS = 270
+FOLD_COUNT = 5
+DEALING_SEED = 42
 LEVEL_CODES = ("UG", "GR")
-MIN_N_DEFAULT = 5
-MIN_N_PROGRAM = 10
-MIN_N_STATE = 10
+SMALLEST_GROUP = 5
+SMALLEST_PROGRAM = 10
+SMALLEST_STATE = 10
 # Income-driven repayment plans, matched on the lower-cased plan name.
 IDR_PATTERN = (
     r"income.based repayment"
@@ -38,7 +38,7 @@ FALLBACK_TOP = 15
 # Above/below band around the overall rate.
 NEAR_BAND = 0.03
 # Subgroup AUC needs at least this many rows (and both classes).
-SUBGROUP_MIN_N = 10
+SMALLEST_SUBGROUP = 10
 
 
 @dataclass(frozen=True)
@@ -46,11 +46,11 @@ class RiskConfig:
     """Parameters of ETL, profiling and segmentation."""
 
     as_of: str = "2026-01-01"              # reference date for age (ISO date)
-    threshold_days: int = DEFAULT_DAYS_THRESHOLD
+    threshold_days: int = OVERDUE_DAYS
     level_codes: tuple[str, ...] = LEVEL_CODES
-    min_n_default: int = MIN_N_DEFAULT
+    min_n_default: int = SMALLEST_GROUP
     min_n_overrides: tuple[tuple[str, int], ...] = (
-        ("state", MIN_N_STATE), ("program", MIN_N_PROGRAM))
+        ("state", SMALLEST_STATE), ("program", SMALLEST_PROGRAM))
     fallback_top: int = FALLBACK_TOP
     near_band: float = NEAR_BAND
     idr_pattern: str = IDR_PATTERN
@@ -72,8 +72,8 @@ class RiskConfig:
 class ModelConfig:
     """Cross-validation and classifier settings (defaults = full settings)."""
 
-    folds: int = CV_FOLDS
-    seed: int = RANDOM_STATE
+    folds: int = FOLD_COUNT
+    seed: int = DEALING_SEED
     rf_trees: int = RF_TREES
     rf_depth: int = RF_DEPTH
     gbt_stages: int = GBT_STAGES
@@ -92,5 +92,5 @@ class ModelConfig:
     checkpoint_interval: int = 10
     # statistics memory of one tree-growing pass (more nodes per pass, fewer jobs)
     tree_memory_mb: int = 1024
-    subgroup_min_n: int = SUBGROUP_MIN_N
+    subgroup_min_n: int = SMALLEST_SUBGROUP
     level_codes: tuple[str, ...] = LEVEL_CODES

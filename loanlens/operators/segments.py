@@ -114,16 +114,22 @@ def apply_min_n(g: DataFrame, top: int, always_fallback: bool = False) -> DataFr
 
     Groups below the segment's min_n are dropped; when no group of a segment
     reaches it (or ``always_fallback``), that segment shows its ``top`` largest
-    groups instead. One window per segment over the counted values (one row
-    per distinct value, largest first) gives both the rank and, as its first
-    row, the segment's maximum, so the counts are read once.
+    groups instead. The segments' maxima are a grouped aggregate. Only segments
+    that fall back are ranked, and by a literal limit: every task cuts its
+    values to the ``top`` largest of each segment before the shuffle, and the
+    merge ranks those, so no task holds all values of a segment.
     """
-    w = Window.partitionBy("segment").orderBy(F.desc("n"), F.asc("value"))
-    ranked = g.withColumn("_rn", F.row_number().over(w)).withColumn("_max", F.first("n").over(w))
-    fallback = F.lit(True) if always_fallback else F.col("_max") < F.col("min_n")
-    shown = F.when(fallback, F.col("_rn") <= top).otherwise(F.col("n") >= F.col("min_n"))
-    return ranked.where(shown).drop("_rn", "_max", "min_n").withColumn(
-        "default_rate", LF.safe_rate("defaults", "n"))
+    rate = LF.safe_rate("defaults", "n")
+    columns = [c for c in g.columns if c != "min_n"]
+    largest = F.row_number().over(Window.partitionBy("segment").orderBy(F.desc("n"), F.asc("value")))
+    if always_fallback:
+        shown = g.withColumn("_rn", largest).where(F.col("_rn") <= top).select(*columns)
+        return shown.withColumn("default_rate", rate)
+    most = g.groupBy("segment").agg(F.max("n").alias("_max"))
+    known = g.join(most, "segment")
+    kept = known.where("_max >= min_n and n >= min_n").select(*columns)
+    fallback = known.where("_max < min_n").withColumn("_rn", largest).where(F.col("_rn") <= top).select(*columns)
+    return kept.unionByName(fallback).withColumn("default_rate", rate)
 
 
 def segment(df: DataFrame, group_col: str, min_n: int = 5, top: int = FALLBACK_TOP,
@@ -136,10 +142,14 @@ def segment(df: DataFrame, group_col: str, min_n: int = 5, top: int = FALLBACK_T
     return apply_min_n(g, top).select("value", "n", "defaults", "default_rate")
 
 
-def segment_rates(clean: DataFrame, cfg: RiskConfig) -> DataFrame:
-    """A11/A12 + D17: default rate per value of the nine segment dimensions."""
-    g = segment_counts(clean, cfg).withColumn("min_n", _min_n(cfg))
-    rates = apply_min_n(g, cfg.fallback_top, cfg.always_fallback)
+def segment_rates(clean: DataFrame, cfg: RiskConfig, keys: tuple[str, ...] | None = None) -> DataFrame:
+    """A11/A12 + D17: default rate per value of the nine segment dimensions, or of some of them."""
+    wanted = tuple(k for k, _ in SEGMENTS) if keys is None else tuple(keys)
+    # the levels are counted in any case, for the overall rate
+    counts = segment_counts(clean, cfg, tuple(dict.fromkeys([*wanted, "level"])))
+    g = counts.withColumn("min_n", _min_n(cfg))
+    shown = g if "level" in wanted else g.where(F.col("segment") != "level")
+    rates = apply_min_n(shown, cfg.fallback_top, cfg.always_fallback)
     # every clean row has a level, so the level counts hold the overall rate;
     # the subquery reuses the counts' shuffle
     overall_rate = g.where(F.col("segment") == "level").select(

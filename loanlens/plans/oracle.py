@@ -12,11 +12,11 @@ from __future__ import annotations
 # with the code it checks
 # ---------------------------------------------------------------------------
 AS_OF = "2026-01-01"
-DEFAULT_DAYS_THRESHOLD = 270
-CV_FOLDS = 5
-RANDOM_STATE = 42
-SUBGROUP_MIN_N = 10
-MIN_N_DEFAULT, MIN_N_PROGRAM, MIN_N_STATE = 5, 10, 10
+OVERDUE_DAYS = 270
+FOLD_COUNT = 5
+DEALING_SEED = 42
+SMALLEST_SUBGROUP = 10
+SMALLEST_GROUP, SMALLEST_PROGRAM, SMALLEST_STATE = 5, 10, 10
 FALLBACK_TOP = 15
 NEAR_BAND = 0.03
 TOP_STATES, TOP_PROGRAMS = 10, 15
@@ -193,7 +193,7 @@ cleanall AS (
          {money('original_loan_amount')} AS original_loan_amount,
          {money('current_balance')} AS current_balance,
          {nn('payment_plan')} AS payment_plan,
-         CAST(coalesce({num('days_delinquent')}, 0) > {DEFAULT_DAYS_THRESHOLD} AS INTEGER) AS default_flag
+         CAST(coalesce({num('days_delinquent')}, 0) > {OVERDUE_DAYS} AS INTEGER) AS default_flag
   FROM conformed
 ),
 clean AS (SELECT {", ".join(FINAL_COLUMNS)} FROM cleanall WHERE valid)"""
@@ -265,8 +265,8 @@ def _segment_rates_ctes(min_n_sql: str) -> list[str]:
 )"""]
 
 
-_DEFAULT_MIN_N = (f"(CASE segment WHEN 'state' THEN {MIN_N_STATE} "
-                  f"WHEN 'program' THEN {MIN_N_PROGRAM} ELSE {MIN_N_DEFAULT} END)")
+_DEFAULT_MIN_N = (f"(CASE segment WHEN 'state' THEN {SMALLEST_STATE} "
+                  f"WHEN 'program' THEN {SMALLEST_PROGRAM} ELSE {SMALLEST_GROUP} END)")
 
 
 def _status_cte() -> str:
@@ -289,7 +289,7 @@ IDR_CTE = f"""idr AS (
 )"""
 
 
-_dealing_text = " || '|' || ".join([f"coalesce(student_id, '') || ':{RANDOM_STATE}'",
+_dealing_text = " || '|' || ".join([f"coalesce(student_id, '') || ':{DEALING_SEED}'",
                                     *(f"coalesce({c}, '')" for c in MODEL_CATEGORIES)])
 
 
@@ -407,11 +407,11 @@ SELECT count(*) AS n, CAST(sum(default_flag) AS BIGINT) AS defaults,
        {rate('sum(default_flag)', 'count(*)')} AS default_rate FROM clean"""
     folds = f"""folds AS (
   SELECT *, CAST((row_number() OVER (PARTITION BY default_flag ORDER BY md5({_dealing_text})) - 1)
-              % {CV_FOLDS} AS INTEGER) AS fold
+              % {FOLD_COUNT} AS INTEGER) AS fold
   FROM clean
 )"""
     out["stratified_folds"] = _with(folds) + "SELECT student_id, default_flag, fold FROM folds"
-    sets = "sets AS (SELECT unnest(range(-1, {0})) AS train_set)".format(CV_FOLDS)
+    sets = "sets AS (SELECT unnest(range(-1, {0})) AS train_set)".format(FOLD_COUNT)
     out["fold_medians"] = _with(folds, sets) + "\nUNION ALL\n".join(
         f"SELECT CAST(train_set AS INTEGER) AS train_set, {q(c)} AS feature, "
         f"quantile_cont(CAST({c} AS DOUBLE), 0.5) AS median "
@@ -452,7 +452,7 @@ FROM (SELECT fold, (SELECT sum(n) FROM per) - n AS n_train,
 )""") + f"""
 SELECT level, n, n1 AS defaults, CAST(n1 AS DOUBLE) / n AS default_rate,
        CAST((rsum - n1 * (n1 + 1) / 2.0) AS DOUBLE) / (CAST(n1 AS DOUBLE) * n0) AS auc
-FROM agg WHERE n >= {SUBGROUP_MIN_N} AND n1 > 0 AND n0 > 0"""
+FROM agg WHERE n >= {SMALLEST_SUBGROUP} AND n1 > 0 AND n0 > 0"""
     metrics = _with(folds, """fs AS (
   SELECT fold, default_flag AS y, -coalesce(gpa, 0.0) AS score,
          CASE WHEN coalesce(gpa, 0.0) < 2.0 THEN 1 ELSE 0 END AS pred

@@ -138,12 +138,12 @@ def q_segment_report(spark, sf_dir):
 
 
 def q_top_segments(spark, sf_dir):
-    return S.top_segments(S.segment_rates(_clean(spark, sf_dir), CFG))
+    return S.top_segments(S.segment_rates(_clean(spark, sf_dir), CFG, ("state", "program")))
 
 
 def q_page_cuts(spark, sf_dir):
     """The states and programs the result page shows."""
-    return S.top_segments(S.segment_rates(_clean(spark, sf_dir), CFG), S.PAGE_CUTS)
+    return S.top_segments(S.segment_rates(_clean(spark, sf_dir), CFG, tuple(k for k, _ in S.PAGE_CUTS)), S.PAGE_CUTS)
 
 
 def q_clean_dataset_colleague(spark, sf_dir):

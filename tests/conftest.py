@@ -20,33 +20,53 @@ def spark():
 
 
 # The two students that FIXTURES.md prescribes, by canonical field.
-STUDENTS = """
-student_id           | U001             | U002
-level                | UG               | GR
-program              | CS               | MBA
-major                | Computer Science | Business
-student_type         | New              | Transfer
-campus_code          | MAIN             | ONLINE
-birth_date           | 2000-05-15       | 1998-03-20
-state                | NH               | ma
-gpa                  | 3.5              | 2.8
-credits_earned       | 60               | 30
-graduated_ind        | Y                | N
-enrollment_status    | EE               | WD
-days_delinquent      | 0                | 300
-num_loans            | 1                | 2
-original_loan_amount | $10,000          | $20,000
-current_balance      | $8,000           | $20,000
-payment_plan         | Standard         | IBR
-"""
+STUDENTS = (
+    {
+        "student_id": "U001",
+        "level": "UG",
+        "program": "CS",
+        "major": "Computer Science",
+        "student_type": "New",
+        "campus_code": "MAIN",
+        "birth_date": "2000-05-15",
+        "state": "NH",
+        "gpa": "3.5",
+        "credits_earned": "60",
+        "graduated_ind": "Y",
+        "enrollment_status": "EE",
+        "days_delinquent": "0",
+        "num_loans": "1",
+        "original_loan_amount": "$10,000",
+        "current_balance": "$8,000",
+        "payment_plan": "Standard",
+    },
+    {
+        "student_id": "U002",
+        "level": "GR",
+        "program": "MBA",
+        "major": "Business",
+        "student_type": "Transfer",
+        "campus_code": "ONLINE",
+        "birth_date": "1998-03-20",
+        "state": "ma",
+        "gpa": "2.8",
+        "credits_earned": "30",
+        "graduated_ind": "N",
+        "enrollment_status": "WD",
+        "days_delinquent": "300",
+        "num_loans": "2",
+        "original_loan_amount": "$20,000",
+        "current_balance": "$20,000",
+        "payment_plan": "IBR",
+    },
+)
 
 
 def banner_rows(**cells):
     """(headers, rows) of the two students; ``cells`` replaces whole columns by header."""
     from loanlens.sources.profiles import get_profile
 
-    by_field = {f: v for f, *v in ([x.strip() for x in line.split("|")] for line in STUDENTS.split("\n") if line)}
-    table = {h: cells.get(h, by_field[f]) for h, f in get_profile("banner").column_map}
+    table = {h: cells.get(h, [s[f] for s in STUDENTS]) for h, f in get_profile("banner").column_map}
     return list(table), list(zip(*table.values()))
 
 

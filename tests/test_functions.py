@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loanlens import functions as LF
-from loanlens.config import DEFAULT_DAYS_THRESHOLD, IDR_PATTERN
+from loanlens.config import OVERDUE_DAYS, IDR_PATTERN
 
 
 def col_values(spark, values, expr_fn, dtype=T.StringType()):
@@ -48,9 +48,9 @@ def test_clean_currency(spark):
 
 def test_default_flag_boundary(spark):
     days = ["269", "270", "271", "0", None, "junk"]
-    got = col_values(spark, days, lambda c: LF.default_flag(LF.delinquent_days(c), DEFAULT_DAYS_THRESHOLD))
+    got = col_values(spark, days, lambda c: LF.default_flag(LF.delinquent_days(c), OVERDUE_DAYS))
     assert got == [0, 0, 1, 0, 0, 0]
-    assert DEFAULT_DAYS_THRESHOLD == 270
+    assert OVERDUE_DAYS == 270
 
 
 def test_na_tokens_to_null(spark):

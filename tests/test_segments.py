@@ -82,3 +82,17 @@ def test_band_order_and_top_k(spark):
     top = S.top_segments(rates, cuts=(("level", 1),)).collect()
     best = max(rates.where(F.col("segment") == "level").collect(), key=lambda r: (r.default_rate, r.n))
     assert len(top) == 1 and top[0].value == best.value and top[0].seg_rank == 1
+
+
+def test_a_segment_with_many_values_is_cut_in_every_task(spark):
+    g = (spark.range(200_000).selectExpr(
+        "'wide' AS segment", "cast(id AS string) AS value", "-1 AS band_ord",
+        "cast(1 + id % 4 AS bigint) AS n", "0L AS defaults", "5 AS min_n").repartition(16)
+        .union(spark.sql("SELECT 'small', 'a', -1, 9L, 3L, 5 UNION ALL SELECT 'small', 'b', -1, 2L, 0L, 5")))
+    shown = S.apply_min_n(g, 15)
+    rows = shown.collect()
+    assert {(r.value, r.n) for r in rows if r.segment == "small"} == {("a", 9)}
+    wide = [r.value for r in rows if r.segment == "wide"]
+    assert sorted(wide) == sorted(sorted(str(i) for i in range(200_000) if i % 4 == 3)[:15])
+    plan = shown._jdf.queryExecution().toString()
+    assert plan.count("WindowGroupLimit") >= 2 and "Partial" in plan   # before the shuffle and after it
