@@ -164,3 +164,26 @@ def test_any_pair_table(spark):
     pairs = spark.createDataFrame([("p", 9, 7)], "pair_id string, chosen_id long, rejected_id long")
     r = format_preferences(pairs, df).first()
     assert r.n_common == 1 and "b" in r.chosen and "a" in r.rejected
+
+
+def test_a_pair_without_turns_stays(spark):
+    pairs = spark.createDataFrame([(1, 4, 5), (2, 8, 9)], "pair_id long, chosen_id long, rejected_id long")
+    turns = spark.createDataFrame([(8, 0, "user", "hi")], "conv_id long, turn long, role string, text string")
+    got = {r.pair_id: r for r in preference_report(pairs, turns).collect()}
+    assert sorted(got) == [1, 2]
+    assert (got[1].n_common, got[1].prompt, got[1].chosen, got[1].rejected, got[1].chosen_loss) == (0, "", "", "", "")
+
+
+def test_every_slot_reads_one_block_and_all_blocks_make_the_target(spark):
+    from loanlens.llm.mixing import blocks_read, schedule
+
+    sizes = spark.createDataFrame([("a", 9_000), ("b", 40), ("c", 3), ("d", 1)], "source string, size long")
+    targets = source_targets(sizes).cache()
+    slots = schedule(targets, 1.5 * 9_044, 64).cache()
+    per = {r.src: r.n for r in slots.groupBy("src").count().withColumnRenamed("count", "n").collect()}
+    assert set(per) == {0, 1, 2, 3} and per[0] > 100
+    for src, n in per.items():       # ranks are 0, 1, 2, ...
+        assert sorted(r.pick for r in slots.where(f"src = {src}").collect()) == list(range(n))
+    words = {r.src: r.w for r in blocks_read(slots, targets).selectExpr("src", "end - begin AS w").groupBy("src").sum("w")
+             .withColumnRenamed("sum(w)", "w").collect()}
+    assert words == {r.src: int(r.target + 0.5) for r in targets.collect()}

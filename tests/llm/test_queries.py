@@ -29,7 +29,9 @@ def test_sql_parity(spark, con, name):
     ("op7_exact_dedup", "doc_id keep_id group_size kept text_sha256", "documents"),
     ("op8_decontamination", "doc_id n_words n_hit n_items items_sha256 contaminated", "documents"),
     ("op9_suffix_dedup", "doc_id n_bytes n_removed n_spans kept_sha256", "documents"),
-    ("op10_secret_scan", "doc_id n_assign n_access n_hex base_sha256 spans", "documents")])
+    ("op10_secret_scan", "doc_id n_assign n_access n_hex base_sha256 spans", "documents"),
+    ("op11_token_files", "doc_id start n_tokens ids_crc32", "documents"),
+    ("op13_centroid_clustering", "vec_id cluster distance cluster_inertia inertia centroid_sha256", "embeddings")])
 def test_one_row_per_input_row(spark, name, columns, table):
     df = QUERIES[name](spark, SMALL)
     assert set(columns.split()) <= set(df.columns)
@@ -72,3 +74,32 @@ def test_pipeline_run_and_an_empty_table(spark, tmp_path):
     for name in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{SMALL}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def _docs(spark, rows):
+    return spark.createDataFrame([(i, t, "en", s, 7) for i, t, s in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+
+
+def test_stages_decide_per_id_and_text(spark, tmp_path):
+    text = " ".join(f"w{k}" for k in range(40))
+    item = " ".join(f"b{k}" for k in range(12))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+
+    def after(stage, rows):
+        kept = stage(spark, _docs(spark, rows), str(tmp_path))
+        assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+        return sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+
+    rows = [(5, "same", "a"), (5, "other text only here", "a"), (9, "same", "a"), (None, "same", "a"), (None, "alone", "b"),
+            (None, "alone", "c"), (7, "twice", "a"), (7, "twice", "a"), (None, None, "a"), (3, "", "a")]
+    assert after(corpus_pipeline.drop_exact_copies, rows) == sorted([
+        (5, "other text only here"), (9, "same"), (None, "alone"), (7, "twice"), (3, "")], key=str)
+    rows = [(5, text, "a"), (5, "free of links", "a"), (6, text + " x", "a"), (None, text + " y", "a"), (None, "z", "a")]
+    assert after(corpus_pipeline.drop_near_copies, rows) == sorted([
+        (6, text + " x"), (5, "free of links"), (None, "z")], key=str)
+    rows = [(5, "see " + item, "a"), (5, "clean words", "a"), (None, item + " !", "a"), (None, "clean too", "a"), (8, None, "a")]
+    assert after(corpus_pipeline.drop_contaminated, rows) == sorted([
+        (5, "clean words"), (None, "clean too"), (8, None)], key=str)
+    mixed = corpus_pipeline.mix(spark, _docs(spark, rows), str(tmp_path)).collect()
+    assert len(mixed) == 5 and all(0 <= r.taken <= 2 * r.size for r in mixed)

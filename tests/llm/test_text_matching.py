@@ -187,3 +187,47 @@ def test_links_across_many_size_bands(spark):
     got = {r.doc_id: r for r in similarity_classes(docs, words=1, threshold=20).collect()}
     assert got[2].component_id == 1 and got[1].n_links == got[2].n_links == 1 and got[3].component_id == 3
     assert jaccard_join.bands_back(jaccard_join.plan_bands(100_000, 20)) == 4
+
+
+def thue_morse(n, a="a", b="b"):
+    return "".join(b if bin(k).count("1") % 2 else a for k in range(n))
+
+
+def test_long_words_that_collide_in_sums_are_told_apart(spark):
+    one, two = thue_morse(2048), thue_morse(2048, "b", "a")
+    got = {r.doc_id: (r.component_id, r.n_links) for r in similarity_classes(
+        frame(spark, [(1, one), (2, two), (3, one + " x"), (4, two + " x")]), 3, 90).collect()}
+    assert got == {i: (i, 0) for i in (1, 2, 3, 4)}
+
+
+def test_reordered_windows_are_not_near(spark):
+    item = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
+    w = item.split()
+    rows = [(1, item), (2, " ".join(w[::-1])), (3, " ".join([w[1], w[0], *w[2:]])), (4, " ".join(w[5:] + w[:5])),
+            (5, " ".join(w[:4] + ["x", "y"] + w[4:])), (6, " ".join(w[:4] + ["x", "y", "z"] + w[4:]))]
+    bench = spark.createDataFrame([(9, item)], "item_id long, text string")
+    got = {r.doc_id: (r.n_hit, r.n_near_items) for r in contamination(frame(spark, rows), bench).collect()}
+    assert got[1] == (10, 0) and got[3] == (0, 1)
+    assert got[2] == got[4] == got[6] == (0, 0) and got[5][0] == 0
+
+
+def test_rows_without_an_id_or_with_a_shared_one_are_documents_too(spark, near_rows):
+    text = " ".join(f"w{k}" for k in range(40))
+    close = text + " and"
+    rows = [(5, text), (5, "other words only here, never seen " * 3), (9, close), (None, text), (None, "lonely " * 9), (None, None), (7, "q r s")]
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id, r.n_links) for r in
+                  similarity_classes(frame(spark, rows), 5, 80).collect()), key=str)
+    assert got == sorted([(5, 36, 5, 2), (5, 6, 5, 0), (9, 37, 5, 2), (None, 36, 5, 2), (None, 1, None, 0), (None, 0, None, 0),
+                          (7, 1, 7, 0)], key=str)
+    bench = spark.createDataFrame([(1, " ".join(f"w{k}" for k in range(12)))], "item_id long, text string")
+    hits = sorted(((r.doc_id, r.n_hit) for r in contamination(frame(spark, rows), bench).collect()), key=str)
+    assert hits == sorted([(5, 12), (5, 0), (9, 12), (None, 12), (None, 0), (None, 0), (7, 0)], key=str)
+
+
+def test_a_hot_text_and_very_long_texts(spark):
+    long = "lorem ipsum " * 60_000
+    rows = [(i, "the same") for i in range(3000)] + [(i, f"own {i}") for i in range(3000, 4000)] + [
+        (5000, long), (5001, long), (5002, long + "x")]
+    got = {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in exact_duplicates(frame(spark, rows)).collect()}
+    assert got[0] == (2999, 3000, False) and got[2999] == (2999, 3000, True) and got[3500] == (3500, 1, True)
+    assert got[5000] == (5001, 2, False) and got[5002] == (5002, 1, True) and len(got) == 4003
