@@ -47,6 +47,8 @@ class RiskConfig:
 
     as_of: str = "2026-01-01"              # reference date for age (ISO date)
     threshold_days: int = OVERDUE_DAYS
+    # order of the numbers in dates that end with the year; a full run votes on it (operators.dates)
+    day_first: bool = False
     level_codes: tuple[str, ...] = LEVEL_CODES
     min_n_default: int = SMALLEST_GROUP
     min_n_overrides: tuple[tuple[str, int], ...] = (

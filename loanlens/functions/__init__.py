@@ -96,26 +96,43 @@ def na_to_null(c: ColumnOrName) -> Column:
     return F.when(~s.isin(*NA_TOKENS), s)
 
 
-# Dates as exports write them: year first or month first, padded or not, with
-# an optional time of day that does not matter here.
+# Dates as exports write them: three numbers with one kind of separator, or eight
+# digits, padded or not, with an optional time of day that does not matter here.
 _TIME = r"(?:[T ]\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?(?: ?[AaPp][Mm])?(?:Z|[+-]\d{2}:?\d{2})?)?"
-YEAR_FIRST = rf"^(\d{{4}})([-/])(\d{{1,2}})\2(\d{{1,2}}){_TIME}$"
-MONTH_FIRST = rf"^(\d{{1,2}})([-/])(\d{{1,2}})\2(\d{{4}}){_TIME}$"
+DATE_SHAPE = rf"^(\d{{1,4}}([-/.])\d{{1,2}}\2\d{{1,4}}|\d{{8}}){_TIME}$"
 
 
-def parse_date(c: ColumnOrName) -> Column:
-    """Date of a year-first or month-first text; otherwise null (never fails).
+def date_parts(c: ColumnOrName) -> Column:
+    """The numbers of a date text in the order written (eight digits: one element); empty for other texts."""
+    core = F.regexp_extract(normalize_str(c), DATE_SHAPE, 1)
+    return F.when(core != "", F.split(core, "[-/.]"))
 
-    The text's shape picks one rearrangement, so each row is parsed once.
-    """
-    s = normalize_str(c)
 
-    def parts(pattern: str, order: tuple[int, int, int]) -> Column:
-        return F.concat_ws("-", *[F.regexp_extract(s, pattern, k) for k in order])
+def _date(parts: Column, order: tuple[int, int, int]) -> Column:
+    return F.to_date(F.try_to_timestamp(F.concat_ws("-", *[F.get(parts, F.lit(k)) for k in order]), F.lit("yyyy-M-d")))
+
+
+def year_first(parts: Column) -> Column:
+    return F.coalesce((F.size(parts) == 3) & (F.length(F.get(parts, F.lit(0))) == 4)
+                      & (F.length(F.get(parts, F.lit(2))) <= 2), F.lit(False))
+
 
-    plain = (F.when(s.rlike(YEAR_FIRST), parts(YEAR_FIRST, (1, 3, 4)))
-             .when(s.rlike(MONTH_FIRST), parts(MONTH_FIRST, (4, 1, 3))))
-    return F.to_date(F.try_to_timestamp(plain, F.lit("yyyy-M-d")))
+def year_last(parts: Column) -> Column:
+    return F.coalesce((F.size(parts) == 3) & (F.length(F.get(parts, F.lit(0))) <= 2)
+                      & (F.length(F.get(parts, F.lit(2))) == 4), F.lit(False))
+
+
+def parse_date(c: ColumnOrName, day_first: bool = False) -> Column:
+    """Date of a text that begins or ends with its year; otherwise null (never fails).
+
+    ``day_first`` reads the two numbers before a final year as day and month;
+    :func:`loanlens.operators.dates.date_order` finds out which a column has.
+    """
+    parts = date_parts(c)
+    packed = F.to_date(F.try_to_timestamp(F.get(parts, F.lit(0)), F.lit("yyyyMMdd")))
+    return (F.when(year_first(parts), _date(parts, (0, 1, 2)))
+            .when(year_last(parts), _date(parts, (2, 1, 0) if day_first else (2, 0, 1)))
+            .when(F.size(parts) == 1, packed))
 
 
 def age_years(birth: ColumnOrName, as_of: str) -> Column:

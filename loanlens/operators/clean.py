@@ -53,7 +53,7 @@ def with_clean_columns(conformed: DataFrame, profile: Profile, cfg: RiskConfig)
         LF.na_to_null("campus_code").alias("_campus_code"),
         F.upper(LF.na_to_null("state")).alias("_state"),
         LF.na_to_null("payment_plan").alias("_payment_plan"),
-        LF.age_years(LF.parse_date("birth_date"), cfg.as_of).alias("_age"),
+        LF.age_years(LF.parse_date("birth_date", cfg.day_first), cfg.as_of).alias("_age"),
         LF.to_numeric("gpa").alias("_gpa"),
         LF.to_numeric("credits_earned").alias("_credits_earned"),
         LF.to_numeric("num_loans").alias("_num_loans"),

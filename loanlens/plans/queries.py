@@ -18,6 +18,7 @@ from loanlens.operators import clean as C
 from loanlens.operators import eda as E
 from loanlens.operators import segments as S
 from loanlens.operators.conform import conform, reject_report
+from loanlens.operators.dates import date_order
 from loanlens.operators.folds import fold_class_weights, stratified_folds
 from loanlens.operators.ranking import subgroup_auc
 from loanlens.sources.fixture import as_profile, raw_borrowers
@@ -152,6 +153,11 @@ def q_clean_dataset_colleague(spark, sf_dir):
     return C.clean_dataset(as_profile(_raw(spark, sf_dir), prof), prof, CFG)
 
 
+def q_date_order(spark, sf_dir):
+    """The vote on the order of the birth dates' numbers, over all rows of the export."""
+    return date_order(conform(_raw(spark, sf_dir), PROFILE), "birth_date")
+
+
 def q_overall_rate(spark, sf_dir):
     return S.overall(_clean(spark, sf_dir))
 
@@ -293,6 +299,7 @@ SQL_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fold_categories": q_fold_categories,
     "importance_fixed_score": q_importance_fixed_score,
     "page_cuts": q_page_cuts,
+    "date_order": q_date_order,
 }
 
 

@@ -7,6 +7,8 @@ from collections import Counter
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from loanlens.sources.quoted_csv import header_groups, read_group
+
 ALLOWED_FORMATS = ("csv", "parquet", "json")
 
 
@@ -33,13 +35,60 @@ def csv_header(spark: SparkSession, path: str, multi_line: bool = True) -> list[
 def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """CSV export with every cell as text and the header exactly as written.
 
-    Files of a folder must share one header: a differing one fails the read
-    instead of filling the wrong columns. Headers that differ only in case
-    stay two columns. ``multi_line`` allows line breaks inside quotes and makes
-    a file one task; switch it off for huge files without such cells.
+    Quoted cells may hold line breaks, and a file is still read by several tasks
+    (:mod:`.quoted_csv`). Files of a folder may order their columns
+    differently; files that don't have the same columns fail the read (a
+    profile may unite them, see :func:`read_exports`). Headers that differ
+    only in case stay two columns. ``multi_line=False`` takes every line for a
+    row, for exports with lone quotes.
+    """
+    if not multi_line:
+        return _read_lines(spark, path)
+    groups, parity = header_groups(spark, path)
+    if not groups:
+        return spark.createDataFrame([], T.StructType([]))
+    parts = [read_group(spark, names, files, parity) for names, files in groups]
+    first = groups[0][0]
+    for names, files in groups[1:]:
+        if sorted(names) != sorted(first) or len(set(names)) < len(names):
+            raise ValueError(f"header of {files[0]} has other columns than that of {groups[0][1][0]}: "
+                             f"{', '.join(sorted(set(names) ^ set(first)))}")
+    whole = parts[0]
+    for part, (names, _) in zip(parts[1:], groups[1:]):     # by position: names may differ only in case
+        at = {n: k for k, n in enumerate(names)}
+        order = part.toDF(*[f"_{k}" for k in range(len(names))])
+        whole = whole.union(order.select(*[f"_{at[n]}" for n in first]).toDF(*first))
+    return whole
+
+
+def read_exports(spark: SparkSession, path: str, profile) -> DataFrame:
+    """P1-P4 on a folder whose files differ in header spelling, order and further columns.
+
+    Every group of files with one header is conformed by itself; the profile's
+    columns are united by canonical name. Headers missing from any group are
+    reported together.
     """
-    names = csv_header(spark, path, multi_line)
-    reader = _csv_reader(spark, multi_line).option("header", True)
+    from loanlens.operators.conform import HeaderError, conform
+
+    groups, parity = header_groups(spark, path)
+    canonical = [c for _, c in profile.column_map]
+    parts, problems = [], []
+    for names, files in groups:
+        try:
+            parts.append(conform(read_group(spark, names, files, parity), profile).select(*canonical))
+        except HeaderError as err:
+            problems.append(f"{len(files)} file(s) such as {files[0]}: {err}")
+    if problems or not parts:
+        raise HeaderError("; ".join(problems) or f"no file in {path}")
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole
+
+
+def _read_lines(spark: SparkSession, path: str) -> DataFrame:
+    names = csv_header(spark, path, False)
+    reader = _csv_reader(spark, False).option("header", True)
     if max(Counter(n.lower() for n in names).values(), default=0) > 1:
         # such a header cannot be a Spark schema: read by position, name afterwards
         schema = T.StructType([T.StructField(f"_{k}", T.StringType()) for k in range(len(names))])

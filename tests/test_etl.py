@@ -174,8 +174,10 @@ def test_read_raw_keeps_headers_that_differ_in_case(spark, tmp_path):
         conform(text_df(spark, unclear, [(*r, "x") for r in rows]), BANNER)
 
 
-def test_files_of_a_folder_must_share_their_header(spark, tmp_path):
+def test_files_of_a_folder_may_order_their_columns_differently(spark, tmp_path):
     (tmp_path / "a.csv").write_text("ID,GPA\n1,2\n")
     (tmp_path / "b.csv").write_text("GPA,ID\n3,4\n")
+    assert {(r.ID, r.GPA) for r in read_raw(spark, str(tmp_path), "csv").collect()} == {("1", "2"), ("4", "3")}
+    (tmp_path / "c.csv").write_text("ID,Other\n5,6\n")
     with pytest.raises(Exception, match="(?i)header"):
         read_raw(spark, str(tmp_path), "csv").collect()

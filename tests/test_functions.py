@@ -105,8 +105,10 @@ def test_parse_date_and_age(spark):
     same_day = ["2000-05-15", "05/15/2000", "5/15/2000", "2000-5-15", "2000/05/15", "2000-05-15T00:00:00",
                 "2000-05-15 00:00:00.0", "2000-05-15T10:20:30Z", " 5/15/2000 12:00 AM "]
     assert col_values(spark, same_day, lambda c: LF.parse_date(c).cast("string")) == ["2000-05-15"] * len(same_day)
-    assert col_values(spark, ["2000-13-01", "2/30/2000", "15.05.2000", "2000-05", "20000515", ""],
-                      LF.parse_date) == [None] * 6
+    assert col_values(spark, ["2000-13-01", "2/30/2000", "15.05.2000", "2000-05", "15/05-2000", "5/15/00", "20001341", "", "1/2/3"],
+                      LF.parse_date) == [None] * 9
+    first = ["15/05/2000", "15.05.2000", "15-5-2000 10:00", "2000-05-15", "20000515", "2000.5.15"]
+    assert col_values(spark, first, lambda c: LF.parse_date(c, day_first=True).cast("string")) == ["2000-05-15"] * 6
     got = col_values(spark, ["2000-05-15", "05/15/2000", "unknown", None],
                      lambda c: LF.age_years(LF.parse_date(c), "2026-01-01"))
     assert got == [25.0, 25.0, None, None]
@@ -135,3 +137,17 @@ def test_display_view_rounds_half_to_even_and_keeps_the_rest(spark):
     df = spark.createDataFrame([("x", 3, 0.00025), ("y", 4, 0.00035)], "a string, n int, v double")
     assert [tuple(r) for r in display_view(df).collect()] == [
         ("x", 3, 0.0002), ("y", 4, 0.0004)]
+
+
+@pytest.mark.parametrize("texts, order, ambiguous, counts", [
+    (["03/04/1999", "13/04/1999", "1999-04-03", "unknown", "nonsense", None], "day", False, (1, 0, 1, 2, 2)),
+    (["03/04/1999", "04/13/1999", "19990403"], "month", False, (0, 1, 2, 1, 0)),
+    (["03/04/1999", "1.2.1999"], "month", True, (0, 0, 2, 2, 0)),
+    (["1999-04-03", ""], "month", False, (1, 0, 0, 0, 0)),
+    ([], "month", False, (0, 0, 0, 0, 0))])
+def test_columns_vote_on_the_order_of_their_dates(spark, texts, order, ambiguous, counts):
+    from loanlens.operators.dates import COUNTS, date_order
+
+    df = spark.createDataFrame([(t,) for t in texts], "b string")
+    got = date_order(df, "b").first()
+    assert (got.date_order, got.ambiguous, tuple(got[c] for c in COUNTS)) == (order, ambiguous, counts)

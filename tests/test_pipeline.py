@@ -40,3 +40,36 @@ def test_pipeline_names_failing_step(spark, tmp_path):
     with pytest.raises(PipelineError) as err:
         run_pipeline(spark, raw, str(tmp_path / "bad"), model=None)
     assert err.value.step == "etl" and "missing 1 column" in str(err.value)
+
+
+def test_a_run_that_dies_leaves_the_last_version_readable(spark, tmp_path, monkeypatch):
+    from loanlens.plans import pipeline
+    from loanlens.sources.commit import manifest, newest, read_result
+
+    out, raw = str(tmp_path / "run"), raw_borrowers(spark, SMALL)
+    with pytest.raises(LookupError):
+        read_result(spark, out, "segment_rates")
+    first = run_pipeline(spark, raw, out, model=None)
+    rates = {tuple(r) for r in read_result(spark, out, "segment_rates", check=True).collect()}
+    assert first.summary["version"] == 1 and len(rates) > 20
+
+    monkeypatch.setattr(pipeline.S, "status_rates", lambda clean: 1 / 0)       # dies between tables
+    with pytest.raises(PipelineError):
+        run_pipeline(spark, raw.limit(100), out, model=None)
+    assert {tuple(r) for r in read_result(spark, out, "segment_rates", check=True).collect()} == rates
+    assert newest(spark, out).select("version").distinct().count() == 1
+    monkeypatch.undo()
+    second = run_pipeline(spark, raw.limit(300), out, model=None)
+    assert second.summary["version"] == 2 and manifest(spark, out).select("version").distinct().count() == 2
+    assert read_result(spark, out, "dataset", check=True).count() < 301
+
+
+def test_fingerprints_go_by_content_alone(spark):
+    from loanlens.sources.commit import fingerprint, same_content
+
+    df = spark.createDataFrame([(1, None, 0.0), (None, 1, 2.5), (3, 3, None), (3, 3, None)], "a int, b int, c double")
+    assert same_content(df, df.repartition(3).orderBy("c"))
+    assert same_content(df, df.withColumn("c", -(-df.c)))
+    for other in (df.select(df.b.alias("a"), df.a.alias("b"), "c"), df.distinct(), df.limit(3), df.withColumn("c", df.c + 1)):
+        assert not same_content(df, other)
+    assert fingerprint(df.limit(0)).first()[0] == 0
