@@ -3,13 +3,18 @@
 A tolerant tokenizer turns a page into its tree of block elements; each run of
 inline content is a text leaf. Every node is a binary variable, content or
 boilerplate. Unary potentials come from the node's tag, names (class, id,
-role), link share, length and punctuation; a 2x2 potential couples a child to
-its parent (one table for elements, one for text leaves). Sum-product messages
+role), link share, length and punctuation, and from what needs no names: how
+much of the page's text and prose a block holds, next to its largest sibling
+too, where on the page it begins, and how often its shape repeats among its
+siblings (as list entries and reader comments do). A 2x2 potential couples a
+child to its parent (one table for elements, one for text leaves). Sum-product messages
 go up from the leaves and down from the roots, which gives exact marginals on
 a tree; leaves whose content marginal reaches one half are the main text. The
 weights maximise the exact likelihood of labelled pages, with the same message
 passing giving the expected counts. The labelled pages are composed here from
-common page parts (:func:`labelled_pages`), each part carrying its label.
+common page parts (:func:`labelled_pages`), each part carrying its label, in
+several layouts; a good part of them has hashed, foreign or no names, so that
+structure alone must tell.
 
 Scale: training reads a fixed number of labelled pages on the driver and ships
 a few hundred weights; extraction is one narrow pass, message passing runs
@@ -36,6 +41,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -190,27 +196,64 @@ def _bucket(n: int) -> int:
     return min(n.bit_length(), 11)
 
 
+#: Characters from which a text that ends a sentence counts as prose.
+_PROSE = 60
+
+
+def _few(n: int) -> int:
+    return n if n < 3 else 3 if n < 6 else 6
+
+
 def node_features(tree: Tree) -> list[list[str]]:
     """Feature names per node."""
     n = len(tree.parent)
-    size, linked = [0] * n, [0] * n
-    for v in range(n - 1, -1, -1):
+    size, linked, prose, begins = [0] * n, [0] * n, [0] * n, [0] * n
+    below: list[list[int]] = [[] for _ in range(n)]
+    at = 0
+    for v in range(n):
+        begins[v] = at
         if tree.text[v] is not None:
-            size[v], linked[v] = len(tree.text[v]), tree.link[v]
+            at += len(tree.text[v])
         if tree.parent[v] >= 0:
-            size[tree.parent[v]] += size[v]
-            linked[tree.parent[v]] += linked[v]
+            below[tree.parent[v]].append(v)
+    whole = max(at, 1)
+    for v in range(n - 1, -1, -1):
+        text = tree.text[v]
+        if text is not None:
+            size[v], linked[v] = len(text), tree.link[v]
+            prose[v] = int(size[v] >= _PROSE and text[-1] in '.!?"\u201d\u3002' and 3 * linked[v] < size[v])
+        if tree.parent[v] >= 0:
+            for count in (size, linked, prose):
+                count[tree.parent[v]] += count[v]
+    # shape of an element: its tag and those of its first children; paragraphs side by side are no repetition
+    shape = [(tree.tag[v], *[tree.tag[c] for c in below[v][:3]]) for v in range(n)]
+    repeats, beside = [0] * n, [False] * n
+    for v in range(n):
+        same: dict[tuple, int] = {}
+        for c in below[v]:
+            if tree.text[c] is None and tree.tag[c] != "p":
+                same[shape[c]] = same.get(shape[c], 0) + 1
+        most = max((size[c] for c in below[v]), default=0)
+        for c in below[v]:
+            repeats[c] = same.get(shape[c], 1) if tree.text[c] is None and tree.tag[c] != "p" else 0
+            beside[c] = size[c] == most
     out = []
     for v in range(n):
         share = -1 if not size[v] else 10 * linked[v] // size[v] // 3
         text = tree.text[v]
+        place = 4 * begins[v] // whole
         if text is None:
-            out.append([f"tag {tree.tag[v]}", f"links {share}", *(f"name {w}" for w in names_in(tree.attrs[v]))])
+            held = 4 * size[v] // whole
+            out.append([f"tag {tree.tag[v]}", f"links {share}", f"only links {share == 3} {held}", f"prose {_few(prose[v])} {held}",
+                        f"largest {beside[v]} {_few(prose[v])}", f"repeats {_few(repeats[v])} {share > 0}",
+                        f"place {place} {prose[v] > 0}", *(f"name {w}" for w in names_in(tree.attrs[v]))])
         else:
             low = text.lower()
             legal = "©" in text or "copyright" in low or "all rights reserved" in low or "cookies" in low
-            out.append([f"text in {tree.tag[tree.parent[v]]}", f"text links {share}", f"text size {_bucket(size[v])}",
-                        f"text stop {text[-1] in '.!?'}", f"text legal {legal}"])
+            p = tree.parent[v]
+            out.append([f"text in {tree.tag[p]}", f"text links {share}", f"text size {_bucket(size[v])}",
+                        f"text stop {text[-1] in '.!?'}", f"text legal {legal}", f"text prose {prose[v]} {_few(prose[p])}",
+                        f"text repeats {_few(repeats[p])}", f"text only links {share == 3} {tree.tag[p]}"])
     return out
 
 
@@ -284,7 +327,7 @@ class TreeModel:
 
 
 def train(trees: list[Tree], states: list[list[int]], rounds: int = 200, rate: float = 0.1,
-          shrink: float = 0.02) -> TreeModel:
+          shrink: float = 0.008) -> TreeModel:
     """Maximum likelihood with an L2 penalty by Adam steps on exact gradients."""
     vocabulary: dict[str, int] = {}
     forest = forest_of(trees, vocabulary, grow=True)
@@ -335,6 +378,26 @@ class _Composer:
 
     def __init__(self, seed: int):
         self.r = random.Random(seed)
+        roll = self.r.random()
+        # usual names, hashed ones, unknown words, or none at all
+        self.naming = "usual" if roll < 0.6 else "hashed" if roll < 0.74 else "foreign" if roll < 0.84 else "none"
+        self.plain = self.naming != "usual" and self.r.random() < 0.7      # divs in place of telling tags
+        self.dull = False
+        self.of = {}
+
+    def named(self, word: str, key: str = "class") -> str:
+        """An attribute with a name, as this page writes names; equal words give equal ones."""
+        if self.naming == "none":
+            return ""
+        if self.naming != "usual":
+            long = self.naming == "foreign"
+            letters = "aeiounrstlkmdgz" if long else "abcdefghijklmnopqrstuvwxyz0123456789"
+            word = self.of.setdefault(word, "".join(self.r.choice(letters) for _ in range(self.r.randint(5, 14) if long else 7)))
+            word = word if long else "css-" + word
+        return f" {key}='{word}'"
+
+    def tag(self, tag: str) -> str:
+        return "div" if self.plain and tag in ("nav", "header", "footer", "aside", "section", "article", "main") else tag
 
     def words(self, low: int, high: int) -> str:
         r = self.r
@@ -343,6 +406,10 @@ class _Composer:
         return " ".join(out)
 
     def prose(self, low: int = 4, high: int = 70) -> str:
+        if self.dull and low < 9:      # articles of scraps: single words, repeated words, rows of marks
+            return self.r.choice((self.words(1, 2) + ".", (self.words(1, 1) + " ") * self.r.randint(2, 60),
+                                  self.r.choice((" | ", "*** ", " ### ")).join([self.words(1, 1)] * self.r.randint(2, 20)),
+                                  self.words(3, 14), self.words(3, 14) + "."))
         return self.words(low, high) + self.r.choice(["."] * 8 + ["!", "", " |", "***"])
 
     def links(self, n: int, item: str = "li") -> str:
@@ -350,15 +417,20 @@ class _Composer:
 
     def aside(self, kind: str) -> str:
         r = self.r
-        tag = r.choice(_ASIDE_TAGS[kind])
-        name = f" class='{r.choice(_ASIDE_NAMES[kind])}'" if tag in ("div", "section", "p", "ol", "ul") or r.random() < 0.5 else ""
+        tag = self.tag(r.choice(_ASIDE_TAGS[kind]))
+        name = (self.named(r.choice(_ASIDE_NAMES[kind]), r.choice(("class", "class", "id")))
+                if tag in ("div", "section", "p", "ol", "ul") or r.random() < 0.5 else "")
         if tag in ("ul", "ol") or kind in ("nav", "share"):
             inner = self.links(r.randint(2, 9)) if tag in ("ul", "ol") else f"<ul>{self.links(r.randint(2, 9))}</ul>"
         elif kind == "form":
             inner = f"<label>{self.words(1, 3)}</label><input><p>{self.words(2, 9)}</p>"
+        elif kind == "comments" and self.naming == "usual" and r.random() < 0.4:
+            inner = "".join(f"<p>{self.prose(3, 50)}</p>" for _ in range(r.randint(1, 6)))
         elif kind == "comments":
-            inner = f"<h3>{self.words(1, 3)}</h3>" + "".join(
-                f"<div class='{r.choice(('comment', 'reply', 'c'))}'><p>{self.prose(3, 50)}</p></div>" for _ in range(r.randint(1, 5)))
+            inner = r.choice(("", f"<h3>{self.words(1, 3)}</h3>")) + "".join(
+                f"<div{self.named('comment')}>{by}<p>{self.prose(3, 50)}</p></div>"
+                for by in [r.choice(("", f"<b>{self.words(1, 2)}</b>", f"<h4>{self.words(1, 2)}</h4>"))]
+                for _ in range(r.randint(1, 6) if self.naming == "usual" else r.randint(2, 6)))
         elif kind == "header":
             inner = r.choice((f"<h1>{self.words(1, 3)}</h1>", f"<p>{self.words(2, 6)}</p>", f"<a href='/'>{self.words(1, 2)}</a>"))
             inner += r.choice(("", f"<ul>{self.links(4)}</ul>"))
@@ -372,13 +444,15 @@ class _Composer:
 
     def main(self) -> str:
         r, out = self.r, []
+        self.dull = r.random() < 0.3
+        para = "div" if self.plain and r.random() < 0.4 else "p"
         if r.random() < 0.85:
             out.append(r.choice((f"<h1>{self.words(2, 9)}</h1>", f"<header><h1>{self.words(2, 9)}</h1></header>")
                                 if r.random() < 0.3 else (f"<h1>{self.words(2, 9)}</h1>",)))
         for _ in range(r.randint(1, 9)):
             roll = r.random()
             if roll < 0.66:
-                out.append(f"<p>{self.prose(1, 90)}</p>" if roll < 0.5 else f"<p><b>{self.prose(1, 40)}<br><p>{self.prose()}</p>")
+                out.append(f"<{para}>{self.prose(1, 90)}</{para}>" if roll < 0.5 or para == "div" else f"<p><b>{self.prose(1, 40)}<br><p>{self.prose()}</p>")
             elif roll < 0.74:
                 out.append(f"<h2>{self.words(1, 6)}</h2>")
             elif roll < 0.82:
@@ -399,12 +473,14 @@ class _Composer:
                 out.append(self.aside(r.choice(("ad", "aside", "share", "notice", "form"))))
         if r.random() < 0.2:
             out.append(self.aside("comments"))
-        inner = "".join(out)
+        inner, self.dull = "".join(out), False
         name = r.choice(_MAIN_NAMES)
-        shell = r.choice(("<article data-y=1>{}</article>", "<article data-y=1>{}</article>", "<main data-y=1>{}</main>",
-                          "<div class='%s' data-y=1>{}</div>" % name, "<div id='%s' data-y=1>{}</div>" % name,
-                          "<section class='%s' data-y=1>{}</section>" % name, "<div data-y=1>{}</div>", "{}",
-                          "<main data-y=1><article data-y=1>{}</article></main>"))
+        article, main, section = (self.tag(t) for t in ("article", "main", "section"))
+        shell = r.choice((f"<{article} data-y=1>{{}}</{article}>", f"<{article} data-y=1>{{}}</{article}>",
+                          f"<{main} data-y=1>{{}}</{main}>", f"<div{self.named(name)} data-y=1>{{}}</div>",
+                          f"<div{self.named(name, 'id')} data-y=1>{{}}</div>",
+                          f"<{section}{self.named(name)} data-y=1>{{}}</{section}>", "<div data-y=1>{}</div>", "{}",
+                          f"<{main} data-y=1><{article} data-y=1>{{}}</{article}></{main}>"))
         return shell.replace("{}", inner)
 
     def page(self) -> str:
@@ -414,12 +490,18 @@ class _Composer:
         middle = self.main()
         side = some(0.4, "aside", "ad")
         end = some(0.35, "comments", "share", "aside") + some(0.7, "footer")
-        body = r.choice((f"{top}{middle}{side}{end}", f"{top}<div class='wrapper' data-y=1>{middle}{side}</div>{end}",
-                         f"{top}<div id='page' data-y=1><div data-y=1>{side}{middle}</div>{end}</div>"))
+        layouts = [f"{top}{middle}{side}{end}", f"{top}<div{self.named('wrapper')} data-y=1>{middle}{side}</div>{end}",
+                   f"{top}<div{self.named('page', 'id')} data-y=1><div data-y=1>{side}{middle}</div>{end}</div>"]
+        if r.random() < 0.15:      # table layout
+            lines = "<br>".join(f"<a href='/x'>{self.words(1, 3)}</a>" for _ in range(r.randint(2, 9)))
+            menu = f"<td data-y=0>{r.choice((self.links(r.randint(3, 9), 'p'), lines, lines, self.links(r.randint(2, 9), 'div')))}</td>"
+            cells = r.choice((f"{menu}<td data-y=1>{middle}</td>", f"<td data-y=1>{middle}</td>{menu}"))
+            layouts = [f"{top}<table data-y=1><tr data-y=1>{cells}</tr></table>{end}"]
+        body = r.choice(layouts)
         return f"<html><head><title>{self.words(1, 6)}</title></head><body data-y=1>{body}</body></html>"
 
 
-def labelled_pages(count: int = 400, seed: int = 1) -> list[str]:
+def labelled_pages(count: int = 1000, seed: int = 1) -> list[str]:
     """Composed pages; the nearest ``data-y`` around a node is its label."""
     return [_Composer(seed * 100_003 + k).page() for k in range(count)]
 
@@ -433,7 +515,7 @@ def labels_of(tree: Tree) -> list[int]:
 
 
 @lru_cache(maxsize=2)
-def default_model(count: int = 400) -> TreeModel:
+def default_model(count: int = 1000) -> TreeModel:
     trees = [parse(p) for p in labelled_pages(count)]
     return train(trees, [labels_of(t) for t in trees])
 
@@ -451,11 +533,24 @@ def extract(pages: list[str | None], model: TreeModel) -> list[list[str]]:
     return out
 
 
-def _extract_pass(model: TreeModel, batch_pages: int = 256):
+def _steps(html: pa.Array, pages: int, most_bytes: int) -> Iterator[tuple[int, int]]:
+    """(first, count) of runs of pages with at most ``most_bytes`` of html together (a larger page is a run of its own)."""
+    sizes = pc.fill_null(pc.binary_length(html), 0).to_pylist()
+    first = held = 0
+    for k, n in enumerate(sizes):
+        if k > first and (held + n > most_bytes or k - first == pages):
+            yield first, k - first
+            first, held = k, 0
+        held += n
+    if len(sizes) > first:
+        yield first, len(sizes) - first
+
+
+def _extract_pass(model: TreeModel, batch_pages: int = 256, batch_bytes: int = 8 << 20):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(0, batch.num_rows, batch_pages):
-                part = batch.slice(i, batch_pages)
+            for first, count in _steps(batch.column(2), batch_pages, batch_bytes):
+                part = batch.slice(first, count)
                 texts = ["\n".join(b) for b in extract(part.column(2).to_pylist(), model)]
                 yield pa.record_batch([part.column(0), part.column(1), pa.array(texts, pa.string()),
                                        pa.array([len(t) for t in texts], pa.int64())],

@@ -61,7 +61,7 @@ READ_DOCS = 4_096
 #: Text bytes per step, pieces per call of the library, and ids kept for pieces met before.
 _STEP_BYTES = 4 << 20
 _ENCODE, _JOIN = 16_384, 1_024
-_CACHE_IDS = 5 << 19
+_CACHE_IDS = 3 << 19
 # Bytes after which a space may not be cut off: white space and control bytes,
 # and the lead bytes of all Unicode white space above them.
 _AFTER_SPACE = np.ones(256, dtype=bool)
