@@ -74,8 +74,12 @@ def project_final(wide: DataFrame) -> DataFrame:
 
 def clean_dataset(raw: DataFrame, profile: Profile, cfg: RiskConfig) -> DataFrame:
     """Conform, type and filter: the clean borrower table (Q3)."""
-    wide = with_clean_columns(conform(raw, profile), profile, cfg)
-    return project_final(wide.where(F.col("_valid")))
+    return clean_conformed(conform(raw, profile), profile, cfg)
+
+
+def clean_conformed(conformed: DataFrame, profile: Profile, cfg: RiskConfig) -> DataFrame:
+    """Type and filter rows that have canonical names already."""
+    return project_final(with_clean_columns(conformed, profile, cfg).where(F.col("_valid")))
 
 
 def population_counts(raw: DataFrame, profile: Profile, cfg: RiskConfig) -> DataFrame:

@@ -14,9 +14,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from loanlens.config import RiskConfig
-from loanlens.operators.clean import clean_dataset
+from loanlens.operators.clean import clean_conformed, clean_dataset
 from loanlens.sources.profiles import get_profile
-from loanlens.sources.raw import csv_header
+from loanlens.sources.raw import csv_header, read_exports
 
 
 def stream_clean(spark: SparkSession, input_dir: str, profile: str = "banner",
@@ -49,3 +49,29 @@ def start_clean_sink(clean: DataFrame, output_dir: str, checkpoint: str,
          .option("path", output_dir).option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
+
+
+def start_mixed_sink(spark: SparkSession, input_dir: str, output_dir: str, checkpoint: str, profile: str = "banner",
+                     cfg: RiskConfig = RiskConfig(), max_files_per_trigger: int = 100,
+                     available_now: bool = True) -> StreamingQuery:
+    """Clean exports as they arrive, whose headers may differ in order, spelling and further columns.
+
+    Every micro-batch groups its files by header (``read_exports``) and writes
+    its clean rows to ``<output_dir>/batch=<number>``, replacing what an
+    interrupted attempt at the same batch left, so a file counts once. A file
+    that lacks a column of the profile fails the batch, by name.
+    """
+    prof = get_profile(profile)
+    # the file source lists new files and remembers them; contents aren't read here
+    files = (spark.readStream.format("binaryFile")
+             .schema("path string, modificationTime timestamp, length long, content binary").option("maxFilesPerTrigger", max_files_per_trigger)
+             .option("pathGlobFilter", "*.csv").load(input_dir).select("path"))
+
+    def write(batch: DataFrame, number: int) -> None:
+        paths = [r["path"] for r in batch.collect()]      # at most max_files_per_trigger
+        if paths:
+            clean = clean_conformed(read_exports(batch.sparkSession, paths, prof), prof, cfg)
+            clean.write.mode("overwrite").parquet(f"{output_dir.rstrip('/')}/batch={number}")
+
+    w = files.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return (w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")).start()
