@@ -27,8 +27,7 @@ def main() -> None:
 
     spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus),
                           app_name="loanlens-bench")
-    # warm-up of the JVM only (not timed); it does not touch the shared clean
-    # table, so the first timed query pays for building and caching it
+    # warm-up of the JVM only (not timed)
     spark.read.parquet(f"{sf_dir}/nation.parquet").write.format("noop").mode("overwrite").save()
 
     times: dict[str, float] = {}

@@ -39,7 +39,14 @@ def test_no_registered_query_is_cached(spark, name):
     assert "InMemoryTableScan" not in plan_text(spark, SQL_QUERIES[name](spark, SMALL))
 
 
-@pytest.mark.parametrize("name", ["numeric_distribution", "segment_rates", "stratified_folds", "fold_medians"])
+@pytest.mark.parametrize("name", ["numeric_distribution", "fold_medians", "fold_categories", "rank_auc_by_level"])
+def test_ranks_come_from_stored_ranges(spark, name):
+    """A range partitioning that is computed twice may draw other bounds: rows and totals must read one stored table."""
+    plan = plan_text(spark, SQL_QUERIES[name](spark, SMALL))
+    assert "ExistingRDD" in plan and "rangepartitioning" not in plan.lower()
+
+
+@pytest.mark.parametrize("name", ["class_balance", "segment_rates", "segment_fallback", "stratified_folds", "correlation_with_default"])
 def test_building_a_query_starts_no_job(spark, name):
     sc = spark.sparkContext
     sc.setJobGroup(f"build-{name}", "building only")
