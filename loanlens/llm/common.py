@@ -53,7 +53,9 @@ def attach_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size_col:
     more = [c for c in groups.columns if c not in keys]
     hot = F.col(size_col) > max(total // HOT_PART, 1)
     large = groups.where(hot).select(*keys, F.struct(*more).alias("_large"))
-    rest = groups.where(~hot).select(*keys, F.struct(*more).alias("_rest"), F.lit(0).alias("_deal"))
+    # always 0, but not a constant to the optimizer, which would drop it from the keys of the shuffle
+    none = (F.col(size_col) % 1).cast("int").alias("_deal")
+    rest = groups.where(~hot).select(*keys, F.struct(*more).alias("_rest"), none)
     met = rows.join(F.broadcast(large), keys, "left").withColumn("_deal", F.when(
         F.col("_large").isNotNull(), 1 + F.pmod(F.monotonically_increasing_id(), F.lit(1 << 20))).otherwise(0).cast("int"))
     met = met.join(rest.hint("shuffle_hash"), [*keys, "_deal"], "left")
