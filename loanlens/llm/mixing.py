@@ -111,7 +111,9 @@ def blocks_read(slots: DataFrame, targets: DataFrame) -> DataFrame:
     A block that runs over the end of the stream is one row per reading.
     """
     dealt = slots.groupBy("src").agg(F.count("*").alias("blocks"))
-    sizes = targets.select("src", "source_size", F.floor(F.col("target") + 0.5).cast("long").alias("words")).join(dealt, "src")
+    # a row per source, stored, so that Spark knows its size and needn't deal the slots by source
+    sizes = save_table(targets.select("src", "source_size", F.floor(F.col("target") + 0.5).cast("long").alias("words"))
+                       .join(dealt, "src"), "mix-blocks")
     edge = lambda r: F.expr(f"cast({r} as decimal(20,0)) * words div blocks")
     cut = slots.join(sizes.withColumn("cell_words", F.ceil(F.col("words") / F.col("blocks"))), "src").select(
         "src", "source_size", "cell_words", edge("pick").alias("lo"), edge("(pick + 1)").alias("hi")).where("lo < hi")
@@ -159,7 +161,7 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: fl
 
     reads = save_table(blocks_read(save_table(schedule(targets, goal, block_words), "mix-slots"), targets), "mix-reads")
     # what a source reads is the beginning of its stream, all of it if the target is that long
-    upto = reads.groupBy("src").agg(F.max("end").alias("read"), F.first("cell_words").alias("cell_words"))
+    upto = save_table(reads.groupBy("src").agg(F.max("end").alias("read"), F.max("cell_words").alias("cell_words")), "mix-read")
     pieces = (rows.join(upto, "src").withColumn("stop", F.least(F.col("offset") + F.col("size"), F.col("read")))
               .where("offset < stop").select("src", "offset", "stop", "cell_words", _cells("offset", "stop")))
     read_cells = reads.select("src", "begin", "end", _cells("begin", "end"))
