@@ -231,3 +231,17 @@ def test_a_hot_text_and_very_long_texts(spark):
     got = {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in exact_duplicates(frame(spark, rows)).collect()}
     assert got[0] == (2999, 3000, False) and got[2999] == (2999, 3000, True) and got[3500] == (3500, 1, True)
     assert got[5000] == (5001, 2, False) and got[5002] == (5002, 1, True) and len(got) == 4003
+
+
+def test_rows_of_hot_groups_are_dealt_evenly(spark, monkeypatch):
+    from loanlens.llm import common
+
+    monkeypatch.setattr(common, "HOT_PART", 20)
+    rows = spark.range(2000).selectExpr("id", "cast(if(id % 3 = 0, 0, id div 10) as int) AS k")
+    groups = common.save_table(rows.groupBy("k").count().where("count > 1").withColumnRenamed("count", "n"), "groups")
+    met = common.attach_groups(rows, groups, ["k"], "n", 2000)
+    assert "hashpartitioning(k#" in (plan := met._jdf.queryExecution().toString()) and "_deal#" in [
+        line for line in plan.splitlines() if "hashpartitioning(k#" in line][0]
+    got = {r.id: r.n for r in met.collect()}
+    sizes = {r.k: r["count"] for r in rows.groupBy("k").count().collect()}
+    assert got == {r.id: sizes[r.k] if sizes[r.k] > 1 else None for r in rows.collect()} and len(got) == 2000
