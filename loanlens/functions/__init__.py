@@ -70,14 +70,26 @@ def to_numeric(c: ColumnOrName) -> Column:
     out, ``try_cast`` keeps ANSI mode from failing the job, and a number too
     large for a double is null rather than infinity.
     """
-    s = normalize_str(c)
-    v = F.when(s.rlike(NUMERIC_PATTERN), s.try_cast("double"))
-    return F.when(F.abs(v) <= F.lit(MAX_DOUBLE), v)
+    return finite(plain_number(normalize_str(c)))
+
+
+def plain_number(stripped: ColumnOrName) -> Column:
+    """D3 on stripped text, before infinity is taken out."""
+    s = _c(stripped)
+    return F.when(s.rlike(NUMERIC_PATTERN), s.try_cast("double"))
+
+
+def finite(v: ColumnOrName) -> Column:
+    return F.when(F.abs(_c(v)) <= F.lit(MAX_DOUBLE), _c(v))
+
+
+def without_currency(c: ColumnOrName) -> Column:
+    return F.regexp_replace(_c(c).cast("string"), CURRENCY_SYMBOLS, "")
 
 
 def clean_currency(c: ColumnOrName) -> Column:
     """Drop '$' and ',' then D3."""
-    return to_numeric(F.regexp_replace(_c(c).cast("string"), CURRENCY_SYMBOLS, ""))
+    return to_numeric(without_currency(c))
 
 
 def delinquent_days(c: ColumnOrName) -> Column:
@@ -92,7 +104,12 @@ def default_flag(days: ColumnOrName, threshold: int) -> Column:
 
 def na_to_null(c: ColumnOrName) -> Column:
     """D7 + D1: stripped text, with CSV missing-value tokens as null."""
-    s = normalize_str(c)
+    return known(normalize_str(c))
+
+
+def known(stripped: ColumnOrName) -> Column:
+    """Stripped text, with missing-value tokens as null."""
+    s = _c(stripped)
     return F.when(~s.isin(*NA_TOKENS), s)
 
 
@@ -104,8 +121,16 @@ DATE_SHAPE = rf"^(\d{{1,4}}([-/.])\d{{1,2}}\2\d{{1,4}}|\d{{8}}){_TIME}$"
 
 def date_parts(c: ColumnOrName) -> Column:
     """The numbers of a date text in the order written (eight digits: one element); empty for other texts."""
-    core = F.regexp_extract(normalize_str(c), DATE_SHAPE, 1)
-    return F.when(core != "", F.split(core, "[-/.]"))
+    return parts_of(date_text(c))
+
+
+def date_text(c: ColumnOrName) -> Column:
+    """The date in a text, without its time of day; empty for other texts."""
+    return F.regexp_extract(normalize_str(c), DATE_SHAPE, 1)
+
+
+def parts_of(date: ColumnOrName) -> Column:
+    return F.when(_c(date) != "", F.split(_c(date), "[-/.]"))
 
 
 def _date(parts: Column, order: tuple[int, int, int]) -> Column:
@@ -128,7 +153,11 @@ def parse_date(c: ColumnOrName, day_first: bool = False) -> Column:
     ``day_first`` reads the two numbers before a final year as day and month;
     :func:`loanlens.operators.dates.date_order` finds out which a column has.
     """
-    parts = date_parts(c)
+    return date_of(date_parts(c), day_first)
+
+
+def date_of(parts: Column, day_first: bool = False) -> Column:
+    """D8 on the parts of a date text."""
     packed = F.to_date(F.try_to_timestamp(F.get(parts, F.lit(0)), F.lit("yyyyMMdd")))
     return (F.when(year_first(parts), _date(parts, (0, 1, 2)))
             .when(year_last(parts), _date(parts, (2, 1, 0) if day_first else (2, 0, 1)))

@@ -41,30 +41,35 @@ CLEAN_SCHEMA = T.StructType([
 def with_clean_columns(conformed: DataFrame, profile: Profile, cfg: RiskConfig) -> DataFrame:
     """All typed columns next to the conformed text (no filter yet).
 
-    Missing-value text becomes null here, once, at the dataset boundary.
+    Missing-value text becomes null here, once, at the dataset boundary. Texts
+    are stripped in a first projection and read as numbers or date parts in a
+    second: an expression that is used several times would be evaluated as
+    often in one projection (a number's text was stripped and matched four times).
     """
     c = F.col
-    return conformed.select(
+    text = ("student_id", "program", "major", "student_type", "campus_code", "state", "payment_plan",
+            "gpa", "credits_earned", "num_loans", "days_delinquent")
+    money = ("original_loan_amount", "current_balance")
+    numbers = ("gpa", "credits_earned", "num_loans", "days_delinquent", *money)
+    stripped = conformed.select(
+        "*", *[LF.normalize_str(n).alias(f"_text_{n}") for n in text],
+        *[LF.normalize_str(LF.without_currency(n)).alias(f"_text_{n}") for n in money],
+        LF.date_text("birth_date").alias("_text_birth"))
+    read = stripped.select("*", *[LF.plain_number(f"_text_{n}").alias(f"_read_{n}") for n in numbers],
+                           LF.parts_of("_text_birth").alias("_read_birth"))
+    typed = read.select(
         "*",
-        LF.na_to_null("student_id").alias("_student_id"),
-        LF.na_to_null("program").alias("_program"),
-        LF.na_to_null("major").alias("_major"),
-        LF.na_to_null("student_type").alias("_student_type"),
-        LF.na_to_null("campus_code").alias("_campus_code"),
-        F.upper(LF.na_to_null("state")).alias("_state"),
-        LF.na_to_null("payment_plan").alias("_payment_plan"),
-        LF.age_years(LF.parse_date("birth_date", cfg.day_first), cfg.as_of).alias("_age"),
-        LF.to_numeric("gpa").alias("_gpa"),
-        LF.to_numeric("credits_earned").alias("_credits_earned"),
-        LF.to_numeric("num_loans").alias("_num_loans"),
-        LF.clean_currency("original_loan_amount").alias("_original_loan_amount"),
-        LF.clean_currency("current_balance").alias("_current_balance"),
+        *[LF.known(f"_text_{n}").alias(f"_{n}") for n in ("student_id", "program", "major", "student_type", "campus_code")],
+        F.upper(LF.known("_text_state")).alias("_state"),
+        LF.known("_text_payment_plan").alias("_payment_plan"),
+        LF.age_years(LF.date_of(c("_read_birth"), cfg.day_first), cfg.as_of).alias("_age"),
+        *[LF.finite(f"_read_{n}").alias(f"_{n}") for n in ("gpa", "credits_earned", "num_loans", *money)],
         LF.flag_equals("graduated_ind", profile.graduated_true_value).alias("_graduated"),
         LF.flag_in("enrollment_status", profile.withdrawn_codes).alias("_withdrawn"),
-        LF.default_flag(LF.delinquent_days("days_delinquent"), cfg.threshold_days)
-        .alias("_default_flag"),
+        LF.default_flag(F.coalesce(LF.finite("_read_days_delinquent"), F.lit(0.0)), cfg.threshold_days).alias("_default_flag"),
         valid_level(cfg.level_codes).alias("_valid"),
     ).withColumn("_level", c("level"))
+    return typed.drop(*[f"_text_{n}" for n in (*text, *money, "birth")], *[f"_read_{n}" for n in (*numbers, "birth")])
 
 
 def project_final(wide: DataFrame) -> DataFrame:

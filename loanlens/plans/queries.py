@@ -21,6 +21,7 @@ from loanlens.operators.conform import conform, reject_report
 from loanlens.operators.dates import date_order
 from loanlens.operators.folds import fold_class_weights, stratified_folds
 from loanlens.operators.ranking import subgroup_auc
+from loanlens.session import run_large_stages_compiled
 from loanlens.sources.fixture import as_profile, raw_borrowers
 from loanlens.sources.profiles import get_profile
 
@@ -39,6 +40,7 @@ _PLANS_LOCK = threading.RLock()
 
 
 def _memo(kind: str, spark: SparkSession, sf_dir: str, build) -> DataFrame:
+    run_large_stages_compiled(spark)
     key = (kind, spark.sparkContext.applicationId, id(spark), sf_dir)
     with _PLANS_LOCK:
         if key not in _PLANS:

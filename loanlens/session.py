@@ -66,6 +66,19 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     return spark
 
 
+#: Generated methods above this size are never compiled by the JVM, only interpreted.
+_COMPILED_BYTES = 8000
+
+
+def run_large_stages_compiled(spark: SparkSession) -> None:
+    """Let stages with too large a generated method run per operator, in methods that the JVM compiles.
+
+    The cleaning step is such a stage. A smaller limit that the session has stays.
+    """
+    if int(spark.conf.get("spark.sql.codegen.hugeMethodLimit", "65535")) > _COMPILED_BYTES:
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", str(_COMPILED_BYTES))
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
